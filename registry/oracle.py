@@ -447,6 +447,49 @@ SQL = {
         SELECT s_suppkey, 3.5::DOUBLE + CAST({draw('s_suppkey')} AS DOUBLE) / 268435456 * 1.5::DOUBLE AS rating FROM supplier""",
 }
 
+CLOSED = "(SELECT max(event_timestamp) - INTERVAL '10 minutes' FROM {})"
+PRICED = "priced AS (SELECT event_id, event_timestamp, customer_id, event_type, amount - 5 AS amount FROM fx_events)"
+
+STREAMS = {
+    "stream_valid": f"WITH {PRICED} SELECT * FROM priced WHERE amount >= 0 AND event_type <> 'checkout_started'",
+    "stream_rejects": f"""
+        WITH {PRICED} SELECT *, CASE WHEN amount < 0 THEN '{RANGE_REASON}' ELSE 'Unknown event type' END AS dlq_reason
+        FROM priced WHERE amount < 0 OR event_type = 'checkout_started'""",
+    "stream_enrich": """
+        SELECT event_id, customer_id, amount, coalesce(loyalty_tier, 'Standard') AS loyalty_tier, city, state_code
+        FROM fx_events LEFT JOIN fx_customers USING (customer_id) WHERE event_type = 'payment_completed'""",
+    "stream_dedupe": "SELECT event_id, event_timestamp, customer_id FROM fx_events",
+    "stream_revenue": f"""
+        WITH paid AS (SELECT * FROM fx_events WHERE event_type = 'payment_completed'), w AS ({windows('1 hour', 60, 'paid', 'amount')})
+        SELECT * FROM w WHERE window_end <= {CLOSED.format('paid')}""",
+    "stream_sliding_failures": f"""
+        WITH w AS (
+            SELECT time_bucket(INTERVAL '6 hours', event_timestamp) - o * INTERVAL '6 hours' AS window_start, customer_id, count(*) AS failures
+            FROM fx_events CROSS JOIN (SELECT unnest([0, 1]) AS o) x WHERE payment_status = 'FAILED' GROUP BY 1, 2)
+        SELECT window_start, window_start + INTERVAL '12 hours' AS window_end, customer_id, failures FROM w
+        WHERE window_start + INTERVAL '12 hours' <= {CLOSED.format("fx_events WHERE payment_status = 'FAILED'")}""",
+    "stream_sessions": f"""
+        WITH {sessions('fx_events', 21600)}, s AS (
+            SELECT customer_id, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end, count(*) AS events
+            FROM numbered GROUP BY customer_id, session_no)
+        SELECT * FROM s WHERE session_end + INTERVAL '6 hours' <= {CLOSED.format('fx_events')}""",
+    # A cart is given up once the watermark has passed every bucket it could still meet.
+    "stream_abandonment": f"""
+        WITH lost AS ({SQL['abandoned_carts']})
+        SELECT event_id, customer_id, event_timestamp FROM lost
+        WHERE event_timestamp + INTERVAL '90000 seconds' < least({CLOSED.format("fx_events WHERE event_type = 'add_to_cart'")},
+                                                                {CLOSED.format("fx_events WHERE event_type = 'checkout_started'")})""",
+    "stream_failure_streaks": f"""
+        WITH p AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY event_timestamp, event_id)
+                        - row_number() OVER (PARTITION BY customer_id, payment_status ORDER BY event_timestamp, event_id) AS island
+                   FROM fx_payments),
+             r AS (SELECT customer_id, min(event_timestamp) OVER w AS first_failed_at, event_timestamp AS reached_at,
+                          row_number() OVER (w ORDER BY event_timestamp, event_id) AS failures
+                   FROM p WHERE payment_status = 'FAILED' WINDOW w AS (PARTITION BY customer_id, island))
+        SELECT * FROM r WHERE failures = 3 AND reached_at < {CLOSED.format('fx_payments')}""",
+    "stream_alerts": f"WITH {ALERTS} SELECT * FROM alerts",
+}
+
 
 def statements() -> dict[str, str]:
-    return {name: with_tables(body) for name, body in SQL.items()}
+    return {name: with_tables(body) for name, body in (SQL | STREAMS).items()}

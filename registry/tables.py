@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.sources.schemas import WAREHOUSE_SCHEMA, WAREHOUSES
+from shopstream.plans.master import build_warehouses
+from shopstream.sources.schemas import WAREHOUSES
 
 METHODS = ["Credit Card", "Boleto", "Pix", "Debit Card", "Voucher"]
 DEVICES = ["mobile", "desktop", "tablet"]
@@ -136,7 +137,7 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def warehouses(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.createDataFrame(WAREHOUSES, WAREHOUSE_SCHEMA)
+    return build_warehouses(spark)
 
 
 _METHOD_CASE = " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(METHODS))
