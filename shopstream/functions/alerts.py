@@ -24,7 +24,7 @@ def risk_score(amount: Column, event_id: Column) -> Column:
     million first: the cap is reached long before that, and it keeps the decimal exact.
     """
     known = F.nanvl(amount.cast("double"), F.lit(None).cast("double"))
-    bounded = F.greatest(F.least(known, F.lit(1e6)), F.lit(-1e6)).cast("decimal(14,6)")
+    bounded = F.when(known.isNotNull(), F.greatest(F.least(known, F.lit(1e6)), F.lit(-1e6))).cast("decimal(14,6)")
     jitter = JITTER_LOW + F.pmod(hash_number(event_id), F.lit(JITTER_HIGH - JITTER_LOW + 1).cast("long"))
     raw = (
         F.lit(SCORE_BASE).cast("decimal(4,1)")
@@ -32,8 +32,9 @@ def risk_score(amount: Column, event_id: Column) -> Column:
         + jitter.cast("decimal(8,0)") * F.lit("0.01").cast("decimal(3,2)")
     )
     floor, cap = (F.lit(v).cast("decimal(24,12)") for v in (SCORE_FLOOR, SCORE_CAP))
+    # greatest skips NULL, so a row without an amount gets the floor.
     score = F.least(cap, F.greatest(floor, raw.cast("decimal(24,12)")))
-    return F.round(F.coalesce(score, floor), 2).cast("decimal(5,2)")
+    return F.round(score, 2).cast("decimal(5,2)")
 
 
 def alert_key(event_id: Column, customer_id: Column, order_id: Column, amount: Column) -> Column:
