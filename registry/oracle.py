@@ -78,7 +78,7 @@ def windows(interval: str, minutes: int, source: str = "fx_orders", x: str = "to
 
 def sessions(source: str, seconds: int) -> str:
     return f"""marked AS (
-        SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER w < INTERVAL '{seconds} seconds'
+        SELECT *, CASE WHEN event_timestamp - lag(event_timestamp) OVER w <= INTERVAL '{seconds} seconds'
                        THEN 0 ELSE 1 END AS starts
         FROM {source} WINDOW w AS (PARTITION BY customer_id ORDER BY event_timestamp, event_id)),
       numbered AS (

@@ -272,7 +272,7 @@ def product_conversion(views: DataFrame, order_items: DataFrame) -> DataFrame:
 def session_stats(events: DataFrame, gap: int = 1800) -> DataFrame:
     """Start, end, duration and events of every session.
 
-    Events that carry a session id are grouped by it, the others by pauses of `gap` seconds.
+    Events that carry a session id are grouped by it, the others by pauses of more than `gap` seconds.
     """
     columns = ["customer_id", "session_id", "session_start", "session_end", "events"]
     rest = events

@@ -115,7 +115,7 @@ def _local_sessions(events: DataFrame, gap: int, slice_seconds: int, ts: str, or
     sliced = events.withColumn("_slice", time_slice(ts, slice_seconds))
     along = Window.partitionBy("customer_id", "_slice").orderBy(*order)
     idle = micros(ts) - F.lag(micros(ts)).over(along)
-    starts = sliced.withColumn("_starts", (idle.isNull() | (idle >= gap * 1_000_000)).cast("int"))
+    starts = sliced.withColumn("_starts", (idle.isNull() | (idle > gap * 1_000_000)).cast("int"))
     return starts.withColumn("_local", F.sum("_starts").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
 
@@ -125,7 +125,7 @@ def _number_sessions(local: DataFrame, gap: int, ts: str) -> DataFrame:
     )
     along = Window.partitionBy("customer_id").orderBy("_slice", "_local")
     idle = micros("_start") - F.lag(micros("_end")).over(along)
-    starts = pieces.withColumn("_starts", (idle.isNull() | (idle >= gap * 1_000_000)).cast("int"))
+    starts = pieces.withColumn("_starts", (idle.isNull() | (idle > gap * 1_000_000)).cast("int"))
     return starts.withColumn(
         "session_no", F.sum("_starts").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
@@ -134,7 +134,7 @@ def _number_sessions(local: DataFrame, gap: int, ts: str) -> DataFrame:
 def assign_sessions(
     events: DataFrame, gap: int = 1800, slice_seconds: int = DAY, ts: str = "event_timestamp", tie: str = "event_id"
 ) -> DataFrame:
-    """Every event with its customer's session number; a pause of `gap` seconds ends a session.
+    """Every event with its customer's session number; a pause of more than `gap` seconds ends a session.
 
     Events without a customer are kept and have no session.
     """

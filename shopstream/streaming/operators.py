@@ -18,6 +18,11 @@ from shopstream.sources.sinks import insert_if_absent, write_multi
 TS = "event_timestamp"
 
 
+def watermarked(events: DataFrame, delay: str | None) -> DataFrame:
+    """The stream with a watermark; None for one that already has its own."""
+    return events if delay is None else events.withWatermark(TS, delay)
+
+
 def stream_rejects(events: DataFrame, rules: Sequence[Rule] = STANDARD_RULES) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) branches of a stream."""
     return split_valid(events, rules)
@@ -28,41 +33,41 @@ def stream_enrich(events: DataFrame, dim: DataFrame) -> DataFrame:
     return enrich_orders(events, dim) if "customer_id" in dim.columns else enrich_views(events, dim)
 
 
-def stream_dedupe(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
+def stream_dedupe(events: DataFrame, delay: str | None = "10 minutes") -> DataFrame:
     """One row per event id among those that arrive within the delay; for validated events."""
-    return events.withWatermark(TS, delay).dropDuplicatesWithinWatermark(["event_id"])
+    return watermarked(events, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
-def stream_revenue(events: DataFrame, size: str = "1 hour", delay: str = "10 minutes", by: Sequence[str] = ()) -> DataFrame:
+def stream_revenue(events: DataFrame, size: str = "1 hour", delay: str | None = "10 minutes", by: Sequence[str] = ()) -> DataFrame:
     """Revenue, orders and order value per tumbling window."""
-    return agg.revenue_by_window(events.withWatermark(TS, delay), size, by)
+    return agg.revenue_by_window(watermarked(events, delay), size, by)
 
 
-def stream_active_users(events: DataFrame, size: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
+def stream_active_users(events: DataFrame, size: str = "1 hour", delay: str | None = "10 minutes") -> DataFrame:
     """About how many customers and sessions were active per window."""
-    return agg.active_users(events.withWatermark(TS, delay), size, approximate=True)
+    return agg.active_users(watermarked(events, delay), size, approximate=True)
 
 
 def stream_sliding_failures(
-    payments: DataFrame, size: str = "10 minutes", slide: str = "5 minutes", delay: str = "10 minutes"
+    payments: DataFrame, size: str = "10 minutes", slide: str = "5 minutes", delay: str | None = "10 minutes"
 ) -> DataFrame:
     """Failed payments per customer in overlapping windows."""
     window = F.window(TS, size, slide).alias("_w")
-    counted = failed_payments(payments.withWatermark(TS, delay)).groupBy(window, "customer_id").agg(F.count("*").alias("failures"))
+    counted = failed_payments(watermarked(payments, delay)).groupBy(window, "customer_id").agg(F.count("*").alias("failures"))
     return counted.select(
         F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "customer_id", "failures"
     )
 
 
-def stream_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
+def stream_sessions(events: DataFrame, gap: str = "30 minutes", delay: str | None = "10 minutes") -> DataFrame:
     """Customer sessions ended by a pause."""
     window = F.session_window(TS, gap).alias("_w")
-    counted = events.withWatermark(TS, delay).groupBy("customer_id", window).agg(F.max(TS).alias("session_end"), F.count("*").alias("events"))
+    counted = watermarked(events, delay).groupBy("customer_id", window).agg(F.max(TS).alias("session_end"), F.count("*").alias("events"))
     return counted.select("customer_id", F.col("_w.start").alias("session_start"), "session_end", "events")
 
 
 def stream_abandonment(
-    carts: DataFrame, checkouts: DataFrame, within: int = 3600, delay: str = "10 minutes", bucket: int = 60
+    carts: DataFrame, checkouts: DataFrame, within: int = 3600, delay: str | None = "10 minutes", bucket: int = 60
 ) -> DataFrame:
     """Cart events whose customer starts no checkout in the next `within` seconds.
 
@@ -90,7 +95,7 @@ def stream_abandonment(
         & (F.col("_bucket_end") >= F.col(TS))
         & (F.col("_bucket_end") <= F.col(TS) + slack)
     )
-    joined = carts.withWatermark(TS, delay).join(reduced, in_time, "left_outer")
+    joined = watermarked(carts, delay).join(reduced, in_time, "left_outer")
     return joined.filter(F.col("_customer").isNull()).select(*carts.columns)
 
 
@@ -98,7 +103,7 @@ STREAK_OUTPUT = "customer_id long, first_failed_at timestamp, reached_at timesta
 STREAK_STATE = "pending_ts array<timestamp>, pending_id array<string>, pending_failed array<boolean>, first timestamp, length long"
 
 
-def stream_failure_streaks(payments: DataFrame, k: int = 3, delay: str = "10 minutes") -> DataFrame:
+def stream_failure_streaks(payments: DataFrame, k: int = 3, delay: str | None = "10 minutes") -> DataFrame:
     """One row when a customer's run of failed payments reaches length k.
 
     Rows reach the function in any order, so they wait in the state until the watermark
@@ -147,7 +152,7 @@ def stream_failure_streaks(payments: DataFrame, k: int = 3, delay: str = "10 min
         if reached:
             yield pd.DataFrame(reached, columns=["customer_id", "first_failed_at", "reached_at", "failures"])
 
-    marked = payments.withWatermark(TS, delay).filter(F.col("payment_status").isNotNull() & F.col("customer_id").isNotNull())
+    marked = watermarked(payments, delay).filter(F.col("payment_status").isNotNull() & F.col("customer_id").isNotNull())
     rows = marked.select(
         F.col("customer_id"),
         F.col(TS).alias("ts"),

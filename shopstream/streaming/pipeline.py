@@ -66,7 +66,7 @@ def pipeline_starters(
         return sink(enriched, "views", lake.silver("customer-events"), ts="event_timestamp")
 
     def revenue() -> StreamingQuery:
-        windows = so.stream_revenue(clean("order-events"), delay=delay)
+        windows = so.stream_revenue(clean("order-events"), delay=None)
         return sink(windows, "revenue", lake.gold("revenue_per_hour"))
 
     def abandonment() -> StreamingQuery:

@@ -92,7 +92,7 @@ def test_many_rows_per_group_take_the_two_step_way(spark):
 def brute_sessions(rows, gap):
     found, last, number = {}, {}, {}
     for c, s, i in sorted(rows):
-        if c not in last or s - last[c] >= gap:
+        if c not in last or s - last[c] > gap:
             number[c] = number.get(c, 0) + 1
         last[c] = s
         found[i] = number[c]
