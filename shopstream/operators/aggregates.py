@@ -278,14 +278,20 @@ def session_stats(events: DataFrame, gap: int = 1800) -> DataFrame:
     rest = events
     parts = []
     if "session_id" in events.columns:
-        own = events.filter(F.col("session_id").isNotNull()).groupBy("session_id")
+        own = events.filter(F.col("session_id").isNotNull())
+        # Grouped with the customer first: the many events then need no minimum of a text column.
+        by_customer = own.groupBy("session_id", "customer_id").agg(
+            F.min("event_timestamp").alias("_start"), F.max("event_timestamp").alias("_end"), F.count("*").alias("_n")
+        )
         parts.append(
-            own.agg(
+            by_customer.groupBy("session_id")
+            .agg(
                 F.min("customer_id").alias("customer_id"),
-                F.min("event_timestamp").alias("session_start"),
-                F.max("event_timestamp").alias("session_end"),
-                F.count("*").alias("events"),
-            ).select(*columns)
+                F.min("_start").alias("session_start"),
+                F.max("_end").alias("session_end"),
+                F.sum("_n").alias("events"),
+            )
+            .select(*columns)
         )
         rest = events.filter(F.col("session_id").isNull())
     parts.append(gap_sessions(rest, gap).withColumn("session_id", F.lit(None).cast("string")).select(*columns))

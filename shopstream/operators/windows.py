@@ -138,14 +138,19 @@ def assign_sessions(
 
     Events without a customer are kept and have no session.
     """
-    local = _local_sessions(events, gap, slice_seconds, ts, [ts, tie])
+    # The filter is the one the join below would add, so both its sides read one shuffle.
+    known = events.filter(F.col("customer_id").isNotNull())
+    local = _local_sessions(known, gap, slice_seconds, ts, [ts, tie])
     numbered = _number_sessions(local, gap, ts)
     # Within a slice session numbers rise with local ones, so one offset per slice is enough.
     offsets = numbered.groupBy(F.col("customer_id").alias("_c"), F.col("_slice").alias("_s")).agg(
         F.min(F.col("session_no") - F.col("_local")).alias("_offset")
     )
     same = (F.col("customer_id") == F.col("_c")) & (F.col("_slice") == F.col("_s"))
-    return local.join(offsets, same, "left").select(*events.columns, (F.col("_local") + F.col("_offset")).cast("long").alias("session_no"))
+    number = (F.col("_local") + F.col("_offset")).cast("long").alias("session_no")
+    assigned = local.join(offsets, same, "left").select(*events.columns, number)
+    unknown = events.filter(F.col("customer_id").isNull()).withColumn("session_no", F.lit(None).cast("long"))
+    return assigned.unionByName(unknown)
 
 
 def gap_sessions(events: DataFrame, gap: int = 1800, slice_seconds: int = DAY, ts: str = "event_timestamp") -> DataFrame:

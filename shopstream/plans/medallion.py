@@ -11,16 +11,17 @@ from shopstream.functions.events import normalize_event_time
 from shopstream.operators import aggregates as agg
 from shopstream.operators.joins import enrich_orders, enrich_views
 from shopstream.operators.validation import (
+    REASON,
     STANDARD_RULES,
     drop_duplicate_events,
     failed_payment_alerts,
     iso_timestamp,
     parses_as_schema,
-    split_valid,
+    tag_rejects,
 )
 from shopstream.sources.readers import read_events, read_lake_table
 from shopstream.sources.schemas import CORRUPT
-from shopstream.sources.sinks import insert_if_absent, write_partitioned, write_rejects, write_report
+from shopstream.sources.sinks import insert_if_absent, write_partitioned, write_report
 
 # Malformed lines are told apart before their (then empty) fields are judged.
 LAKE_RULES = (parses_as_schema(), *STANDARD_RULES, iso_timestamp())
@@ -54,25 +55,31 @@ def typed(valid: DataFrame) -> DataFrame:
     return valid.drop(CORRUPT).withColumn("event_timestamp", normalize_event_time(F.col("event_timestamp")))
 
 
-def clean_events(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected), the valid ones typed and without copies."""
-    valid, rejected = split_valid(events, LAKE_RULES)
-    return drop_duplicate_events(typed(valid), keep_null_keys=False), rejected
-
-
 def of_topic(events: DataFrame, topic: str) -> DataFrame:
     return events.filter(F.col("topic") == topic)
 
 
-def to_silver(spark: SparkSession, lake: Lake) -> None:
-    """Validates, deduplicates and enriches all raw events.
+def check_events(spark: SparkSession, lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) raw events, read back from one written table.
 
-    Valid events are written once, as columns, and everything later reads those: the JSON
-    text is parsed once per output, not once per report.
+    The JSON text is parsed in a single pass, whose result goes to two directories; the
+    steps after it read columns, and only their own directory.
     """
-    valid, rejected = clean_events(read_events(spark, lake.bronze()))
-    write_rejects(rejected, lake.rejects)
-    write_partitioned(valid, lake.silver("events"), grain="day", mode="overwrite")
+    tagged = tag_rejects(read_events(spark, lake.bronze()), LAKE_RULES)
+    checked = tagged.withColumns({"failed_at": F.current_timestamp(), "accepted": F.col(REASON).isNull()})
+    checked.write.mode("overwrite").partitionBy("accepted").parquet(lake.silver("checked-events"))
+    table = spark.read.parquet(lake.silver("checked-events"))
+    accepted = F.col("accepted").cast("boolean")
+    valid = table.filter(accepted).drop("accepted", REASON, "failed_at")
+    return valid, table.filter(~accepted).drop("accepted")
+
+
+def to_silver(spark: SparkSession, lake: Lake) -> None:
+    """Validates, deduplicates and enriches all raw events."""
+    valid, rejected = check_events(spark, lake)
+    write_partitioned(rejected, lake.rejects, "failed_at", "hour", "json", "overwrite")
+    unique = drop_duplicate_events(typed(valid), keep_null_keys=False)
+    write_partitioned(unique, lake.silver("events"), grain="day", mode="overwrite", by=["topic"])
     events = spark.read.parquet(lake.silver("events"))
     customers, products = spark.read.parquet(lake.master("customers")), spark.read.parquet(lake.master("products"))
     orders = enrich_orders(of_topic(events, "order-events"), customers)

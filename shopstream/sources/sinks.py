@@ -15,16 +15,25 @@ from shopstream.operators.validation import first_by_key
 
 
 def write_partitioned(
-    df: DataFrame, path: str, ts: str = "event_timestamp", grain: str = "hour", fmt: str = "parquet", mode: str = "append"
+    df: DataFrame,
+    path: str,
+    ts: str = "event_timestamp",
+    grain: str = "hour",
+    fmt: str = "parquet",
+    mode: str = "append",
+    by: Sequence[str] = (),
 ) -> None:
     """Appends into year/month/day[/hour] directories taken from a timestamp column.
 
+    Columns in `by` become directories above these.
+
     Rows are rebalanced by directory first, so that a directory gets few files; a
     directory with very many rows is split into several tasks.
     """
     parts = time_partitions(F.col(ts), grain)
-    placed = df.withColumns(parts).hint("rebalance", *parts)
-    placed.write.partitionBy(*parts).mode(mode).format(fmt).save(path)
+    folders = [*by, *parts]
+    placed = df.withColumns(parts).hint("rebalance", *folders)
+    placed.write.partitionBy(*folders).mode(mode).format(fmt).save(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -1,10 +1,9 @@
 import pytest
 
-from registry.oracle import statements
-from registry.queries import QUERIES
+import __spark_entry__ as entry
 from tests.compare import connect, difference
 
-STATEMENTS = statements()
+QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -12,8 +11,12 @@ def con(sf):
     return connect(sf)
 
 
-def test_every_statement_has_a_query():
-    assert set(STATEMENTS) <= set(QUERIES)
+def test_every_query_has_a_statement():
+    assert set(STATEMENTS) == set(QUERIES)
+
+
+def test_flagship_query(spark):
+    assert entry.entry(spark).count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
