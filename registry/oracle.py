@@ -490,6 +490,52 @@ STREAMS = {
     "stream_alerts": f"WITH {ALERTS} SELECT * FROM alerts",
 }
 
+TOPIC = """CASE event_type WHEN 'product_view' THEN 'product-view-events' WHEN 'add_to_cart' THEN 'cart-events'
+    WHEN 'checkout_started' THEN 'checkout-events' ELSE 'payment-events' END"""
+RAW_LINES = f"""
+    SELECT CASE WHEN product_id <> 7 THEN CAST(event_id AS VARCHAR) END AS event_id,
+           CASE WHEN product_id <> 7 THEN CAST(customer_id AS VARCHAR) END AS customer_id,
+           CASE WHEN product_id <> 7 THEN amount END AS amount,
+           CASE WHEN product_id <> 7 THEN payment_method END AS payment_method,
+           {TOPIC} AS topic, product_id <> 7 AS fits FROM fx_events"""
+
+LAKE = {
+    "read_events": RAW_LINES,
+    "stream_events": RAW_LINES,
+    "valid_events": f"""
+        SELECT CAST(event_id AS VARCHAR) AS event_id, event_timestamp, CAST(customer_id AS VARCHAR) AS customer_id, amount,
+               {TOPIC} AS topic FROM fx_events WHERE product_id <> 7""",
+    "for_hour": "SELECT event_id, event_timestamp, amount FROM fx_events WHERE CAST(event_timestamp AS DATE) = DATE '2024-01-10'",
+    "write_partitioned": """
+        SELECT event_type, year(event_timestamp) AS year, month(event_timestamp) AS month, day(event_timestamp) AS day,
+               count(*) AS events FROM fx_events GROUP BY ALL""",
+    "read_lake_table": """
+        SELECT event_id, product_id, NULL AS payment_method FROM fx_events WHERE event_type = 'add_to_cart'
+        UNION ALL SELECT event_id, NULL, payment_method FROM fx_payments""",
+    "read_master_csv": "SELECT p_retailprice, p_partkey, p_name FROM part",
+    "write_report": "SELECT * FROM fx_products",
+    "export_json_sample": "SELECT * FROM fx_customers ORDER BY customer_id LIMIT 5000",
+    "write_rejects": SQL["split_rejected"],
+    "insert_if_absent": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, event_timestamp, CAST(customer_id AS VARCHAR) AS customer_id,
+               CASE WHEN customer_id % 2 = 0 THEN 'first' ELSE 'second' END AS batch
+        FROM fx_payments WHERE payment_status = 'FAILED'""",
+    "write_multi": f"WITH {ALERTS} SELECT alert_id, risk_score FROM alerts UNION ALL SELECT alert_id, risk_score FROM alerts",
+    "read_first_available": "SELECT * FROM fx_orders",
+    "load_master": f"""
+        WITH prices AS (SELECT product_id + 100 AS product_id, {half_up(total('line_total'), 'count(*)')} AS price
+                        FROM fx_items GROUP BY 1)
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id, lower(p_type) AS category,
+               'Olist_Certified_' || upper(left(p_type, 4)) AS brand, coalesce(price, 49.99::DOUBLE) AS unit_price,
+               'BRL' AS currency, CAST(p_size AS DOUBLE) AS product_weight_g
+        FROM part LEFT JOIN prices ON p_partkey = product_id""",
+    "uuid_format": """
+        SELECT CASE WHEN event_type = 'add_to_cart' THEN d
+                    ELSE concat_ws('-', substr(d, 1, 8), substr(d, 9, 4), substr(d, 13, 4), substr(d, 17, 4), substr(d, 21, 12))
+               END AS event_id, event_type, CASE WHEN event_type = 'add_to_cart' THEN 'Invalid UUID' END AS dlq_reason
+        FROM (SELECT md5(CAST(event_id AS VARCHAR)) AS d, event_type FROM fx_events) x""",
+}
+
 
 def statements() -> dict[str, str]:
-    return {name: with_tables(body) for name, body in (SQL | STREAMS).items()}
+    return {name: with_tables(body) for name, body in (SQL | STREAMS | LAKE).items()}

@@ -7,8 +7,6 @@ only once the watermark has passed its end.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registry import tables as t
+from registry.lake import folder
 from registry.queries import query
 from shopstream.operators import validation as val
 from shopstream.streaming import operators as so
@@ -33,11 +32,6 @@ RAW = T.StructType(
 )
 
 
-def folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shopstream-")
-    return f"{root.rstrip('/')}/replay-{uuid.uuid4().hex}"
-
-
 def replay(spark: SparkSession, sf: str) -> DataFrame:
     raw = spark.readStream.schema(RAW).option("pathGlobFilter", "events.parquet").parquet(sf)
     return t.event_columns(raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))

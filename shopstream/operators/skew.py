@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 STREAM_SALTS = 8
 # Above this many rows per key Spark no longer trims groups before the shuffle.
 MAP_SIDE_LIMIT = 1000
+# Parts a group is first trimmed in where there are few groups or many rows are kept.
+SPREAD = 64
 
 
 def as_list(names: str | Sequence[str]) -> list[str]:
@@ -57,11 +59,15 @@ def lookup(
     return joined.select(*fact.columns, *added)
 
 
-def top_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+def top_per_group(
+    df: DataFrame, by: str | Sequence[str], order: Sequence[Column], n: int, few_groups: bool = False
+) -> DataFrame:
     """The first n rows of every group in the given order.
 
     For small n Spark trims each group inside the map tasks, so at most n rows per group
-    and task are shuffled. For larger n the same trimming is done here by input partition.
+    and task are shuffled. With few groups those rows still meet in few tasks, and for
+    larger n nothing is trimmed; in both cases every group is first trimmed in parts, by
+    input partition, and only what is left of the parts is brought together.
     """
     by = as_list(by)
 
@@ -69,8 +75,8 @@ def top_per_group(df: DataFrame, by: str | Sequence[str], order: Sequence[Column
         ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
         return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
-    if n > MAP_SIDE_LIMIT:
-        df = pick(df.withColumn("_part", F.spark_partition_id()), [*by, "_part"]).drop("_part")
+    if few_groups or n > MAP_SIDE_LIMIT:
+        df = pick(df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(SPREAD))), [*by, "_part"]).drop("_part")
     return pick(df, by)
 
 

@@ -54,9 +54,9 @@ def head_by_key(df: DataFrame, n: int, key: str | Sequence[str]) -> DataFrame:
 def latest_events(
     df: DataFrame, n: int, per: Sequence[str] = ("topic",), order: Sequence[str] = ("event_timestamp", "event_id")
 ) -> DataFrame:
-    """The newest n events, of each group or overall when `per` is empty."""
+    """The newest n events, of each group (few, such as topics) or overall when `per` is empty."""
     newest = [F.col(c).desc_nulls_last() for c in order]
-    return top_per_group(df, list(per), newest, n) if per else df.orderBy(*newest).limit(n)
+    return top_per_group(df, list(per), newest, n, few_groups=True) if per else df.orderBy(*newest).limit(n)
 
 
 def units_sold(order_items: DataFrame) -> DataFrame:

@@ -13,6 +13,12 @@ from shopstream.functions.events import time_partitions
 from shopstream.operators.skew import as_list
 from shopstream.operators.validation import first_by_key
 
+# Spark's own JSON formats stop at milliseconds.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def write_partitioned(
     df: DataFrame,
@@ -33,7 +39,8 @@ def write_partitioned(
     parts = time_partitions(F.col(ts), grain)
     folders = [*by, *parts]
     placed = df.withColumns(parts).hint("rebalance", *folders)
-    placed.write.partitionBy(*folders).mode(mode).format(fmt).save(path)
+    writer = placed.write.partitionBy(*folders).mode(mode).format(fmt)
+    (writer.options(**JSON_TIMES) if fmt == "json" else writer).save(path)
 
 
 def write_report(df: DataFrame, path: str) -> None:
@@ -43,7 +50,7 @@ def write_report(df: DataFrame, path: str) -> None:
 
 def export_json_sample(df: DataFrame, path: str, key: str | Sequence[str], n: int = 5000) -> None:
     """The first n rows by key as JSON lines."""
-    df.orderBy(*as_list(key)).limit(n).write.mode("overwrite").json(path)
+    df.orderBy(*as_list(key)).limit(n).write.mode("overwrite").options(**JSON_TIMES).json(path)
 
 
 def write_rejects(rejected: DataFrame, path: str, ts: str = "failed_at") -> None:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shopstream.functions.events import time_partitions
 from shopstream.plans.medallion import LAKE_RULES, Lake, typed
 from shopstream.sources.readers import stream_events
+from shopstream.sources.sinks import JSON_TIMES
 from shopstream.streaming import operators as so
 
 
@@ -28,6 +29,8 @@ def start_sink(
 ) -> StreamingQuery:
     """Appends a stream to files, each row once also after a restart."""
     writer = df.writeStream.queryName(name).format(fmt).option("path", path).option("checkpointLocation", checkpoint)
+    if fmt == "json":
+        writer = writer.options(**JSON_TIMES)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.outputMode("append").trigger(**trigger).start()
