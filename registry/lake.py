@@ -74,7 +74,7 @@ def valid_events(spark, sf):
     lake = medallion.Lake(root)
     write_bronze(spark, sf, lake.bronze())
     valid, _ = medallion.check_events(spark, lake)
-    stamp = F.col("event_timestamp").cast("timestamp_ntz")
+    stamp = t.utc(F.col("event_timestamp"))
     return medallion.typed(valid).select("event_id", stamp.alias("event_timestamp"), "customer_id", "amount", "topic")
 
 

@@ -614,7 +614,7 @@ def normalize_event_time(spark, sf):
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     zone = F.when(F.col("event_id") % 3 == 0, "+00:00Z").when(F.col("event_id") % 3 == 1, "Z").otherwise("+00:00")
     written = F.when(F.col("event_type") == "error", "not-a-date").otherwise(F.concat(text, zone))
-    parsed = fe.normalize_event_time(written).cast("timestamp_ntz")
+    parsed = t.utc(fe.normalize_event_time(written))
     return t.table(spark, sf, "events").select("event_id", parsed.alias("event_timestamp"))
 
 

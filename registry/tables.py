@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def utc(ts: Column) -> Column:
+    """An instant as wall-clock time in UTC, whatever the session's zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+
+
 def customers(spark: SparkSession, sf: str) -> DataFrame:
     """Every tenth customer is left out so that left joins miss."""
     people = table(spark, sf, "customer").filter(F.col("c_custkey") % 10 != 0)

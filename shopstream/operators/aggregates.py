@@ -160,9 +160,14 @@ def average_order_value(
     return kpi.select(rounded_mean(total, n).alias("average_order_value"))
 
 
+def _period(df: DataFrame, grain: str) -> Column:
+    """Start of the calendar period, in the type of the event time."""
+    return F.date_trunc(grain, "event_timestamp").cast(df.schema["event_timestamp"].dataType).alias("period")
+
+
 def revenue_by_period(orders: DataFrame, grain: str = "day") -> DataFrame:
     """Revenue, orders and order value per day, week, month or other calendar period."""
-    grouped = orders.groupBy(F.date_trunc(grain, "event_timestamp").alias("period")).agg(*_order_measures())
+    grouped = orders.groupBy(_period(orders, grain)).agg(*_order_measures())
     return grouped.select("period", *_revenue_columns())
 
 
@@ -219,9 +224,7 @@ def active_users(events: DataFrame, window: str = "1 hour", approximate: bool =
 
 def new_vs_returning(orders: DataFrame, grain: str = "month") -> DataFrame:
     """Customers per period whose first order falls in it, and the others."""
-    seen = orders.filter(F.col("customer_id").isNotNull()).select(
-        "customer_id", F.date_trunc(grain, "event_timestamp").alias("period")
-    )
+    seen = orders.filter(F.col("customer_id").isNotNull()).select("customer_id", _period(orders, grain))
     # One row per customer and period: a customer's window is as long as the calendar, not the order log.
     first = F.min("period").over(Window.partitionBy("customer_id"))
     new = F.count_if(F.col("_first") == F.col("period"))
