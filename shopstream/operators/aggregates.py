@@ -104,12 +104,12 @@ def alert_count(alerts: DataFrame) -> DataFrame:
 
 def stream_volume(sources: Sequence[DataFrame | tuple[DataFrame, int]]) -> DataFrame:
     """Rows of all sources together, each counted with its weight."""
-    counts = None
+    rows = None
     for source in sources:
         df, weight = source if isinstance(source, tuple) else (source, 1)
-        counted = df.agg((F.count("*") * weight).alias("_n"))
-        counts = counted if counts is None else counts.unionAll(counted)
-    return counts.agg(F.sum("_n").alias("stream_events"))
+        weighed = df.select(F.lit(weight).cast("long").alias("_weight"))
+        rows = weighed if rows is None else rows.unionAll(weighed)
+    return rows.agg(F.coalesce(F.sum("_weight"), F.lit(0).cast("long")).alias("stream_events"))
 
 
 def _volume(n_events: DataFrame | int) -> Column:

@@ -92,14 +92,15 @@ def rapid_failures(payments: DataFrame, k: int, seconds: int) -> DataFrame:
     Slices are as long as the interval and each failure is also shown to the next slice,
     so the k-1 failures before it are at hand without the customer's whole history.
     """
-    failed = failed_payments(payments)
-    shown = failed.withColumn("_slice", time_slice("event_timestamp", seconds)).withColumn("_own", F.explode(F.array(F.lit(0), F.lit(1))))
-    shown = shown.withColumn("_slice", F.col("_slice") + F.col("_own"))
+    failed = failed_payments(payments).filter(F.col("customer_id").isNotNull())
+    # _own is 0 in a row's own slice and 1 where it is shown to the next.
+    both = F.explode(F.array(F.lit(0), F.lit(1)))
+    shown = failed.withColumn("_own", both).withColumn("_slice", time_slice("event_timestamp", seconds) + F.col("_own"))
     along = Window.partitionBy("customer_id", "_slice").orderBy("event_timestamp", "event_id")
     now = micros("event_timestamp")
     earlier = F.lag(now, k - 1).over(along) if k > 1 else now
     marked = shown.withColumn("_span", now - earlier)
-    hits = marked.filter((F.col("_own") == 0) & (F.col("_span") <= seconds * 1_000_000) & F.col("customer_id").isNotNull())
+    hits = marked.filter((F.col("_own") == 0) & (F.col("_span") <= seconds * 1_000_000))
     return hits.select(*payments.columns)
 
 
