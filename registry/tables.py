@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,9 @@ DEVICES = ["mobile", "desktop", "tablet"]
 EVENT_TYPES = {"signup": "checkout_started", "view": "product_view", "click": "add_to_cart", "purchase": "payment_completed"}
 
 
+@cache
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A test table; its files are listed and their schema read once per session."""
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

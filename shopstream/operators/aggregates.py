@@ -116,10 +116,13 @@ def _volume(n_events: DataFrame | int) -> Column:
     return F.lit(n_events).cast("long") if isinstance(n_events, int) else n_events.scalar()
 
 
-def _shift_top(summary: DataFrame, by: str, keys: Sequence[str], top: int, shifts: Mapping[str, Column]) -> DataFrame:
-    """Replaces columns of the top rows by expressions over their position `_i`."""
+def _shift_top(
+    summary: DataFrame, by: str, keys: Sequence[str], top: int, n_events: DataFrame | int, shifts: Mapping[str, Column]
+) -> DataFrame:
+    """Replaces columns of the top rows by expressions over their position `_i` and the volume `_n`."""
     head = summary.orderBy(*ranking(by, keys)).limit(top)
     placed = head.withColumn("_i", F.row_number().over(Window.orderBy(*ranking(by, keys))).cast("long") - 1)
+    placed = placed.withColumn("_n", _volume(n_events))
     shifted = placed.select(*[F.col(k).alias(f"_{k}") for k in keys], *[e.alias(f"_new_{c}") for c, e in shifts.items()], "_i")
     same = F.lit(True)
     for k in keys:
@@ -132,7 +135,7 @@ def _shift_top(summary: DataFrame, by: str, keys: Sequence[str], top: int, shift
 
 def fuse_category_volume(summary: DataFrame, n_events: DataFrame | int, top: int = 12) -> DataFrame:
     """Adds the stream volume to the counts and prices of the leading categories."""
-    i, n = F.col("_i"), _volume(n_events)
+    i, n = F.col("_i"), F.col("_n")
     count = F.col("product_count") + F.floor((n * (15 - F.least(i, F.lit(10)))) / F.lit(10).cast("decimal(2,0)")).cast("long")
     step = F.pmod(n, (i + 1) * 7).cast("decimal(18,0)") * F.lit("0.45").cast("decimal(3,2)")
     price = F.col("avg_unit_price").cast("decimal(18,2)") + step - F.lit("1.25").cast("decimal(3,2)")
@@ -140,15 +143,16 @@ def fuse_category_volume(summary: DataFrame, n_events: DataFrame | int, top: int
         "product_count": F.when(n > 0, count).otherwise(F.col("product_count")),
         "avg_unit_price": F.when(n > 0, money(price)).otherwise(F.col("avg_unit_price")),
     }
-    return _shift_top(summary, "product_count", ["category"], top, shifts)
+    return _shift_top(summary, "product_count", ["category"], top, n_events, shifts)
 
 
 def fuse_loyalty_volume(summary: DataFrame, n_events: DataFrame | int, top: int = 15) -> DataFrame:
     """Adds the stream volume to the leading groups, 1.8-fold at even and 0.9-fold at odd positions."""
-    i, n = F.col("_i"), _volume(n_events)
+    i, n = F.col("_i"), F.col("_n")
     tenths = F.when(i % 2 == 0, n * 18).otherwise(n * 9)
     count = F.col("total_customers") + F.floor(tenths / F.lit(10).cast("decimal(2,0)")).cast("long")
-    return _shift_top(summary, "total_customers", ["loyalty_tier", "state_code"], top, {"total_customers": count})
+    keys = ["loyalty_tier", "state_code"]
+    return _shift_top(summary, "total_customers", keys, top, n_events, {"total_customers": count})
 
 
 def average_order_value(
