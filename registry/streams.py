@@ -7,7 +7,8 @@ only once the watermark has passed its end.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +38,24 @@ def replay(spark: SparkSession, sf: str) -> DataFrame:
     return t.event_columns(raw).withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
 
 
+@contextmanager
+def state_for_cores(spark: SparkSession) -> Iterator[None]:
+    """At most two state partitions per core for queries started inside; a state store costs time even if empty."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def finished(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
     """Runs the stream to its end and reads what it wrote."""
     df, root = make(), folder(spark)
-    start_sink(df, f"{root}/out", f"{root}/checkpoint", "replay", availableNow=True).awaitTermination()
+    with state_for_cores(spark):
+        replayed = start_sink(df, f"{root}/out", f"{root}/checkpoint", "replay", availableNow=True)
+    replayed.awaitTermination()
     return without_zone(spark.read.schema(df.schema).parquet(f"{root}/out"))
 
 
