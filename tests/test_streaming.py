@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.operators import aggregates as agg
 from shopstream.operators.windows import consecutive_failures
-from shopstream.plans.medallion import Lake, typed
+from shopstream.plans.medallion import LAKE_RULES, Lake, typed
 from shopstream.sources.readers import read_lake_table, stream_events
 from shopstream.streaming import operators as so
 from shopstream.streaming.pipeline import checkpoint_root, run_pipeline, start_sink
@@ -147,19 +147,13 @@ def test_alerts_are_written_once(feed, tmp_path):
 def test_malformed_lines_on_a_stream(spark, tmp_path):
     write_lake(spark, tmp_path)
     lake = Lake(str(tmp_path))
-    valid, rejected = so.stream_rejects(stream_events(spark, lake.bronze(), max_files=2), run_rules())
+    valid, rejected = so.stream_rejects(stream_events(spark, lake.bronze(), max_files=2), LAKE_RULES)
     for name, df in (("valid", typed(valid)), ("rejected", rejected)):
         start_sink(df, f"{tmp_path}/{name}", f"{tmp_path}/c-{name}", name, availableNow=True).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/valid").count() == 13
     assert spark.read.parquet(f"{tmp_path}/rejected").count() == 6
 
 
-def run_rules():
-    from shopstream.plans.medallion import LAKE_RULES
-
-    return LAKE_RULES
-
-
 def test_pipeline_runs_and_continues(spark, tmp_path):
     write_lake(spark, tmp_path)
     lake, checkpoints = Lake(str(tmp_path)), f"{tmp_path}/checkpoints"
