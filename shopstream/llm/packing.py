@@ -26,65 +26,76 @@ PIECES = T.StructType(
 )
 
 
+class Places(dict):
+    """Numbers words in the order they are first asked for; ``new`` lists the latest ones."""
+
+    def __init__(self):
+        super().__init__({"": 0})
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        place = self[word] = len(self)
+        return place
+
+
 class WordTokenizer:
     """Token ids of whole texts, each distinct word encoded once.
 
     The vocabulary drops white space and no token, normalisation or rule reaches across a space
-    or line feed, so a text's ids are those of its words, one after the other.
+    or line feed, so a text's ids are those of its words, one after the other. Nor does a rule
+    reach from a letter or digit to a mark of ``MARKS`` after it, so a word without its last
+    marks and the marks are encoded apart; what is then ASCII letters needs the merges alone.
     """
 
-    #: Words kept, the first ones met: frequent words come early. Others are encoded when met.
-    KEEP, LONGEST = 500_000, 48
+    #: Words and ids kept, of the words first met: frequent words come early.
+    KEEP, KEEP_IDS = 500_000, 4_000_000
+    MARKS = ",.;:!?*%$&#|"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        self.place: dict[str, int] = {}
-        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and the end of each: joined by spaces, a few thousand
-        words are one text, and the place of a token in it tells its word."""
-        parts, counts = [], []
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            made = self.encoder.encode(" ".join(some), add_special_tokens=False)
-            lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
-            firsts = np.fromiter((x[0] for x in made.offsets), np.int64, len(made.ids))
-            parts.append(np.array(made.ids, np.uint32))
-            counts.append(np.bincount(np.searchsorted(np.cumsum(lengths), firsts, "right"), minlength=len(some)))
-        return np.concatenate([self.flat[:0], *parts]), np.cumsum(np.concatenate([self.ends[:0], *counts]))
+        self.model = self.encoder.model
+        self.place, self.marks = Places(), {"": []}
+        self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
+
+    def ids_of(self, word: str) -> list[int]:
+        head = word.rstrip(self.MARKS)
+        if head and not head[-1].isalnum():
+            return self.encoder.encode(word, add_special_tokens=False).ids
+        tail = word[len(head) :]
+        last = self.marks.get(tail)
+        if last is None:
+            last = self.encoder.encode(tail, add_special_tokens=False).ids
+            if len(self.marks) < 10_000:
+                self.marks[tail] = last
+        if head.isascii() and head.isalpha():
+            return [t.id for t in self.model.tokenize(head.lower())] + last
+        return self.encoder.encode(head, add_special_tokens=False).ids + last
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the offsets of the texts."""
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = [w for w in set().union(*split).difference(self.place) if w]
-        if len(self.place) < self.KEEP:
-            new.sort(key=lambda w: len(w) > self.LONGEST)
-        ids, ends = self.ids_of(new)
-        known = len(self.place)
-        self.place.update(zip(new, range(known, known + len(new)), strict=True))
-        self.place[""] = -1
-        words = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
-        del self.place[""]
-        flat, ends = np.concatenate([self.flat, ids]), np.concatenate([self.ends, self.ends[-1] + ends])
-        keep = min(len(new), max(0, self.KEEP - known)) if len(new) else 0
-        keep = min(keep, sum(len(w) <= self.LONGEST for w in new))
-        for w in new[keep:]:
-            del self.place[w]
-        if keep:
-            self.ends = ends[: known + keep + 1]
-            self.flat = flat[: self.ends[-1]]
         per_row = np.fromiter(map(len, split), np.int64, len(split))
-        row = np.repeat(np.arange(len(split)), per_row)[words >= 0]
-        words = words[words >= 0]
-        starts, counts = ends[words], ends[words + 1] - ends[words]
+        words = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(per_row.sum()))
+        new, self.place.new = self.place.new, []
+        flat, ends = self.flat, self.ends
+        if new:
+            made = [self.ids_of(w) for w in new]
+            counts = np.fromiter(map(len, made), np.int64, len(made))
+            flat = np.concatenate([flat, np.fromiter(chain.from_iterable(made), np.uint32, int(counts.sum()))])
+            ends = np.concatenate([ends, ends[-1] + np.cumsum(counts)])
+            if len(self.place) <= self.KEEP and len(flat) <= self.KEEP_IDS:
+                self.flat, self.ends = flat, ends
+            else:
+                for w in new:
+                    del self.place[w]
+        starts = ends[words]
+        counts = ends[words + 1] - starts
         stops = np.cumsum(counts)
-        total = int(stops[-1]) if len(stops) else 0
-        out = flat[np.repeat(starts - (stops - counts), counts) + np.arange(total)]
-        lengths = np.bincount(row, counts, len(split)).astype(np.int64)
-        return out, np.concatenate([[0], np.cumsum(lengths)])
+        out = flat[np.repeat(starts - (stops - counts), counts) + np.arange(stops[-1] if len(stops) else 0)]
+        return out, np.concatenate([[0], stops[np.cumsum(per_row) - 1]]).astype(np.int64)
 
 
 def best_fill(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -212,7 +223,7 @@ def tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, pool: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, pool: int = 1024) -> DataFrame:
     """Cuts every document (its token ids and ``end_id``) into pieces and packs these into
     sequences of ``size`` tokens by minimum bin slack.
 
