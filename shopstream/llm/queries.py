@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import packing
+from shopstream.llm import decontaminate, neardup, packing, pii, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,35 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op4_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    net = quality.learn(docs, table(spark, sf, "labels"))
+    found = quality.scored(docs.select("doc_id", "text"), net)
+    predicted = (F.col("score") >= quality.GOOD).cast("int").alias("predicted")
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", predicted)
+
+
+@query
+def op6_pii(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = pii.find_private(docs, pii.learn(docs))
+    counts = [pii.count(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.written_out("base"), 256).alias("base_sha256"), pii.written_out("spans").alias("spans"))
+
+
+@query
+def op7_near_duplicates(spark, sf):
+    return neardup.dedup(table(spark, sf, "documents"))
+
+
+@query
+def op8_decontamination(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.judge(decontaminate.find_benchmark(docs, table(spark, sf, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 @query
 def op10_packing(spark, sf):
     pieces = packing.pack(table(spark, sf, "documents"), vocabulary())
