@@ -237,7 +237,7 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     stars = tables.join(hubs, "t").filter("c <> a").select("a", F.col("c").alias("b")).distinct()
     stars = common.written(stars)
     met = stars.select(F.col("a").alias("c")).unionAll(stars.select(F.col("b").alias("c"))).distinct()
-    texts = full.select(F.col("uid").alias("c"), F.col("row.text").cast("string").alias("text")).join(met, "c")
+    texts = full.select(F.col("uid").alias("c"), F.col("row.text").cast("string").alias("text")).join(met.hint("merge"), "c")
     sets = common.written(texts.mapInArrow(_sets, "c long, items binary, least binary"))
     links = common.written(confirm(stars, sets))
     part = graph.components(links)
