@@ -138,7 +138,7 @@ def words(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> tuple[np
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
     letters = alphabet.fold[data[inside]]
-    #: the place of each word among the letters: letters before its start
+    # the place of each word among the letters: letters before its start
     places = (np.cumsum(inside, dtype=np.int64))[starts] - 1
     lengths = np.diff(places, append=len(letters))
     within = np.arange(len(letters), dtype=np.int64) - np.repeat(places, lengths)

@@ -254,9 +254,9 @@ def private(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field | None:
     """The field from at most ``rows`` documents, those with the smallest hashes of their ids.
 
-    Mentions that the patterns match are labelled with their kind and the others with none; the
-    weights are those of a softmax regression on the features, and the agreement of joined
-    mentions is the smoothed log odds of their labels. None where the sample has no match.
+    Mentions that the patterns match are labelled with their kind and the others with none, but
+    for those that are joined to a match. The weights are those of a softmax regression on the
+    features; how much joined mentions agree is counted. None where the sample has no match.
     """
     ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
     ids = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
@@ -278,17 +278,22 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field | None:
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         unary -= 2.0 * (x.T @ ((p - target) * weight[:, None]) + 1e-3 * unary)
-    pair = np.zeros((2, LABELS, LABELS))
-    for kind in (0, 1):
-        joint = np.eye(LABELS) + 0.2
-        for r in found:
-            if r["what"] == kind:
-                joint[r["a"], r["b"]] += r["n"]
-                joint[r["b"], r["a"]] += r["n"]
-        joint /= joint.sum()
-        side = joint.sum(axis=1)
-        # neighbours say little, the same words elsewhere say much
-        pair[kind] = np.clip(np.log(joint / np.outer(side, side)), -3, 3) * (0.25, 1.5)[kind]
+    # neighbours: a part of the smoothed log odds of their labels
+    joint = np.eye(LABELS) + 0.2
+    same = other = 1.0
+    for r in found:
+        if r["what"] == 0:
+            joint[r["a"], r["b"]] += r["n"]
+            joint[r["b"], r["a"]] += r["n"]
+        elif r["what"] == 1 and r["a"] and r["b"]:
+            same += r["n"] * (r["a"] == r["b"])
+            other += r["n"] * (r["a"] != r["b"])
+    joint /= joint.sum()
+    side = joint.sum(axis=1)
+    near = 0.25 * np.clip(np.log(joint / np.outer(side, side)), -3, 3)
+    # skip edges: how often matched mentions that they join are of one kind
+    agree = np.clip(1 + np.log(same / other), 2, 5)
+    pair = np.stack([near, agree * np.diag([0.5, 1, 1, 1, 1])])
     return Field(unary, pair)
 
 
@@ -298,9 +303,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in common.text_of(batch).to_pylist():
             numbers = [m.span() for m in _NUMBERS.finditer(text)]
             found = mentions(text, numbers, patterns(text, numbers))
+            left, right, kind = edges(found)
+            joined = [(a, b) for a, b, k in zip(left.tolist(), right.tolist(), kind.tolist(), strict=True) if k]
+            # an open mention that is like a matched one is neither: it is what the field decides
+            unsure = {x for a, b in joined for x, y in ((a, b), (b, a)) if found.labels[x] < 0 < found.labels[y]}
             labels = [max(0, x) for x in found.labels]
-            rows = [(2, f, y) for f, y in zip(found.features, labels, strict=True)]
-            rows += [(int(k), labels[a], labels[b]) for a, b, k in zip(*edges(found), strict=True)]
+            rows = [(2, f, labels[k]) for k, f in enumerate(found.features) if k not in unsure]
+            rows += [(int(k), labels[a], labels[b]) for a, b, k in zip(left, right, kind, strict=True) if not {a, b} & unsure]
             for row in rows:
                 counts[row] = counts.get(row, 0) + 1
         if counts:

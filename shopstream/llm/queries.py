@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import decontaminate, neardup, packing, pii, quality
+from shopstream.llm import chat, decontaminate, embeddings, html, licenses, neardup, packing, pii, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,27 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_licenses(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"))
+
+
+ORACLE_SQL["op1_licenses"] = licenses.SQL
+
+
+@query
+def op2_token_counts(spark, sf):
+    return tokens.count_tokens(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op3_chat(spark, sf):
+    return chat.render(table(spark, sf, "conversations"))
+
+
+ORACLE_SQL["op3_chat"] = chat.SQL
+
+
 @query
 def op4_quality(spark, sf):
     docs = table(spark, sf, "documents")
@@ -38,6 +59,11 @@ def op4_quality(spark, sf):
     return found.select("doc_id", quality.held_out().alias("held_out"), "score", predicted)
 
 
+@query
+def op5_html(spark, sf):
+    return html.extract(table(spark, sf, "pages"))
+
+
 @query
 def op6_pii(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -58,6 +84,11 @@ def op8_decontamination(spark, sf):
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query
+def op9_embeddings(spark, sf):
+    return embeddings.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query
 def op10_packing(spark, sf):
     pieces = packing.pack(table(spark, sf, "documents"), vocabulary())

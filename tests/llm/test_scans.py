@@ -1,0 +1,106 @@
+"""Licences, token counts and conversations."""
+
+import pytest
+
+from shopstream.llm import chat, licenses, tokens
+from shopstream.llm.queries import ORACLE_SQL, QUERIES, vocabulary
+from tests.compare import connect, difference
+from tests.llm import tables
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_matches_sql(spark, sf, name):
+    assert difference(QUERIES[name](spark, sf), connect(sf), ORACLE_SQL[name]) is None
+
+
+MIT = """Copyright (c) 2020 Somebody
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."""
+AS_IS = """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_license_rules(spark, tmp_path):
+    cases = {
+        40: (MIT + AS_IS, "mit-grant,mit-notice,mit-as-is,mit-liability", 1, "MIT"),
+        41: (MIT, "mit-grant,mit-notice", 1, "MIT"),
+        42: ("Released under the MIT License.\nText. Licensed under CC BY-NC 4.0.", "mit-named,cc-by-nc-named", 2, "CC-BY-NC-4.0,MIT"),
+        43: ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", "mit-notice", 0, ""),
+        44: ("Not released under the MIT License.", "", 0, ""),
+        45: ("Licensed under the Apache License, Version 2.0. " * 3, "apache-named,apache-named,apache-named", 3, "Apache-2.0"),
+    }
+    rows = tables.odd([(k, v[0]) for k, v in cases.items()])
+    docs = tables.documents(spark, rows)
+    found = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    for k, (_, ids, n, names) in cases.items():
+        assert (found[k]["sentence_ids"], found[k]["n_rules"], found[k]["licenses"]) == (ids, n, names)
+    assert found[1]["n_sentences"] == found[2]["n_sentences"] == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert difference(licenses.scan(docs), con, licenses.SQL) is None
+
+
+def test_licenses_stay_inside_the_engine(spark, sf):
+    plan = QUERIES["op1_licenses"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Exchange"))
+
+
+def greedy(pieces, text):
+    """The number of longest matches from the left, one after the other."""
+    longest, n, at = max(map(len, pieces)), 0, 0
+    while at < len(text):
+        size = next((k for k in range(min(longest, len(text) - at), 1, -1) if text[at : at + k] in pieces), 1)
+        at += size
+        n += 1
+    return n
+
+
+def brute(pieces, text):
+    words = (text or "").encode().split()
+    return len(words), sum(greedy(pieces, b" " + w) for w in words)
+
+
+def test_token_query_matches_greedy_matching(spark, sf):
+    pieces = set(tokens.pieces_of(vocabulary("byte_bpe_50k.tiktoken")))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    known = {}
+    for word in {w for r in docs for w in (r["text"] or "").encode().split()}:
+        known[word] = greedy(pieces, b" " + word)
+    words = {r["doc_id"]: (r["text"] or "").encode().split() for r in docs}
+    want = sorted(((i, len(w), sum(map(known.get, w))) for i, w in words.items()), key=repr)
+    assert tables.plain(QUERIES["op2_token_counts"](spark, sf)) == want
+
+
+def test_automaton_on_all_short_texts():
+    from itertools import product
+
+    pieces = [b"a", b"ab", b"abcd", b"bc", b"cdab", b"bb", b"dabcd"]
+    machine = tokens.Automaton(pieces)
+    for n in range(8):
+        for text in product(b"abcd", repeat=n):
+            assert machine.count(bytes(text)) == greedy(set(pieces), bytes(text))
+
+
+def test_odd_documents_have_counts(spark):
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    pieces = set(tokens.pieces_of(path))
+    rows = tables.odd()
+    want = sorted(((i, *brute(pieces, t)) for i, t in rows), key=repr)
+    assert tables.plain(tokens.count_tokens(tables.documents(spark, rows), path)) == want
+    assert tokens.count_tokens(tables.empty(spark, tables.DOCS), path).count() == 0
+
+
+def test_snapshots_collapse(spark):
+    a, b, c = ("user", "hi"), ("assistant", "hello"), ("user", "bye")
+    said = {1: [a], 2: [a, b], 3: [a, b, c], 4: [a, b, c], 5: [a, c], 6: [b], 7: [(None, None)], 8: [b, a]}
+    rows = [(k, turn, *t, "x", 0) for k, turns in said.items() for turn, t in enumerate(turns)]
+    rows += [(2, 0, *a, "x", 0), (None, 0, *a, "x", 0), (9, None, *c, "x", 0)]
+    found = {r["conv_id"]: r for r in chat.render(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, h1 string, k int")).collect()}
+    assert sorted(found) == [3, 5, 7, 8, 9]  # 4 equals 3; 1, 2 and 6 begin longer ones
+    assert found[3]["n_copies"] == 2 and found[3]["n_turns"] == 3
+    assert found[3]["text"] == "<|user|>\nhi\n<|assistant|>\nhello\n<|user|>\nbye\n"
+    assert found[7]["text"] == "<|unknown|>\n\n"
+    assert chat.render(tables.empty(spark, "conv_id long, turn long, role string, text string")).count() == 0
