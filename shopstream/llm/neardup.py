@@ -80,14 +80,17 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["row", "n", "d1", "d2", "halves"])
 
 
+_SETS = "c long, n long, halves array<long>, items binary, least binary"
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingle hashes of each text as bytes, and its MORE minhashes."""
+    """The shingle hashes of each text as bytes, and its minhashes."""
     for batch in common.steps(batches):
         hashes, offsets = common.words(*common.utf8(common.text_of(batch)), common.SPACED)
         own = [shingles(hashes[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         made = [minhashes(o, 0, HASHES + MORE).tobytes() for o in own]
-        columns = [batch.column(0), pa.array([o.tobytes() for o in own], pa.binary()), pa.array(made, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["c", "items", "least"])
+        columns = [*map(batch.column, ("c", "n", "halves")), pa.array([o.tobytes() for o in own], pa.binary()), pa.array(made, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["c", "n", "halves", "items", "least"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,24 +183,24 @@ def _compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def _others(tables: DataFrame, named: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+def _others(tables: DataFrame, part: DataFrame, sets: DataFrame) -> DataFrame:
     """Candidate pairs of different components in tables that hold more than a star: every such
-    pair that shares a table, once. A table's rows are dealt to tiles of about 512, each pair of
-    tiles is one small group, and nothing but alike pairs leaves it."""
-    seen = tables.join(named, "c")
+    pair that shares a table, once. The rows that share a half key are dealt to tiles of about
+    512, each pair of tiles is one small group, and nothing but alike pairs leaves it."""
+    named = tables.join(part.withColumnRenamed("node", "c"), "c", "left")
+    seen = named.select("t", "c", F.coalesce("component", "c").alias("comp"))
     mixed = seen.groupBy("t").agg(F.count("*").alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     mixed = mixed.filter("m > 2 AND low <> high").select("t")
-    open_ = seen.join(mixed, "t").select("c", "comp").distinct()
-    rows = open_.join(sizes, "c").join(sets.select("c", "least"), "c")
-    each = rows.select("c", F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "key"))
-    crowd = each.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
-    tiles = F.ceil(F.col("m") / TILE).cast("int")
-    dealt = each.join(crowd, "key").select("c", "place", "key", tiles.alias("tiles"))
-    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
+    open_ = common.written(seen.join(mixed, "t").select("c", "comp").distinct())
+    rows = open_.join(sets.drop("items"), "c")
+    each = rows.select("c", "comp", "n", "least", F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "key"))
+    crowd = open_.join(sets.select("c", "halves"), "c").select(F.explode(F.slice("halves", 1, SIDE)).alias("key"))
+    tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
+    crowd = crowd.groupBy("key").agg(F.count("*").alias("m"), tiles).filter("m > 1").select("key", "tiles")
+    dealt = each.join(crowd, "key").withColumn("tile", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = dealt.select("c", "place", "key", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
-    dealt = dealt.join(rows.select("c", "comp", "n", "least"), "c")
-    dealt = dealt.select("key", "low", "high", "place", "tile", "c", "comp", "n", "least")
+    pair = [F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")]
+    dealt = dealt.select("key", *pair, "place", "tile", "c", "comp", "n", "least")
     sorted_ = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     return sorted_.mapInArrow(_tile, "a long, b long")
 
@@ -237,21 +240,17 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     stars = tables.join(hubs, "t").filter("c <> a").select("a", F.col("c").alias("b")).distinct()
     stars = common.written(stars)
     met = stars.select(F.col("a").alias("c")).unionAll(stars.select(F.col("b").alias("c"))).distinct()
-    texts = full.select(F.col("uid").alias("c"), F.col("row.text").cast("string").alias("text")).join(met.hint("merge"), "c")
-    sets = common.written(texts.mapInArrow(_sets, "c long, items binary, least binary"))
+    texts = full.select(F.col("uid").alias("c"), "n", "halves", F.col("row.text").cast("string").alias("text"))
+    # the same plan at every size: met grows with the documents
+    sets = common.written(texts.join(met.hint("merge"), "c").mapInArrow(_sets, _SETS))
     links = common.written(confirm(stars, sets))
     part = graph.components(links)
-    found = met.join(part.withColumnRenamed("node", "c"), "c", "left")
-    named = common.written(found.select("c", F.coalesce("component", "c").alias("comp")))
-    sizes = full.select(F.col("uid").alias("c"), "n", "halves")
-    more = _others(tables, named, sets, sizes).distinct().join(stars, ["a", "b"], "left_anti")
-    more = common.written(confirm(more, sets))
+    more = common.written(confirm(_others(tables, part, sets), sets))
     if not more.isEmpty():
         part = graph.components(links.unionAll(more))
-    least = classes.select("c", "first").join(part.withColumnRenamed("node", "c"), "c")
-    least = least.groupBy("component").agg(F.min("first").alias("smallest"))
-    joined = part.join(least, "component").select(F.col("node").alias("c"), "smallest")
-    of_class = classes.join(joined, "c", "left").select(*digest, F.coalesce("smallest", "first").alias("first"))
+    of_class = classes.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
+    least = of_class.groupBy("component").agg(F.min("first").alias("first"))
+    of_class = of_class.drop("first").join(least, "component").select(*digest, "first")
     out = rows.select("uid", "doc_id", *digest).join(of_class, digest, "left")
     return out.select("uid", "doc_id", "n", F.coalesce("first", key).alias("first"))
 
