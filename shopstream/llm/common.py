@@ -58,7 +58,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = ST
     for batch in batches:
         if not batch.num_rows:
             continue
-        _, offsets = utf8(batch.column(batch.schema.get_field_index(text)))
+        _, offsets = utf8(text_of(batch, text))
         first = 0
         while first < batch.num_rows:
             last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
@@ -67,7 +67,9 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = ST
 
 
 def text_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
-    return batch.column(batch.schema.get_field_index(name))
+    """A text column, empty where it is null."""
+    column = batch.column(batch.schema.get_field_index(name))
+    return column.fill_null("") if column.null_count else column
 
 
 def mix(x: np.ndarray) -> np.ndarray:

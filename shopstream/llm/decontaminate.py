@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,9 +117,13 @@ def blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple]]:
         yield [tuple(r) for r in rows.filter(part == k).collect()]
 
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+NEW = ("n_words", "hit_spans", "hit_items")
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, names: tuple[str, str, str] = NEW) -> DataFrame:
     """The rows of ``docs`` with ``n_words``, ``hit_spans`` (the word ranges that lie in some
-    benchmark window, end exclusive) and ``hit_items`` (ids of the items with such a window).
+    benchmark window, end exclusive) and ``hit_items`` (ids of the items with such a window), or
+    with other names for these.
 
     Test fingerprints go to the tasks in parts of a bounded size, one for most benchmarks; the
     training texts are read once for each part and never shuffled, so a passage that many texts
@@ -129,56 +133,43 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, block_words: int = BLO
     returned each, repeated ones too; their other columns stay, except that columns named like
     the three new ones are replaced.
     """
-    kept = docs.drop("n_words", "hit_spans", "hit_items", "__text")
-    schema = T.StructType(
-        [
-            *kept.schema.fields,
-            T.StructField("n_words", T.LongType()),
-            T.StructField("hit_spans", HITS),
-            T.StructField("hit_items", T.ArrayType(T.LongType())),
-        ]
-    )
-    found = None
-    for items in blocks(benchmark, block_words):
+    found = docs.drop(*names)
+    kinds = (T.LongType(), HITS, T.ArrayType(T.LongType()))
+    schema = T.StructType([*found.schema.fields, *map(T.StructField, names, kinds)])
+    for k, items in enumerate(blocks(benchmark, block_words)):
         block = docs.sparkSession.sparkContext.broadcast(Block(items))
-        if found is None:
-            source = kept.withColumn("__text", common.whole_text())
-        else:
-            source = common.written(found).withColumn("__text", common.whole_text())
-        found = source.mapInArrow(_marker(block, found is None), schema)
+        found = (common.written(found) if k else found).mapInArrow(_marker(block, names, k == 0), schema)
     return found
 
 
-def _marker(block, first: bool):
+def _marker(block, names: tuple[str, str, str], first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = block.value
-        for batch in common.steps(batches, "__text"):
-            hashes, offsets = common.words(*common.utf8(common.text_of(batch, "__text")), common.ALNUM)
+        for batch in common.steps(batches):
+            hashes, offsets = common.words(*common.utf8(common.text_of(batch)), common.ALNUM)
             rows = batch.num_rows
             spans: dict[int, list] = {}
             items: dict[int, set] = {}
             if not first:
-                for name, into, kind in (("hit_spans", spans, list), ("hit_items", items, set)):
-                    for row, value in enumerate(batch.column(name).to_pylist()):
-                        if value:
-                            made = [(v["start"], v["end"]) for v in value] if kind is list else value
-                            into[row] = kind(made)
+                for row, value in enumerate(batch.column(names[1]).to_pylist()):
+                    spans[row] = [(v["start"], v["end"]) for v in value]
+                for row, value in enumerate(batch.column(names[2]).to_pylist()):
+                    items[row] = set(value)
             for n, starts, places in known.hits(hashes, offsets):
                 row = np.searchsorted(offsets, starts, "right") - 1
-                for r in np.unique(row):
-                    own = row == r if len(starts) < 64 else slice(*np.searchsorted(row, [r, r + 1]))
-                    at = starts[own] - offsets[r]
-                    spans.setdefault(int(r), []).extend((int(a), int(a) + n) for a in at)
-                    owners = known.items[n]
-                    items.setdefault(int(r), set()).update(*(owners[p] for p in np.unique(places[own]).tolist()))
-            names = [x for x in batch.schema.names if x not in ("__text", "n_words", "hit_spans", "hit_items")]
-            columns = [batch.column(x) for x in names]
-            columns.append(pa.array(np.diff(offsets), pa.int64()))
-            joined = [[{"start": a, "end": b} for a, b in union(spans.get(r, []))] for r in range(rows)]
+                order = np.argsort(row, kind="stable")
+                starts, places, row = starts[order], places[order], row[order]
+                found, cuts = np.unique(row, return_index=True)
+                for r, a, b in zip(found.tolist(), cuts, [*cuts[1:], len(row)], strict=False):
+                    at = starts[a:b] - offsets[r]
+                    spans.setdefault(r, []).extend((x, x + n) for x in at.tolist())
+                    items.setdefault(r, set()).update(*(known.items[n][p] for p in np.unique(places[a:b]).tolist()))
+            kept = [x for x in batch.schema.names if x not in names]
             kind = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-            columns.append(pa.array(joined, pa.list_(kind)))
-            columns.append(pa.array([sorted(x for x in items.get(r, ()) if x is not None) for r in range(rows)], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_words", "hit_spans", "hit_items"])
+            joined = [[{"start": a, "end": b} for a, b in union(spans.get(r, []))] for r in range(rows)]
+            listed = [sorted(x for x in items.get(r, ()) if x is not None) for r in range(rows)]
+            columns = [*map(batch.column, kept), pa.array(np.diff(offsets), pa.int64()), pa.array(joined, pa.list_(kind)), pa.array(listed, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
     return run
 
@@ -194,21 +185,29 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def n_hit(spans: str) -> Column:
+    """The number of words in the spans."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
+def is_contaminated(hit: Column, words: Column) -> Column:
+    """At least one word in twenty lies in a benchmark window."""
+    return (hit > 0) & (20 * hit >= words)
+
+
 def judge(found: DataFrame) -> DataFrame:
     """The rows of ``find_benchmark`` with the number of hit words, of items, a digest of the
-    items and whether a text is contaminated: at least one word in twenty is hit."""
-    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    items and whether a text is contaminated."""
     names = F.concat_ws(",", F.array_sort(F.transform("hit_items", lambda x: x.cast("string"))))
     return (
-        found.withColumn("n_hit", hit)
+        found.withColumn("n_hit", n_hit("hit_spans"))
         .withColumn("n_items", F.size("hit_items").cast("long"))
         .withColumn("items_sha256", F.sha2(names, 256))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+        .withColumn("contaminated", is_contaminated(F.col("n_hit"), F.col("n_words")))
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with the same columns."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    found = judge(find_benchmark(docs.select(own, F.col("text")), benchmark))
-    return found.filter(~F.col("contaminated")).select("__row.*")
+    found = find_benchmark(docs, benchmark, names=("__words", "__spans", "__items"))
+    return found.filter(~is_contaminated(n_hit("__spans"), F.col("__words"))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -347,37 +347,36 @@ def count(kind: str) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
-def masked(text: str, spans: list[dict]) -> str:
+def masked(text: str, spans: list[Span]) -> str:
     """The text with <KIND> in place of each span; of spans that overlap, one mark for all."""
     out, end = [], 0
-    for s in sorted(spans, key=lambda s: (s["start"], -s["end"])):
-        if s["start"] >= end:
-            out += [text[end : s["start"]], f"<{s['kind'].upper()}>"]
-        end = max(end, s["end"])
+    for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
+        if a >= end:
+            out += [text[end:a], f"<{KINDS[kind].upper()}>"]
+        end = max(end, b)
     return "".join(out) + text[end:]
 
 
 def mask(docs: DataFrame) -> DataFrame:
     """All documents with the same columns and personal data replaced by its kind in ``text``;
     ``n_chars`` follows where the text changed. Null texts stay null."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    found = find_private(docs.select(own, "text"), learn(docs))
-    schema = T.StructType([*found.schema.fields, T.StructField("__masked", T.StringType())])
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = batch.column(batch.schema.get_field_index("spans")).to_pylist()
-            texts = common.text_of(batch)
-            new = [masked(texts[k].as_py(), s) if s else None for k, s in enumerate(spans)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], names=[*batch.schema.names, "__masked"])
-
-    changed = found.mapInArrow(run, schema)
-    columns = []
-    for c in docs.columns:
-        value = F.col("__row")[c]
-        if c == "text":
-            value = F.coalesce("__masked", value)
-        elif c == "n_chars":
-            value = F.when(F.col("__masked").isNotNull(), F.length("__masked").cast(docs.schema[c].dataType)).otherwise(value)
-        columns.append(value.alias(c))
-    return changed.select(*columns)
+        for batch in common.steps(batches):
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            texts = columns["text"].to_pylist()
+            changed = {}
+            for k, text in enumerate(texts):
+                spans = private(text, shared.value)[1] if text else []
+                if spans:
+                    changed[k] = masked(text, spans)
+            if changed:
+                columns["text"] = pa.array([changed.get(k, text) for k, text in enumerate(texts)], columns["text"].type)
+                if "n_chars" in columns:
+                    counts = columns["n_chars"].to_pylist()
+                    lengths = [len(changed[k]) if k in changed else n for k, n in enumerate(counts)]
+                    columns["n_chars"] = pa.array(lengths, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -199,6 +199,12 @@ def scored(docs: DataFrame, net: Network | None, keep: Column | None = None) ->
 
 def good_documents(docs: DataFrame, labels: DataFrame, least: float = GOOD) -> DataFrame:
     """The documents that score at least ``least``, with the same columns."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    found = scored(docs.select(own, "text"), learn(docs, labels))
-    return found.filter(F.col("score") >= least).select("__row.*")
+    model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.steps(batches, limit=512 << 10):
+            if model.value is not None:
+                batch = batch.filter(pa.array(score(model.value, *common.utf8(common.text_of(batch))) >= least))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
