@@ -49,7 +49,7 @@ class WordTokenizer:
     """
 
     #: Words and ids kept, of the words first met: frequent words come early.
-    KEEP, KEEP_IDS = 1_000_000, 6_000_000
+    KEEP, KEEP_IDS = 800_000, 5_000_000
     MARKS = ",.;:!?*%$&#|"
 
     def __init__(self, path: str):
@@ -242,7 +242,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, po
 
         words = tokenizer(vocabulary)
         packer = Packer(size, pool, TaskContext.get().partitionId() << 40)
-        for batch in common.steps(batches, limit=2 * common.STEP_BYTES):
+        for batch in common.steps(batches):
             keys = batch.column(0).to_pylist()
             ids, offsets = words.encode(common.text_of(batch).to_pylist())
             for row, key in enumerate(keys):
