@@ -15,15 +15,22 @@ from pyspark.sql import types as T
 
 from registry import tables as t
 from registry.queries import flat_alerts, query
+from shopstream.functions import events as fe
 from shopstream.operators import validation as val
-from shopstream.plans import master, medallion
+from shopstream.plans import master, medallion, reports
 from shopstream.sources import readers, sinks
 
 TOPICS = ["product-view-events", "cart-events", "checkout-events", "payment-events"]
 
 
 def folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shopstream-")
+    """A new folder below the one the cluster names for checkpoints; a local one only where none
+    is named and Spark runs inside one machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="shopstream-")
     return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
@@ -123,7 +130,7 @@ def write_report(spark, sf):
 @query
 def export_json_sample(spark, sf):
     path = folder(spark)
-    sinks.export_json_sample(t.customers(spark, sf), path, "customer_id", 5000)
+    sinks.export_json_sample(t.customers(spark, sf), path, "customer_id", 200)
     return spark.read.schema("customer_id long, loyalty_tier string, city string, state_code string, country string").json(path)
 
 
@@ -197,3 +204,132 @@ def uuid_format(spark, sf):
     written = F.when(F.col("event_type") == "add_to_cart", digest).otherwise(F.concat_ws("-", *parts))
     rows = t.events(spark, sf).select(written.alias("event_id"), "event_type")
     return val.tag_rejects(rows, [val.uuid_format()])
+
+
+# Whole lakes: raw lines of orders, carts, checkouts and payments, master tables, and the runs over them.
+
+CUT = "1996-01-01"
+
+
+def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as events, with ids that no other event has."""
+    return t.orders(spark, sf).select(
+        F.concat(F.lit("o"), "event_id").alias("event_id"),
+        F.lit("order_completed").alias("event_type"),
+        "event_timestamp",
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.col("order_id").cast("string").alias("order_id"),
+        "total_amount",
+    )
+
+
+def write_lines(rows: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
+    """Events as JSON lines, every line twice."""
+    stamped = rows.withColumn("event_timestamp", F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00Z'"))
+    line = F.to_json(F.struct(*[c for c in stamped.columns if c not in by])).alias("value")
+    lines = stamped.select(line, *by).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
+    lines.write.mode("append").partitionBy(*by).text(path)
+
+
+def write_masters(spark: SparkSession, sf: str, lake: medallion.Lake, even_only: bool = False) -> None:
+    people = t.customers(spark, sf).withColumn("customer_id", F.col("customer_id").cast("string"))
+    people = people.filter(F.col("customer_id").cast("long") % 2 == 0) if even_only else people
+    sinks.write_report(people, lake.master("customers"))
+    products = t.products(spark, sf).withColumn("product_id", F.col("product_id").cast("string"))
+    sinks.write_report(products, lake.master("products"))
+
+
+def write_lake(spark: SparkSession, sf: str, lake: medallion.Lake) -> None:
+    """Orders before the cut, and payments, as raw lines; customers with even numbers only."""
+    early = raw_orders(spark, sf).filter(F.col("event_timestamp") < CUT)
+    write_lines(early, lake.bronze("order-events"))
+    paid = t.payments(spark, sf).select(
+        F.col("event_id").cast("string").alias("event_id"), "event_type", "event_timestamp", "customer_id", "amount", "payment_method", "payment_status"
+    )
+    write_lines(paid.withColumn("customer_id", F.col("customer_id").cast("string")), lake.bronze("payment-events"))
+    for kind, topic in (("add_to_cart", "cart-events"), ("checkout_started", "checkout-events"), ("product_view", "product-view-events")):
+        rows = t.of_type(spark, sf, kind).select(
+            F.col("event_id").cast("string").alias("event_id"), "event_type", "event_timestamp", F.col("customer_id").cast("string").alias("customer_id"), F.col("product_id").cast("string").alias("product_id")
+        )
+        write_lines(rows, lake.bronze(topic))
+    write_masters(spark, sf, lake, even_only=True)
+
+
+def worked_off(spark: SparkSession, lake: medallion.Lake) -> None:
+    """One run of the pipeline over what is there; a query that fails fails this one."""
+    from shopstream.streaming.pipeline import run_pipeline
+
+    for name, query in run_pipeline(spark, lake, once=True, checkpoints=f"{lake.root}/checkpoints").items():
+        if isinstance(query, Exception):
+            raise RuntimeError(f"pipeline query {name} failed") from query
+
+
+@query
+def run_pipeline(spark, sf):
+    """Every raw line comes twice, and the customers are replaced between two runs of the pipeline."""
+    lake = medallion.Lake(folder(spark))
+    write_lake(spark, sf, lake)
+    worked_off(spark, lake)
+    write_masters(spark, sf, lake)
+    write_lines(raw_orders(spark, sf).filter(F.col("event_timestamp") >= CUT), lake.bronze("order-events"))
+    worked_off(spark, lake)
+    orders = spark.read.parquet(lake.live("enriched-orders"))
+    return orders.select("event_id", "customer_id", "total_amount", "loyalty_tier")
+
+
+@query
+def lake_batch_and_stream(spark, sf):
+    """Batch and pipeline over one lake by turns: revenue per hour and alerts, each once."""
+    lake = medallion.Lake(folder(spark))
+    write_lake(spark, sf, lake)
+    medallion.run_batch(spark, lake)
+    worked_off(spark, lake)
+    write_lines(raw_orders(spark, sf).filter(F.col("event_timestamp") >= CUT), lake.bronze("order-events"))
+    worked_off(spark, lake)
+    medallion.run_batch(spark, lake)
+    hours = reports.lake_revenue(spark, lake)
+    start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("name")
+    alerts = spark.read.parquet(lake.gold("fraud_alerts_log"))
+    rows = hours.select(F.lit("revenue").alias("kind"), start, F.col("revenue").alias("value"))
+    return rows.unionAll(alerts.select(F.lit("alert"), "event_id", F.lit(1.0)))
+
+
+@query
+def dashboard(spark, sf):
+    """Panels of a lake that only the pipeline has written to."""
+    lake = medallion.Lake(folder(spark))
+    write_lake(spark, sf, lake)
+    worked_off(spark, lake)
+    panels = reports.dashboard(spark, lake)
+    carts = panels["cart_abandonment"].select("total_carts_initiated", "total_checkouts_completed", "cart_abandonment_percentage")
+    return carts.join(panels["alert_count"].select(F.col("total").alias("alerts")))
+
+
+HOURS = [datetime(2024, 1, 10, h) for h in (5, 6, 7)]
+
+
+@query
+def run_hour(spark, sf):
+    """Three hours one by one, one of them twice."""
+    lake = medallion.Lake(folder(spark))
+    write_masters(spark, sf, lake)
+    for kind, topic in (("add_to_cart", "cart-events"), ("product_view", "product-view-events")):
+        rows = t.of_type(spark, sf, kind).select(
+            F.col("event_id").cast("string").alias("event_id"), "event_type", "event_timestamp", F.col("customer_id").cast("string").alias("customer_id"), F.col("product_id").cast("string").alias("product_id")
+        )
+        rows = rows.withColumns(fe.time_partitions(F.col("event_timestamp")))
+        write_lines(rows.filter("year = '2024' AND month = '01' AND day IN ('09', '10')"), lake.bronze(topic), ("year", "month", "day", "hour"))
+    for at in (*HOURS, HOURS[0]):
+        medallion.run_hour(spark, lake, at, ["cart-events", "product-view-events"])
+    events = spark.read.parquet(f"{lake.root}/hourly/events")
+    return events.select("event_id", "topic", "customer_id", t.utc(F.col("event_timestamp")).alias("event_timestamp"))
+
+
+@query
+def read_latest_write(spark, sf):
+    """Two writes of several files each; the later one alone is read."""
+    path = folder(spark)
+    rows = t.of_type(spark, sf, "add_to_cart").select("event_id", "product_id")
+    rows.repartition(3).write.parquet(f"{path}/a")
+    rows.filter(F.col("product_id") % 2 == 0).repartition(4).write.parquet(f"{path}/b")
+    return readers.read_lake_table(spark, path, latest_only=True).select("event_id", "product_id")

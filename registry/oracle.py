@@ -152,10 +152,8 @@ SQL = {
         SELECT product_id, category, coalesce(price, 49.99::DOUBLE) AS unit_price
         FROM fx_products LEFT JOIN prices USING (product_id)""",
     "build_inventory": f"""
-        WITH sample AS (SELECT product_id, row_number() OVER (ORDER BY product_id) - 1 AS i FROM fx_products
-                        ORDER BY product_id LIMIT 5000),
-             lines AS (SELECT 'INV-' || i || '-' || w AS inventory_id, product_id, CAST(w AS INTEGER) AS warehouse_id
-                       FROM sample CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS w) x)
+        WITH lines AS (SELECT 'INV-' || product_id || '-' || w AS inventory_id, product_id, CAST(w AS INTEGER) AS warehouse_id
+                       FROM fx_products CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS w) x)
         SELECT *, 10 + {draw("inventory_id || ':quantity'")} % 490 AS quantity,
                {draw("inventory_id || ':reserved'")} % 5 AS reserved_quantity FROM lines""",
     "enrich_payments": """
@@ -322,10 +320,7 @@ SQL = {
         SELECT CAST({cents('total_amount')} // 1000000 * 10000 AS BIGINT) AS bucket_start, count(*) AS orders,
                {total('total_amount')} / 100.0::DOUBLE AS revenue FROM fx_orders GROUP BY 1""",
     "report_position": f"""
-        WITH {SUMMARY}, placed AS (SELECT *, row_number() OVER (ORDER BY product_count DESC, category) - 1 AS i FROM summary)
-        SELECT category, product_count + CASE WHEN i < 12 THEN 10000019 * (15 - least(i, 10)) // 10 ELSE 0 END AS product_count,
-               CASE WHEN i < 12 THEN CAST((10000019 % (7 * (i + 1))) * 45 - 125 AS DOUBLE) / 100 ELSE 0.0::DOUBLE END AS avg_unit_price
-        FROM placed""",
+        WITH {SUMMARY} SELECT category, row_number() OVER (ORDER BY product_count DESC, category) - 1 AS position FROM summary""",
     "latest_row": f"SELECT * FROM ({windows('1 day', 1440)}) w ORDER BY window_end DESC LIMIT 1",
     "running_revenue": f"""
         WITH {periods('month')} SELECT *, CAST(sum(CAST(round(revenue * 100) AS BIGINT)) OVER (ORDER BY period
@@ -344,6 +339,37 @@ SQL = {
                CAST(customer_id AS VARCHAR) AS customer_id, 'N/A' AS order_id, {score('amount', 'event_id')} AS risk_score,
                'RAPID_CONSECUTIVE_FAILURES' AS rule_violated, '2 or more failed payments within 43200 seconds' AS details
         FROM f WHERE n >= 2""",
+    "rapid_failures_at_one_instant": """
+        WITH f AS (SELECT event_id, customer_id, date_trunc('day', event_timestamp)::TIMESTAMP AS event_timestamp
+                   FROM fx_payments WHERE payment_status = 'FAILED')
+        SELECT * FROM f QUALIFY count(*) OVER (PARTITION BY customer_id ORDER BY event_timestamp
+            RANGE BETWEEN INTERVAL '43200 seconds' PRECEDING AND CURRENT ROW) >= 2""",
+    "non_finite_amounts": f"""
+        SELECT event_id % 5 AS k, CASE WHEN event_id % 5 < 3 THEN 'Negative transaction monetary value or zero quantity' END AS dlq_reason,
+               count(*) AS n, CAST(sum(CASE WHEN event_id % 5 < 3 THEN 0 ELSE floor(amount * 100 + 0.5) END) AS BIGINT) AS cents
+        FROM fx_events GROUP BY 1, 2""",
+    "whole_decimals": """
+        SELECT CASE WHEN event_id % 7 <> 0 THEN CAST(event_id AS VARCHAR) END AS event_id,
+               CASE WHEN event_id % 7 <> 0 THEN CAST(quantity AS INTEGER) END AS quantity,
+               CASE WHEN event_id % 7 = 0 THEN '{"event_id":"' || event_id || '","quantity":' || quantity || '.5}' END AS line
+        FROM fx_events""",
+    "run_pipeline": """
+        SELECT 'o' || event_id AS event_id, CAST(o.customer_id AS VARCHAR) AS customer_id, total_amount, coalesce(loyalty_tier, 'Standard') AS loyalty_tier
+        FROM fx_orders o LEFT JOIN fx_customers c
+        ON o.customer_id = c.customer_id AND (c.customer_id % 2 = 0 OR o.event_timestamp >= '1996-01-01')""",
+    "lake_batch_and_stream": f"""
+        SELECT 'revenue' AS kind, strftime(window_start, '%Y-%m-%d %H:%M:%S') AS name, revenue AS value FROM ({windows('1 hour', 60)}) w
+        UNION ALL SELECT 'alert', CAST(event_id AS VARCHAR), 1.0::DOUBLE FROM fx_payments WHERE payment_status = 'FAILED'""",
+    "dashboard": """
+        WITH n AS (SELECT count(*) FILTER (event_type = 'add_to_cart') AS c, count(*) FILTER (event_type = 'checkout_started') AS k,
+                          count(*) FILTER (payment_status = 'FAILED') AS f FROM fx_events)
+        SELECT c AS total_carts_initiated, k AS total_checkouts_completed, f AS alerts,
+               floor((greatest(c - k, 0) * 2000 + c) / (2.0 * c))::DOUBLE / 10 AS cart_abandonment_percentage FROM n""",
+    "run_hour": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, CASE event_type WHEN 'add_to_cart' THEN 'cart-events' ELSE 'product-view-events' END AS topic,
+               CAST(customer_id AS VARCHAR) AS customer_id, event_timestamp FROM fx_events
+        WHERE event_type IN ('add_to_cart', 'product_view') AND event_timestamp >= '2024-01-10 05:00:00' AND event_timestamp < '2024-01-10 08:00:00'""",
+    "read_latest_write": "SELECT event_id, product_id FROM fx_events WHERE event_type = 'add_to_cart' AND product_id % 2 = 0",
     "assign_sessions": f"""
         WITH {sessions('fx_events', 21600)} SELECT event_id, customer_id, event_timestamp, session_no FROM numbered""",
     "gap_sessions": f"""
@@ -366,7 +392,7 @@ SQL = {
     "top_segments": f"WITH {LOYALTY} SELECT * FROM loyalty ORDER BY total_customers DESC, loyalty_tier, state_code LIMIT 12",
     "latest_alerts": f"WITH {ALERTS} SELECT * FROM alerts ORDER BY event_timestamp DESC, alert_id LIMIT 100",
     "kpi_trend": f"SELECT * FROM ({windows('1 day', 1440)}) w ORDER BY window_end DESC LIMIT 30",
-    "head_by_key": "SELECT * FROM fx_customers ORDER BY customer_id LIMIT 10000",
+    "head_by_key": "SELECT * FROM fx_customers ORDER BY customer_id LIMIT 100",
     "top_products": """
         SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units FROM fx_items GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
     "slow_movers": """
@@ -514,7 +540,7 @@ LAKE = {
         UNION ALL SELECT event_id, NULL, payment_method FROM fx_payments""",
     "read_master_csv": "SELECT p_retailprice, p_partkey, p_name FROM part",
     "write_report": "SELECT * FROM fx_products",
-    "export_json_sample": "SELECT * FROM fx_customers ORDER BY customer_id LIMIT 5000",
+    "export_json_sample": "SELECT * FROM fx_customers ORDER BY customer_id LIMIT 200",
     "write_rejects": SQL["split_rejected"],
     "insert_if_absent": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, event_timestamp, CAST(customer_id AS VARCHAR) AS customer_id,

@@ -60,6 +60,24 @@ def in_range(spark, sf):
     return val.tag_rejects(t.dirty(spark, sf), [val.in_range()])
 
 
+@query
+def non_finite_amounts(spark, sf):
+    """Some amounts are infinite or not a number: they are rejected, and count as nothing in sums."""
+    k = F.col("event_id") % 5
+    value = F.when(k == 0, F.lit(float("inf"))).when(k == 1, F.lit(float("nan"))).when(k == 2, F.lit(float("-inf"))).otherwise(F.col("amount"))
+    rows = val.tag_rejects(t.events(spark, sf).select("event_id", value.alias("amount")), [val.in_range()])
+    return rows.groupBy(k.alias("k"), "dlq_reason").agg(F.count("*").alias("n"), F.coalesce(F.sum(fm.cents("amount")), F.lit(0)).cast("long").alias("cents"))
+
+
+@query
+def whole_decimals(spark, sf):
+    """Quantities written as 2.0 are 2; halves do not fit."""
+    half = F.when(F.col("event_id") % 7 == 0, ".5").otherwise(".0")
+    line = F.concat(F.lit('{"event_id":"'), F.col("event_id"), F.lit('","quantity":'), F.col("quantity"), half, F.lit("}"))
+    parsed = t.events(spark, sf).select(fe.parse_payload(line).alias("e"))
+    return parsed.select("e.event_id", "e.quantity", F.col("e._corrupt").alias("line"))
+
+
 @query
 def tag_rejects(spark, sf):
     return val.tag_rejects(t.dirty(spark, sf))
@@ -422,9 +440,8 @@ def revenue_distribution(spark, sf):
 
 @query
 def report_position(spark, sf):
-    """Position in the ranked report, which decides what the fused report adds."""
-    zero = agg.category_summary(brands(spark, sf)).withColumn("avg_unit_price", F.lit(0.0))
-    return agg.fuse_category_volume(zero, 10_000_019)
+    """Position of each category in the ranked report, counted from 0."""
+    return agg.with_position(agg.category_summary(brands(spark, sf)), "product_count", "category").select("category", "position")
 
 
 @query
@@ -448,6 +465,14 @@ def rapid_failure_alerts(spark, sf):
     return found.withColumn("risk_score", F.col("risk_score").cast("double"))
 
 
+@query
+def rapid_failures_at_one_instant(spark, sf):
+    """Times are cut to the day, so that many failures of a customer fall together."""
+    day = F.date_trunc("day", "event_timestamp").cast("timestamp_ntz")
+    daily = t.payments(spark, sf).withColumn("event_timestamp", day)
+    return windows.rapid_failures(daily, 2, 43_200).select("event_id", "customer_id", "event_timestamp")
+
+
 @query
 def assign_sessions(spark, sf):
     clicks = t.events(spark, sf).select("event_id", "customer_id", "event_timestamp")
@@ -510,7 +535,7 @@ def kpi_trend(spark, sf):
 
 @query
 def head_by_key(spark, sf):
-    return topk.head_by_key(t.customers(spark, sf), 10_000, "customer_id")
+    return topk.head_by_key(t.customers(spark, sf), 100, "customer_id")
 
 
 @query

@@ -143,4 +143,4 @@ def stream_alerts(spark, sf):
     root = folder(spark)
     so.stream_alerts(replay(spark, sf), f"{root}/out", f"{root}/checkpoint").awaitTermination()
     written = without_zone(spark.read.parquet(f"{root}/out"))
-    return written.withColumn("risk_score", F.col("risk_score").cast("double")).drop("event_id")
+    return written.withColumn("risk_score", F.col("risk_score").cast("double")).drop("event_id", "year", "month", "day")

@@ -13,6 +13,18 @@ from shopstream.sources.schemas import CORRUPT, EVENT_FIELDS, EVENT_SCHEMA, VERS
 PARTITION_FORMATS = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
 
 
+def _loose(kind: T.DataType) -> T.DataType:
+    """The type with every whole number as a double."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _loose(f.dataType), f.nullable) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_loose(kind.elementType), kind.containsNull)
+    return T.DoubleType() if isinstance(kind, T.IntegerType) else kind
+
+
+_LOOSE = _loose(EVENT_SCHEMA)
+
+
 def normalize_event_time(text: Column) -> Column:
     """ISO-8601 text to TIMESTAMP, tolerating a Z after an offset; bad text gives NULL."""
     return F.try_to_timestamp(F.regexp_replace(text, r"([+-]\d{2}:?\d{2})Z$", "$1"))
@@ -54,8 +66,28 @@ def items_total(items: Column) -> Column:
 
 
 def parse_payload(text: Column) -> Column:
-    """One JSON line to the superset event struct; unfit lines keep their text in the corrupt field."""
-    return F.from_json(text, EVENT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    """One JSON line to the superset event struct; unfit lines keep their text in the corrupt field.
+
+    Whole-number fields are read as any number: 2.0 is 2, and 2.5 or a number that is not finite
+    does not fit.
+    """
+    read = F.from_json(text, _LOOSE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowNonNumericNumbers": "false"})
+
+    def whole(value: Column) -> Column:
+        return value.isNull() | ((value == F.floor(value)) & (F.abs(value) < 2**31))
+
+    numbers = [f.name for f in EVENT_SCHEMA.fields if f.dataType == T.IntegerType()]
+    fits = F.forall(F.coalesce(read["items"], F.array().cast(_LOOSE["items"].dataType)), lambda i: whole(i["quantity"]))
+    for name in numbers:
+        fits = fits & whole(read[name])
+    columns = []
+    for field in EVENT_SCHEMA.fields:
+        if field.name == CORRUPT:
+            value = F.coalesce(read[CORRUPT], F.when(~fits, text))
+        else:
+            value = F.when(fits, read[field.name].cast(field.dataType))
+        columns.append(value.alias(field.name))
+    return F.when(text.isNotNull(), F.struct(*columns))
 
 
 def to_payload(df: DataFrame, name: str = "value") -> DataFrame:

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 
 def cents(amount: Column | str) -> Column:
-    """Amount in whole cents as BIGINT; NULL stays NULL and NaN counts as nothing."""
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.floor(F.nanvl(amount.cast("double"), F.lit(None).cast("double")) * 100 + 0.5)
+    """Amount in whole cents as BIGINT; NULL stays NULL, and what is not finite counts as nothing."""
+    amount = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    return F.floor(F.when(F.abs(amount) < float("inf"), amount) * 100 + 0.5)
 
 
 def from_cents(total: Column) -> Column:

@@ -49,19 +49,33 @@ def revenue_kpi(orders: DataFrame, as_of: datetime | Column | None = None) -> Da
     )
 
 
+def _excess_rate() -> Column:
+    """Carts in excess of checkouts in percent, to a tenth, rounded half up in whole numbers."""
+    excess = F.greatest(F.col("_c") - F.col("_k"), F.lit(0))
+    tenths = F.floor(F.try_divide(excess * 2000 + F.col("_c"), F.col("_c") * 2).cast("decimal(20,6)"))
+    return F.coalesce(tenths.cast("long") / 10, F.lit(0.0)).alias("cart_abandonment_percentage")
+
+
+def _carts_and_checkouts(carts: DataFrame, checkouts: DataFrame, *by: str) -> DataFrame:
+    marked = carts.select(*by, F.lit(True).alias("_cart")).unionAll(checkouts.select(*by, F.lit(False).alias("_cart")))
+    return marked.groupBy(*by).agg(F.count_if("_cart").alias("_c"), F.count_if(~F.col("_cart")).alias("_k"))
+
+
 def cart_abandonment(carts: DataFrame, checkouts: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
     """Cart events, checkout events and the percentage in excess; always one row."""
     stamp = F.current_timestamp() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
-    marked = carts.select(F.lit(True).alias("_cart")).unionAll(checkouts.select(F.lit(False).alias("_cart")))
-    counted = marked.agg(F.count_if("_cart").alias("_c"), F.count_if(~F.col("_cart")).alias("_k"))
-    excess = F.greatest(F.col("_c") - F.col("_k"), F.lit(0))
-    # Tenths of a percent, rounded half up in whole numbers.
-    tenths = F.floor(F.try_divide(excess * 2000 + F.col("_c"), F.col("_c") * 2).cast("decimal(20,6)"))
-    return counted.select(
+    return _carts_and_checkouts(carts, checkouts).select(
         stamp.alias("window_timestamp"),
         F.col("_c").alias("total_carts_initiated"),
         F.col("_k").alias("total_checkouts_completed"),
-        F.coalesce(tenths.cast("long") / 10, F.lit(0.0)).alias("cart_abandonment_percentage"),
+        _excess_rate(),
+    )
+
+
+def cart_abandonment_by(carts: DataFrame, checkouts: DataFrame, by: str) -> DataFrame:
+    """The same for each value of a column."""
+    return _carts_and_checkouts(carts, checkouts, by).select(
+        by, F.col("_c").alias("total_carts_initiated"), F.col("_k").alias("total_checkouts_completed"), _excess_rate()
     )
 
 
@@ -116,6 +130,12 @@ def _volume(n_events: DataFrame | int) -> Column:
     return F.lit(n_events).cast("long") if isinstance(n_events, int) else n_events.scalar()
 
 
+def with_position(summary: DataFrame, by: str, *keys: str) -> DataFrame:
+    """A report with the position of each row in its ranking, counted from 0. The window has no
+    partitions, but a report has one row per group."""
+    return summary.withColumn("position", F.row_number().over(Window.orderBy(*ranking(by, list(keys)))).cast("long") - 1)
+
+
 def _shift_top(
     summary: DataFrame, by: str, keys: Sequence[str], top: int, n_events: DataFrame | int, shifts: Mapping[str, Column]
 ) -> DataFrame:

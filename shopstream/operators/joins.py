@@ -51,12 +51,10 @@ def attach_prices(products: DataFrame, items: DataFrame) -> DataFrame:
     return joined.withColumn("unit_price", default_fill(F.col("unit_price"), DEFAULT_UNIT_PRICE))
 
 
-def build_inventory(products: DataFrame, warehouses: Sequence[int] = (1, 2, 3, 4, 5), n: int = 5000) -> DataFrame:
-    """Stock lines for the first n products in every warehouse."""
-    sample = products.select("product_id").orderBy("product_id").limit(n)
-    ranked = sample.withColumn("_i", F.row_number().over(Window.orderBy("product_id")) - 1)
-    lines = ranked.withColumn("warehouse_id", F.explode(F.array(*[F.lit(w) for w in warehouses])))
-    inventory_id = F.concat_ws("-", F.lit("INV"), F.col("_i"), F.col("warehouse_id"))
+def build_inventory(products: DataFrame, warehouses: Sequence[int] = (1, 2, 3, 4, 5)) -> DataFrame:
+    """Stock lines for every product in every warehouse."""
+    lines = products.select("product_id").withColumn("warehouse_id", F.explode(F.array(*[F.lit(w) for w in warehouses])))
+    inventory_id = F.concat_ws("-", F.lit("INV"), F.col("product_id"), F.col("warehouse_id"))
     return lines.select(
         inventory_id.alias("inventory_id"),
         "product_id",
@@ -100,9 +98,10 @@ def abandoned_carts(carts: DataFrame, checkouts: DataFrame, within: int, key: st
     Carts and checkouts of a customer are merged in time order, newest first, and each
     cart sees the nearest later checkout: no cart is paired with every checkout. Time
     is cut into slices of `within` seconds and a checkout is also shown to the slice
-    before its own, so a busy customer is spread over many tasks.
+    before its own, so a busy customer is spread over many tasks. Carts without a customer
+    can meet no checkout and go round the window.
     """
-    cart_rows = carts.withColumns({"_slice": time_slice("event_timestamp", within), "_checkout": F.lit(None).cast("long")})
+    cart_rows = carts.filter(F.col(key).isNotNull()).withColumns({"_slice": time_slice("event_timestamp", within), "_checkout": F.lit(None).cast("long")})
     shown = F.explode(F.array(F.col("_slice"), F.col("_slice") - 1))
     checkout_rows = (
         checkouts.filter(F.col(key).isNotNull())
@@ -119,7 +118,7 @@ def abandoned_carts(carts: DataFrame, checkouts: DataFrame, within: int, key: st
     gap = F.min("_checkout").over(newest_first) - micros("event_timestamp")
     seen = merged.withColumn("_gap", gap).filter(F.col("_checkout").isNull())
     missed = seen.filter(F.col("_gap").isNull() | (F.col("_gap") > within * 1_000_000))
-    return missed.select(*carts.columns)
+    return missed.select(*carts.columns).unionByName(carts.filter(F.col(key).isNull()))
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, known: bool = False) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups a streaming key is spread over; batch joins are split by adaptive execution instead.
+# Least number of groups a streaming key is spread over; batch joins are split by adaptive execution.
 STREAM_SALTS = 8
 # Above this many rows per key Spark no longer trims groups before the shuffle.
 MAP_SIDE_LIMIT = 1000
@@ -32,25 +32,26 @@ def lookup(
 ) -> DataFrame:
     """Join a large table to a master table on equal keys.
 
-    A master table whose estimated size is within the broadcast limit is sent to every
-    task, so the facts do not move. A larger one is joined by shuffle. There adaptive
+    In batch the optimizer broadcasts a master table whose size is within the session's
+    limit, so the facts do not move, and joins a larger one by shuffle. There adaptive
     execution measures the shuffled data: it still broadcasts a master table that turns
     out small, and it cuts the partition of a hot key (identical copies and NULL keys
     included) by the tasks that wrote it, giving each piece the master rows it needs.
 
-    Streams have no adaptive execution, so there the facts of a key are spread over
-    `salts` groups by the input partition they come from, and every master row is repeated
-    once per group. The spread does not look at row contents, and a task that is run
-    again repeats it exactly.
+    Streams have no adaptive execution, so where the master table is too large to be sent
+    to every task, the facts of a key are spread over `salts` groups by the input partition
+    they come from, and every master row is repeated once per group. There are as many
+    groups as a quarter of the shuffle partitions. The spread does not look at row
+    contents, and a task that is run again repeats it exactly.
     """
     if how not in ("left", "left_anti", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
     keys = as_list(on)
     added = [c for c in dim.columns if c not in keys] if how == "left" else []
-    salts = (STREAM_SALTS if fact.isStreaming else 1) if salts is None else salts
-    if fits_broadcast(dim):
-        joined = fact.join(F.broadcast(dim), keys, how)
-    elif salts == 1:
+    if salts is None:
+        partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(STREAM_SALTS, partitions // 4) if fact.isStreaming and not fits_broadcast(dim) else 1
+    if salts == 1:
         joined = fact.join(dim, keys, how)
     else:
         salted = fact.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))

@@ -51,15 +51,16 @@ def required(cols: Sequence[str], reason: str = MISSING_FIELD) -> Rule:
 
 
 def in_range(amount: str = "amount", quantity: str = "quantity", reason: str = OUT_OF_RANGE) -> Rule:
-    """Reject negative amounts and quantities below one; an absent field passes."""
+    """Reject negative and non-finite amounts, and quantities that are below one or not finite;
+    an absent field passes."""
+
+    def outside(df: DataFrame, name: str, good: Callable[[Column], Column]) -> Column:
+        value = F.col(name).cast("double")
+        # NaN counts as larger than infinity
+        return ~F.coalesce(good(value) & (value < F.lit(float("inf"))), F.lit(True)) if name in df.columns else F.lit(False)
 
     def broken(df: DataFrame) -> Column:
-        test = F.lit(False)
-        if amount in df.columns:
-            test = test | (F.coalesce(F.col(amount).cast("double"), F.lit(0.0)) < 0)
-        if quantity in df.columns:
-            test = test | (F.coalesce(F.col(quantity).cast("double"), F.lit(1.0)) <= 0)
-        return test
+        return outside(df, amount, lambda x: x >= 0) | outside(df, quantity, lambda x: x > 0)
 
     return Rule(reason, broken)
 

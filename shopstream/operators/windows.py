@@ -99,7 +99,10 @@ def rapid_failures(payments: DataFrame, k: int, seconds: int) -> DataFrame:
     along = Window.partitionBy("customer_id", "_slice").orderBy("event_timestamp", "event_id")
     now = micros("event_timestamp")
     earlier = F.lag(now, k - 1).over(along) if k > 1 else now
-    marked = shown.withColumn("_span", now - earlier)
+    marked = shown.withColumn("_earlier", earlier)
+    # Failures at one instant count for each other: the last of them sees the most.
+    same = Window.partitionBy("customer_id", "_slice").orderBy(now).rangeBetween(0, 0)
+    marked = marked.withColumn("_span", now - F.max("_earlier").over(same))
     hits = marked.filter((F.col("_own") == 0) & (F.col("_span") <= seconds * 1_000_000))
     return hits.select(*payments.columns)
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from shopstream.functions.hashing import hash_integer, hash_uniform, weighted_label
 from shopstream.functions.text import brand_name, merchant_name
 from shopstream.operators.joins import attach_prices, build_inventory, translate_category
-from shopstream.operators.topk import head_by_key
 from shopstream.operators.validation import project
 from shopstream.sources import schemas as s
 from shopstream.sources.readers import read_master_csv
@@ -23,8 +22,6 @@ FIRST_YEAR, LAST_YEAR = 2022, 2025
 RATING_LOW, RATING_HIGH = 3.5, 5.0
 COUNTRY, CURRENCY = "Brazil", "BRL"
 STOCK_TAKEN_AT = "2026-07-30T22:00:00Z"
-SAMPLE_ROWS = 5000
-SEED_CAPS = {"customers": 10_000, "inventory": 10_000}
 
 # Raw file of each input; load_master takes other names.
 FILES = {
@@ -105,13 +102,17 @@ def build_warehouses(spark: SparkSession) -> DataFrame:
 def build_stock(products: DataFrame) -> DataFrame:
     """Inventory with the time of the stock count."""
     counted_at = F.to_timestamp(F.lit(STOCK_TAKEN_AT))
-    return build_inventory(products, [w[0] for w in s.WAREHOUSES], SAMPLE_ROWS).withColumn("last_updated", counted_at)
+    return build_inventory(products, [w[0] for w in s.WAREHOUSES]).withColumn("last_updated", counted_at)
 
 
 def load_master(
-    spark: SparkSession, raw_dir: str, out_dir: str, files: Mapping[str, str] = MappingProxyType(FILES)
+    spark: SparkSession,
+    raw_dir: str,
+    out_dir: str,
+    files: Mapping[str, str] = MappingProxyType(FILES),
+    sample_rows: int | None = None,
 ) -> dict[str, str]:
-    """Writes all master tables as Parquet with a JSON sample each; returns their paths."""
+    """Writes all master tables as Parquet, on request with a JSON sample each; returns their paths."""
     schema = {
         "customers": s.RAW_CUSTOMERS,
         "products": s.RAW_PRODUCTS,
@@ -126,15 +127,13 @@ def load_master(
     write_report(build_sellers(raw["sellers"]), paths["sellers"])
     write_report(build_warehouses(spark), paths["warehouses"])
     write_report(build_stock(spark.read.parquet(paths["products"])), paths["inventory"])
-    for name, key in MASTER_KEYS.items():
-        export_json_sample(spark.read.parquet(paths[name]), f"{out_dir}/{name}.json", key, SAMPLE_ROWS)
+    if sample_rows is not None:
+        for name, key in MASTER_KEYS.items():
+            export_json_sample(spark.read.parquet(paths[name]), f"{out_dir}/{name}.json", key, sample_rows)
     return paths
 
 
 def seed_tables(spark: SparkSession, master: dict[str, str], target_dir: str) -> None:
-    """Inserts the master rows the serving tables do not have yet; two tables are capped by key."""
+    """Inserts the master rows the serving tables do not have yet."""
     for name, key in MASTER_KEYS.items():
-        rows = spark.read.parquet(master[name])
-        if name in SEED_CAPS:
-            rows = head_by_key(rows, SEED_CAPS[name], key)
-        insert_if_absent(rows, f"{target_dir}/{name}", key, order=())
+        insert_if_absent(spark.read.parquet(master[name]), f"{target_dir}/{name}", key, order=())

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shopstream.functions.events import normalize_event_time
+from shopstream.functions.events import normalize_event_time, time_partitions
 from shopstream.operators import aggregates as agg
 from shopstream.operators.joins import enrich_orders, enrich_views
 from shopstream.operators.validation import (
@@ -15,11 +19,12 @@ from shopstream.operators.validation import (
     STANDARD_RULES,
     drop_duplicate_events,
     failed_payment_alerts,
+    for_hour,
     iso_timestamp,
     parses_as_schema,
     tag_rejects,
 )
-from shopstream.sources.readers import read_events, read_lake_table
+from shopstream.sources.readers import read_events
 from shopstream.sources.schemas import CORRUPT
 from shopstream.sources.sinks import insert_if_absent, write_partitioned, write_report
 
@@ -42,6 +47,10 @@ class Lake:
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
+    def live(self, table: str) -> str:
+        """What the running pipeline writes; the batch run never touches it."""
+        return f"{self.root}/live/{table}"
+
     def master(self, table: str) -> str:
         return f"{self.root}/master/{table}.parquet"
 
@@ -91,17 +100,76 @@ def to_silver(spark: SparkSession, lake: Lake) -> None:
 def to_gold(spark: SparkSession, lake: Lake) -> None:
     """Measures and alerts from the valid events."""
     events = spark.read.parquet(lake.silver("events"))
-    orders = read_lake_table(spark, lake.silver("enriched-orders"))
+    orders = spark.read.parquet(lake.silver("enriched-orders"))
     write_report(agg.revenue_kpi(orders), lake.gold("revenue_total"))
     write_report(agg.revenue_by_window(orders, "1 hour"), lake.gold("revenue_per_hour"))
     abandonment = agg.cart_abandonment(of_topic(events, "cart-events"), of_topic(events, "checkout-events"))
     write_report(abandonment, lake.gold("cart_abandonment"))
     alerts = failed_payment_alerts(of_topic(events, "payment-events"), keep_key=True)
-    yearly = alerts.withColumn("year", F.date_format("event_timestamp", "yyyy"))
-    insert_if_absent(yearly, lake.gold("fraud_alerts_log"), "event_id", partition_by=["year"])
+    daily = alerts.withColumns(time_partitions(F.col("event_timestamp"), "day"))
+    insert_if_absent(daily, lake.gold("fraud_alerts_log"), "event_id", partition_by=["year", "month", "day"])
 
 
 def run_batch(spark: SparkSession, lake: Lake) -> None:
     """One full run."""
     to_silver(spark, lake)
     to_gold(spark, lake)
+
+
+#: Topics that the hourly run carries into silver.
+HOURLY_TOPICS = ("order-events", "product-view-events", "cart-events", "checkout-events", "payment-events")
+
+
+def run_hour(spark: SparkSession, lake: Lake, at: datetime, topics: Sequence[str] = HOURLY_TOPICS) -> None:
+    """One hour of the raw events into the hourly tables: `events`, `enriched-orders`, `views` and
+    `revenue` below `hourly/`, and new alerts.
+
+    Only the hour's directories are read, and only those are replaced, so running an hour again
+    changes nothing and the run does not grow with history. The hours, run one by one in any
+    order, make the same tables as all at once, as far as copies of an event lie in one hour.
+    """
+    raw = for_hour(read_events(spark, lake.bronze(), topics), at).drop("year", "month", "day", "hour")
+    tagged = tag_rejects(raw, LAKE_RULES)
+    # dated by the directory it came from
+    stamp = {name: F.lit(at.strftime(form)) for name, form in (("year", "%Y"), ("month", "%m"), ("day", "%d"), ("hour", "%H"))}
+
+    def replace(df: DataFrame, table: str, by: Sequence[str] = ()) -> DataFrame:
+        """Writes the hour's directories of a table and reads them back."""
+        path = f"{lake.root}/hourly/{table}"
+        writer = df.withColumns(stamp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*stamp, *by).parquet(path)
+        text = [T.StructField(name, T.StringType()) for name in stamp]
+        return for_hour(spark.read.schema(T.StructType([*df.schema.fields, *text])).parquet(path), at).drop(*stamp)
+
+    checked = replace(tagged.withColumn("accepted", F.col(REASON).isNull()), "checked-events", ["accepted"])
+    valid = checked.filter(F.col("accepted")).drop("accepted", REASON)
+    events = replace(drop_duplicate_events(typed(valid), keep_null_keys=False), "events", ["topic"])
+    customers, products = spark.read.parquet(lake.master("customers")), spark.read.parquet(lake.master("products"))
+    orders = replace(enrich_orders(of_topic(events, "order-events"), customers), "enriched-orders")
+    replace(enrich_views(of_topic(events, "product-view-events"), products), "views")
+    replace(agg.revenue_by_window(orders, "1 hour"), "revenue")
+    alerts = failed_payment_alerts(of_topic(events, "payment-events"), keep_key=True)
+    daily = alerts.withColumns(time_partitions(F.col("event_timestamp"), "day"))
+    insert_if_absent(daily, lake.gold("fraud_alerts_log"), "event_id", partition_by=["year", "month", "day"])
+
+
+def present(reader: Callable[[], DataFrame]) -> DataFrame | None:
+    """The table, or None where nothing has written it yet."""
+    try:
+        return reader()
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def either(spark: SparkSession, first: str, second: str, key: str) -> DataFrame:
+    """The rows of two tables, of which one may not be there; of a key in both, the first's."""
+    tables = [t for t in (present(lambda p=p: spark.read.parquet(p)) for p in (first, second)) if t is not None]
+    if not tables:
+        raise FileNotFoundError(f"neither {first} nor {second} is written yet")
+    if len(tables) == 1:
+        return tables[0]
+    one, two = tables
+    columns = [c for c in one.columns if c in two.columns]
+    return one.select(*columns).unionByName(two.select(*columns).join(one.select(key), key, "left_anti"))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopstream.operators import aggregates as agg
 from shopstream.operators import sets, topk
-from shopstream.plans.medallion import Lake, of_topic
-from shopstream.sources.readers import read_first_available, read_lake_table
+from shopstream.operators.validation import REASON, drop_duplicate_events
+from shopstream.plans.medallion import Lake, either, of_topic, present, typed
+from shopstream.sources.readers import read_first_available
 from shopstream.sources.sinks import write_report
+from shopstream.streaming.pipeline import ACCEPTED, checked_events
 
 COUNTED_TOPICS = ("order-events", "payment-events", "cart-events", "product-view-events")
 REVENUE_WEIGHT = 15
@@ -33,12 +36,38 @@ def executive_reports(customers: DataFrame, products: DataFrame, volume: DataFra
 
 def run_reports(spark: SparkSession, lake: Lake) -> None:
     """Writes the historical reports."""
-    volume = lake_volume(spark.read.parquet(lake.silver("events")), spark.read.parquet(lake.gold("revenue_per_hour")))
+    volume = lake_volume(lake_events(spark, lake), lake_revenue(spark, lake))
     customers, products = spark.read.parquet(lake.master("customers")), spark.read.parquet(lake.master("products"))
     for name, report in executive_reports(customers, products, volume).items():
         write_report(report, lake.gold(f"executive_dashboard/{name}"))
 
 
+def lake_events(spark: SparkSession, lake: Lake, since: date | None = None) -> DataFrame:
+    """Valid events, each once, of the batch run and of the running pipeline, as far as they are
+    there. With a date, only days from it on: in batch tables other directories are not read."""
+    frames = []
+    batch = present(lambda: spark.read.parquet(lake.silver("events")))
+    if batch is not None:
+        if since is not None:
+            day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+            batch = batch.filter(day >= F.lit(since))
+        frames.append(batch.drop("year", "month", "day"))
+    live = present(lambda: checked_events(spark, lake))
+    if live is not None:
+        frames.append(typed(live.filter(F.col("state") == ACCEPTED).drop("state", REASON, "failed_at")))
+    if not frames:
+        raise FileNotFoundError(f"no events in {lake.root}")
+    events = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    if since is not None:
+        events = events.filter(F.col("event_timestamp") >= F.lit(since).cast("timestamp"))
+    return drop_duplicate_events(events, keep_null_keys=False) if live is not None else events
+
+
+def lake_revenue(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Revenue per hour of the batch run, and of the pipeline where the batch has none."""
+    return either(spark, lake.gold("revenue_per_hour"), lake.live("revenue_per_hour"), "window_start")
+
+
 def dashboard(
     spark: SparkSession,
     lake: Lake,
@@ -46,25 +75,39 @@ def dashboard(
     base_orders: int = 0,
     payment_baseline: DataFrame | None = None,
     payment_aliases: Mapping[str, str] | None = None,
+    since: date | None = None,
 ) -> dict[str, DataFrame]:
-    """One DataFrame per panel; nothing runs until a panel is shown."""
-    events = spark.read.parquet(lake.silver("events"))
-    hourly = spark.read.parquet(lake.gold("revenue_per_hour"))
+    """One DataFrame per panel; nothing runs until a panel is shown.
+
+    Panels show what the batch run, the running pipeline or both have written; with `since`, the
+    event panels read only days from that one on.
+    """
+    events = lake_events(spark, lake, since)
+    hourly = lake_revenue(spark, lake)
     alerts = read_first_available(
-        spark,
-        [lambda s: s.read.parquet(lake.gold("fraud_alarms")), lambda s: read_lake_table(s, lake.gold("fraud_alerts_log"))],
-    )
-    total = spark.read.parquet(lake.gold("revenue_total"))
+        spark, [lambda s: s.read.parquet(lake.gold("fraud_alerts_log")), lambda s: s.read.parquet(lake.live("fraud_alarms"))]
+    ).drop("year", "month", "day")
+    total = present(lambda: spark.read.parquet(lake.gold("revenue_total")))
+    if total is None:
+        total = agg.revenue_kpi(of_topic(events, "order-events"))
     payments = of_topic(events, "payment-events")
+
+    def report(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        written = present(lambda: spark.read.parquet(lake.gold(f"executive_dashboard/{name}")))
+        return make() if written is None else written
+
+    categories = report("category_metrics", lambda: agg.category_summary(spark.read.parquet(lake.master("products"))))
+    segments = report("loyalty_demographics", lambda: agg.loyalty_demographics(spark.read.parquet(lake.master("customers"))))
     return {
         "latest_kpi": topk.latest_row(hourly),
         "revenue_trend": topk.kpi_trend(hourly),
         "average_order_value": agg.average_order_value(total, base_revenue, base_orders),
         "active_users": agg.active_users(events),
+        "cart_abandonment": agg.cart_abandonment(of_topic(events, "cart-events"), of_topic(events, "checkout-events")),
         "payment_methods": agg.payment_method_counts(payments, payment_baseline, payment_aliases),
         "activity_feed": sets.activity_feed([events]),
         "alert_count": agg.alert_count(alerts),
         "latest_alerts": topk.latest_alerts(alerts),
-        "top_categories": topk.top_categories(spark.read.parquet(lake.gold("executive_dashboard/category_metrics"))),
-        "top_segments": topk.top_segments(spark.read.parquet(lake.gold("executive_dashboard/loyalty_demographics"))),
+        "top_categories": topk.top_categories(categories),
+        "top_segments": topk.top_segments(segments),
     }

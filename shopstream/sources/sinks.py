@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -48,7 +48,7 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def export_json_sample(df: DataFrame, path: str, key: str | Sequence[str], n: int = 5000) -> None:
+def export_json_sample(df: DataFrame, path: str, key: str | Sequence[str], n: int) -> None:
     """The first n rows by key as JSON lines."""
     df.orderBy(*as_list(key)).limit(n).write.mode("overwrite").options(**JSON_TIMES).json(path)
 
@@ -68,19 +68,41 @@ def insert_if_absent(
     """Appends the rows whose key the target does not have; the first row of a key wins.
 
     The target is only asked which of the new keys it has, so its side of the join is one
-    column and, for a small batch, is not shuffled. Running the same batch again adds
-    nothing. One writer per target at a time.
+    column and, for a small batch, is not shuffled. With `partition_by`, all rows of a key must
+    belong to one partition, and only the partitions that the new rows fall in are read.
+    Running the same batch again adds nothing. A NULL key is an error: nothing tells its rows
+    apart. One writer per target at a time.
     """
     keys = as_list(key)
-    unique = first_by_key(new, keys, order)
+    checked = new.withColumns({k: F.when(F.col(k).isNull(), F.raise_error(F.lit(f"NULL in key column {k}"))).otherwise(F.col(k)) for k in keys})
+    unique = first_by_key(checked, keys, order).select(*new.columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        known = new.sparkSession.read.parquet(target).select(*keys)
-        taken = known.join(unique.select(*keys), keys, "left_semi").distinct()
-        unique = unique.join(taken, keys, "left_anti")
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-    unique.select(*new.columns).write.mode("append").partitionBy(*partition_by).parquet(target)
+        fresh = unique
+        try:
+            known = new.sparkSession.read.parquet(target)
+            if partition_by:
+                # one row for each partition that the batch touches
+                touched = unique.select(*partition_by).distinct().collect()
+                known = known.filter(in_partitions(partition_by, touched))
+            taken = known.select(*keys).join(unique.select(*keys), keys, "left_semi").distinct()
+            fresh = unique.join(taken, keys, "left_anti")
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        fresh.write.mode("append").partitionBy(*partition_by).parquet(target)
+    finally:
+        unique.unpersist()
+
+
+def in_partitions(columns: Sequence[str], touched: Sequence[Sequence]) -> Column:
+    """A filter on partition columns, which reaches the file listing."""
+    test = F.lit(False)
+    for values in touched:
+        same = F.lit(True)
+        for name, value in zip(columns, values, strict=True):
+            same = same & (F.col(name).isNull() if value is None else F.col(name) == F.lit(value))
+        test = test | same
+    return test
 
 
 def write_multi(df: DataFrame, targets: Sequence[Callable[[DataFrame], None]]) -> None:

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from shopstream.functions.events import time_partitions
 from shopstream.operators import aggregates as agg
 from shopstream.operators.joins import enrich_orders, enrich_views
 from shopstream.operators.validation import STANDARD_RULES, Rule, failed_payment_alerts, failed_payments, split_valid
 from shopstream.sources.sinks import insert_if_absent, write_multi
 
 TS = "event_timestamp"
+# Directories of the alert tables, in batch and stream alike.
+ALERT_PARTITIONS = ("year", "month", "day")
 
 
 def watermarked(events: DataFrame, delay: str | None) -> DataFrame:
@@ -79,8 +83,7 @@ def stream_abandonment(
     bucket = min(bucket, within)
     span = F.window(TS, f"{bucket} seconds").alias("_w")
     reduced = (
-        checkouts.filter(F.col("customer_id").isNotNull())
-        .withWatermark(TS, delay)
+        watermarked(checkouts.filter(F.col("customer_id").isNotNull()), delay)
         .groupBy(F.col("customer_id").alias("_customer"), span)
         .agg(F.min(TS).alias("_first"), F.max(TS).alias("_last"))
         .select("_customer", "_first", "_last", F.window_time("_w").alias("_bucket_end"))
@@ -99,79 +102,85 @@ def stream_abandonment(
     return joined.filter(F.col("_customer").isNull()).select(*carts.columns)
 
 
-STREAK_OUTPUT = "customer_id long, first_failed_at timestamp, reached_at timestamp, failures long"
-STREAK_STATE = "pending_ts array<timestamp>, pending_id array<string>, pending_failed array<boolean>, first timestamp, length long"
+STREAK_OUTPUT = "customer_id long, first_failed_at long, reached_at long, failures long"
+STREAK_STATE = "pending_at array<long>, pending_id array<string>, pending_failed array<boolean>, first long, length long"
+
+
+def _reached(at: np.ndarray, failed: np.ndarray, k: int, first: int, length: int) -> tuple[list[tuple[int, int]], int, int]:
+    """(first and kth failure) of the runs that reach k in these rows, which go on from a run of
+    `length` failures since `first`; and where the last run stands."""
+    index = np.arange(len(at))
+    success = np.maximum.accumulate(np.where(failed, -1, index)) if len(at) else index
+    carried = (success < 0) & (length > 0)
+    place = index - success + np.where(success < 0, length, 0)
+    begun = np.where(carried, first, at[np.minimum(success + 1, len(at) - 1)]) if len(at) else at
+    hits = failed & (place == k)
+    found = list(zip(begun[hits].tolist(), at[hits].tolist(), strict=True))
+    if not len(at):
+        return found, first, length
+    return (found, int(begun[-1]), int(place[-1])) if failed[-1] else (found, 0, 0)
 
 
 def stream_failure_streaks(payments: DataFrame, k: int = 3, delay: str | None = "10 minutes") -> DataFrame:
     """One row when a customer's run of failed payments reaches length k.
 
     Rows reach the function in any order, so they wait in the state until the watermark
-    has passed them and are then taken in order of time.
+    has passed them and are then taken in order of time. Times are microseconds throughout, so
+    the session's zone has no say.
     """
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts = []
-        first, length = pd.NaT, 0
+        first = length = 0
+        ats, ids, failed = [np.zeros(0, np.int64)], [np.zeros(0, object)], [np.zeros(0, bool)]
         if state.exists:
-            ts, ids, failed, first, length = state.get
-            first = pd.NaT if first is None else pd.Timestamp(first)
-            parts.append(pd.DataFrame({"ts": pd.to_datetime(list(ts)), "id": list(ids), "failed": list(failed)}))
-        parts += [pdf[["ts", "id", "failed"]] for pdf in batches]
-        rows = pd.concat([p for p in parts if len(p)] or [pd.DataFrame({"ts": pd.to_datetime([]), "id": [], "failed": []})])
-        rows = rows.sort_values(["ts", "id"], kind="stable", ignore_index=True)
-        passed = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms")
-        ready = rows["ts"] < passed
-        due, waiting = rows[ready], rows[~ready]
-
-        reached = []
-        for at, failed in zip(due["ts"], due["failed"]):
-            if not failed:
-                first, length = pd.NaT, 0
-                continue
-            length += 1
-            first = at if length == 1 else first
-            if length == k:
-                reached.append((key[0], first, at, k))
+            pending_at, pending_id, pending_failed, first, length = state.get
+            ats.append(np.array(pending_at, np.int64))
+            ids.append(np.array(pending_id, object))
+            failed.append(np.array(pending_failed, bool))
+        for pdf in batches:
+            ats.append(pdf["at"].to_numpy(np.int64))
+            ids.append(pdf["id"].to_numpy(object))
+            failed.append(pdf["failed"].to_numpy(bool))
+        rows = pd.DataFrame({"at": np.concatenate(ats), "id": np.concatenate(ids), "failed": np.concatenate(failed)})
+        rows = rows.sort_values(["at", "id"], kind="stable", ignore_index=True)
+        ready = int(np.searchsorted(rows["at"].to_numpy(), state.getCurrentWatermarkMs() * 1000))
+        due, waiting = rows[:ready], rows[ready:]
+        reached, first, length = _reached(due["at"].to_numpy(), due["failed"].to_numpy(bool), k, first, length)
 
         if len(waiting) or length:
-            state.update(
-                (
-                    [t.to_pydatetime() for t in waiting["ts"]],
-                    list(waiting["id"]),
-                    [bool(f) for f in waiting["failed"]],
-                    None if pd.isna(first) else first.to_pydatetime(),
-                    int(length),
-                )
-            )
+            state.update((waiting["at"].tolist(), waiting["id"].tolist(), waiting["failed"].tolist(), first, length))
             if len(waiting):
-                earliest = int(waiting["ts"].iloc[0].value // 1_000_000) + 1
+                earliest = int(waiting["at"].iloc[0]) // 1000 + 1
                 state.setTimeoutTimestamp(max(earliest, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
         if reached:
-            yield pd.DataFrame(reached, columns=["customer_id", "first_failed_at", "reached_at", "failures"])
+            yield pd.DataFrame([(key[0], *r, k) for r in reached], columns=["customer_id", "first_failed_at", "reached_at", "failures"])
 
     marked = watermarked(payments, delay).filter(F.col("payment_status").isNotNull() & F.col("customer_id").isNotNull())
     rows = marked.select(
         F.col("customer_id"),
-        F.col(TS).alias("ts"),
+        F.col(TS),
+        F.unix_micros(TS).alias("at"),
         F.col("event_id").cast("string").alias("id"),
         (F.col("payment_status") == "FAILED").alias("failed"),
     )
     output = STREAK_OUTPUT.replace("customer_id long", f"customer_id {payments.schema['customer_id'].dataType.simpleString()}")
-    return rows.groupBy("customer_id").applyInPandasWithState(
+    found = rows.groupBy("customer_id").applyInPandasWithState(
         advance, output, STREAK_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
+    return found.withColumns({c: F.timestamp_micros(c) for c in ("first_failed_at", "reached_at")})
 
 
 def stream_alerts(payments: DataFrame, target: str, checkpoint: str, archive: str | None = None, **trigger) -> StreamingQuery:
-    """Writes an alert for every failed payment, once, to the alert table and the archive."""
+    """Writes an alert for every failed payment, once, to the alert table and the archive, both
+    by day of the payment; a batch reads only the days it falls in."""
 
     def write(batch: DataFrame, _id: int) -> None:
         alerts = failed_payment_alerts(batch, keep_key=True)
+        daily = alerts.withColumns(time_partitions(F.col(TS), "day"))
         paths = [target] if archive is None else [target, archive]
-        write_multi(alerts, [lambda df, p=p: insert_if_absent(df, p, "event_id") for p in paths])
+        write_multi(daily, [lambda df, p=p: insert_if_absent(df, p, "event_id", partition_by=ALERT_PARTITIONS) for p in paths])
 
     return (
         payments.writeStream.queryName("alerts")

@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.functions.events import time_partitions
-from shopstream.plans.medallion import LAKE_RULES, Lake, typed
+from shopstream.operators import aggregates as agg
+from shopstream.operators.validation import REASON, drop_duplicate_events, tag_rejects
+from shopstream.plans.medallion import LAKE_RULES, Lake, of_topic, present, typed
 from shopstream.sources.readers import stream_events
-from shopstream.sources.sinks import JSON_TIMES
+from shopstream.sources.schemas import EVENT_SCHEMA
+from shopstream.sources.sinks import JSON_TIMES, write_partitioned
 from shopstream.streaming import operators as so
 
 
@@ -41,57 +45,97 @@ def by_time(df: DataFrame, ts: str = "event_timestamp") -> tuple[DataFrame, tupl
     return df.withColumns(parts), tuple(parts)
 
 
+# State of the checked events.
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
+def checked_schema() -> T.StructType:
+    """The columns of the checked events."""
+    extra = [T.StructField(n, T.StringType()) for n in ("topic", REASON)]
+    stamp = T.StructField("failed_at", T.TimestampType())
+    return T.StructType([*EVENT_SCHEMA.fields, *extra, stamp, T.StructField("state", T.StringType())])
+
+
+def checked_events(spark: SparkSession, lake: Lake) -> DataFrame:
+    """What the pipeline has parsed and judged so far, as a table."""
+    return spark.read.schema(checked_schema()).parquet(lake.live("checked-events"))
+
+
 def pipeline_starters(
     spark: SparkSession, lake: Lake, root: str, delay: str, max_files: int | None, trigger: dict
 ) -> dict[str, Callable[[], StreamingQuery]]:
-    """Name of each query and what starts it. Every query reads only its own topic's files."""
+    """Name of each query and what starts it.
+
+    The first, `checked`, lists and parses the raw text, once for all: every line goes to one
+    table with its state and topic. The others read their rows of that table, by filters that
+    reach the files, and its log of files spares them a listing. (Directories by topic would spare
+    more, but a stream that starts before the first file does not learn of them.) Outputs lie
+    below `live/`, apart from those of the batch run; only the alert log is shared.
+    """
+    source = lake.live("checked-events")
+
+    def checked() -> StreamingQuery:
+        tagged = tag_rejects(stream_events(spark, lake.bronze(), max_files), LAKE_RULES)
+        rows = tagged.withColumns({"failed_at": F.current_timestamp(), "state": F.when(F.col(REASON).isNull(), ACCEPTED).otherwise(REJECTED)})
+        return start_sink(rows, source, f"{root}/checked", "checked", **trigger)
+
+    def read(state: str, topic: str | None = None) -> DataFrame:
+        table = spark.readStream.schema(checked_schema()).parquet(source)
+        rows = table.filter(F.col("state") == state)
+        return rows.filter(F.col("topic") == topic) if topic else rows
 
     def clean(topic: str) -> DataFrame:
-        valid, _ = so.stream_rejects(stream_events(spark, lake.bronze(topic), max_files), LAKE_RULES)
-        return so.stream_dedupe(typed(valid), delay)
+        return so.stream_dedupe(typed(read(ACCEPTED, topic).drop("state", REASON, "failed_at")), delay)
 
     def sink(df: DataFrame, name: str, path: str, fmt: str = "parquet", ts: str | None = None) -> StreamingQuery:
         df, parts = by_time(df, ts) if ts else (df, ())
         return start_sink(df, path, f"{root}/{name}", name, fmt, parts, **trigger)
 
-    def rejects() -> StreamingQuery:
-        _, rejected = so.stream_rejects(stream_events(spark, lake.bronze(), max_files), LAKE_RULES)
-        return sink(rejected, "rejects", lake.rejects, "json", "failed_at")
+    def enriched(events: DataFrame, name: str, table: str, master: str) -> StreamingQuery:
+        """Each batch is joined to the master table as it is then, and is a directory of its own,
+        which a batch that runs again replaces."""
 
-    def orders() -> StreamingQuery:
-        customers = spark.read.parquet(lake.master("customers"))
-        enriched = so.stream_enrich(clean("order-events"), customers)
-        return sink(enriched, "orders", lake.silver("enriched-orders"), ts="event_timestamp")
+        def write(batch: DataFrame, batch_id: int) -> None:
+            dim = batch.sparkSession.read.parquet(lake.master(master))
+            write_partitioned(so.stream_enrich(batch, dim), f"{lake.live(table)}/batch={batch_id:012d}", mode="overwrite")
 
-    def views() -> StreamingQuery:
-        products = spark.read.parquet(lake.master("products"))
-        enriched = so.stream_enrich(clean("product-view-events"), products)
-        return sink(enriched, "views", lake.silver("customer-events"), ts="event_timestamp")
-
-    def revenue() -> StreamingQuery:
-        windows = so.stream_revenue(clean("order-events"), delay=None)
-        return sink(windows, "revenue", lake.gold("revenue_per_hour"))
+        writer = events.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", f"{root}/{name}")
+        return writer.trigger(**trigger).start()
 
     def abandonment() -> StreamingQuery:
-        def pick(topic: str) -> DataFrame:
-            valid, _ = so.stream_rejects(stream_events(spark, lake.bronze(topic), max_files), LAKE_RULES)
-            return typed(valid)
-
-        lost = so.stream_abandonment(pick("cart-events"), pick("checkout-events"), delay=delay)
-        return sink(lost, "abandonment", lake.gold("abandoned_carts"))
-
-    def alerts() -> StreamingQuery:
-        return so.stream_alerts(
-            clean("payment-events"), lake.gold("fraud_alarms"), f"{root}/alerts", lake.gold("fraud_alerts_log"), **trigger
-        )
+        lost = so.stream_abandonment(clean("cart-events"), clean("checkout-events"), delay=None)
+        return sink(lost, "abandonment", lake.live("abandoned_carts"))
+
+    def abandonment_kpi() -> StreamingQuery:
+        """The percentage per day, brought up to date for the days that a batch falls in."""
+
+        def write(batch: DataFrame, _id: int) -> None:
+            session = batch.sparkSession
+            day = F.to_date("event_timestamp").alias("day")
+            # one row for each day of the batch
+            touched = [r["day"] for r in batch.select(day).distinct().collect() if r["day"] is not None]
+            known = typed(checked_events(session, lake).filter((F.col("state") == ACCEPTED) & F.col("topic").isin("cart-events", "checkout-events")))
+            known = known.select("event_id", "topic", "event_timestamp", day).filter(F.col("day").isin(touched))
+            unique = drop_duplicate_events(known, keep_null_keys=False)
+            rows = agg.cart_abandonment_by(of_topic(unique, "cart-events"), of_topic(unique, "checkout-events"), "day")
+            target = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            target.partitionBy("day").parquet(lake.live("cart_abandonment"))
+
+        events = typed(read(ACCEPTED).filter(F.col("topic").isin("cart-events", "checkout-events")))
+        writer = events.writeStream.queryName("abandonment_kpi").foreachBatch(write)
+        return writer.option("checkpointLocation", f"{root}/abandonment_kpi").trigger(**trigger).start()
 
     return {
-        "rejects": rejects,
-        "orders": orders,
-        "views": views,
-        "revenue": revenue,
+        "checked": checked,
+        "rejects": lambda: sink(read(REJECTED).drop("state"), "rejects", lake.live("dead-letter-events"), "json", "failed_at"),
+        "orders": lambda: enriched(clean("order-events"), "orders", "enriched-orders", "customers"),
+        "views": lambda: enriched(clean("product-view-events"), "views", "customer-events", "products"),
+        "revenue": lambda: sink(so.stream_revenue(clean("order-events"), delay=None), "revenue", lake.live("revenue_per_hour")),
         "abandonment": abandonment,
-        "alerts": alerts,
+        "abandonment_kpi": abandonment_kpi,
+        "alerts": lambda: so.stream_alerts(
+            clean("payment-events"), lake.live("fraud_alarms"), f"{root}/alerts", lake.gold("fraud_alerts_log"), **trigger
+        ),
     }
 
 
@@ -101,27 +145,39 @@ def run_pipeline(
     interval: str = "5 seconds",
     once: bool = False,
     delay: str = "10 minutes",
-    max_files: int | None = None,
+    max_files: int | None = 1000,
     checkpoints: str | None = None,
 ) -> dict[str, StreamingQuery | Exception]:
     """Starts every query; one that fails is reported and does not stop the others.
 
-    With once=True all queries work off what is there and have ended on return. Calling it
-    again with the same checkpoints continues where each query stopped.
+    With once=True all queries work off what is there and have ended on return, the parsing one
+    before the others. Calling it again with the same checkpoints continues where each query
+    stopped. One pipeline and one batch run may share a lake, in either order.
     """
     root = checkpoints or f"{checkpoint_root(spark)}/shopstream"
     trigger = {"availableNow": True} if once else {"processingTime": interval}
+    if present(lambda: spark.read.parquet(lake.live("checked-events"))) is None:
+        # the directory that the other queries wait on; with partitions, so that no file is made
+        empty = spark.createDataFrame([], checked_schema())
+        empty.write.mode("ignore").partitionBy("state", "topic").parquet(lake.live("checked-events"))
     result: dict[str, StreamingQuery | Exception] = {}
+
+    def end(name: str) -> None:
+        query = result[name]
+        if isinstance(query, StreamingQuery):
+            try:
+                query.awaitTermination()
+            except PySparkException as error:
+                result[name] = error
+
     for name, start in pipeline_starters(spark, lake, root, delay, max_files, trigger).items():
         try:
             result[name] = start()
         except PySparkException as error:
             result[name] = error
+        if once and name == "checked":
+            end(name)
     if once:
-        for name, query in result.items():
-            if isinstance(query, StreamingQuery):
-                try:
-                    query.awaitTermination()
-                except PySparkException as error:
-                    result[name] = error
+        for name in result:
+            end(name)
     return result

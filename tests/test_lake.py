@@ -8,7 +8,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from shopstream.operators.validation import MISSING_FIELD, OUT_OF_RANGE, for_hour
+from shopstream.functions.events import parse_payload
+from shopstream.operators.validation import MISSING_FIELD, OUT_OF_RANGE, for_hour, in_range, tag_rejects
 from shopstream.plans import master, medallion, reports
 from shopstream.sources import readers, sinks
 from shopstream.sources.schemas import RAW_CUSTOMERS, WAREHOUSES
@@ -99,17 +100,38 @@ def test_lake_table_joins_by_name_and_skips_unreadable(spark, tmp_path):
     spark.createDataFrame([(1, "a")], "x int, y string").coalesce(1).write.parquet(f"{tmp_path}/t/one")
     spark.createDataFrame([(2.5, 2)], "z double, x int").coalesce(1).write.parquet(f"{tmp_path}/t/deep/two")
     (tmp_path / "t" / "broken.parquet").write_bytes(b"not parquet")
-    table = readers.read_lake_table(spark, f"{tmp_path}/t")
+    with pytest.raises(Exception):
+        readers.read_lake_table(spark, f"{tmp_path}/t").count()
+    table = readers.read_lake_table(spark, f"{tmp_path}/t", skip_unreadable=True)
     assert sorted(table.select("x", "y", "z").collect()) == [(1, "a", None), (2, None, 2.5)]
+    assert [Path(p).name for p in readers.files_without_rows(spark, f"{tmp_path}/t")] == ["broken.parquet"]
 
 
-def test_latest_file_only(spark, tmp_path):
-    for i in (1, 2):
-        spark.range(i).coalesce(1).write.parquet(f"{tmp_path}/t/p{i}")
-    for file in Path(tmp_path, "t", "p1").glob("*.parquet"):
+def test_a_damaged_file_stops_the_measures(spark, tmp_path):
+    write_lake(spark, tmp_path)
+    lake = medallion.Lake(str(tmp_path))
+    medallion.to_silver(spark, lake)
+    file = next(Path(lake.silver("enriched-orders")).rglob("*.parquet"))
+    file.write_bytes(b"PAR1 damaged PAR1")
+    (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception):
+        medallion.to_gold(spark, lake)
+
+
+def test_latest_write_only(spark, tmp_path):
+    for i in (10, 20):
+        spark.range(i).repartition(4).write.parquet(f"{tmp_path}/t/p{i}")
+    for file in Path(tmp_path, "t", "p10").glob("*.parquet"):
         os.utime(file, (2_000_000_000, 2_000_000_000))
-    assert readers.read_lake_table(spark, f"{tmp_path}/t", latest_only=True).count() == 1
-    assert readers.read_lake_table(spark, f"{tmp_path}/t").count() == 3
+    assert readers.read_lake_table(spark, f"{tmp_path}/t", latest_only=True).count() == 10
+    assert readers.read_lake_table(spark, f"{tmp_path}/t").count() == 30
+
+
+def test_a_schema_keeps_partition_columns(spark, tmp_path):
+    spark.range(10).withColumn("g", F.col("id") % 2).write.partitionBy("g").parquet(f"{tmp_path}/t")
+    table = readers.read_lake_table(spark, f"{tmp_path}/t", schema="id long, g int").filter("g = 1")
+    assert table.count() == 5
+    assert "PartitionFilters: [isnotnull(g" in table._jdf.queryExecution().executedPlan().toString()
 
 
 def test_master_files(spark, tmp_path):
@@ -125,7 +147,7 @@ def test_master_files(spark, tmp_path):
     (raw / "sellers.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\nabcdefgh,1,rio,RJ\n")
     (raw / "category_translation.csv").write_text("product_category_name,product_category_name_english\nbrinquedos,toys\n")
     (raw / "order_items.csv").write_text("order_id,product_id,price\no1,p1,10.00\no2,p1,10.05\n")
-    paths = master.load_master(spark, str(raw), f"{tmp_path}/master")
+    paths = master.load_master(spark, str(raw), f"{tmp_path}/master", sample_rows=1000)
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
     customers = {r["customer_id"]: r for r in tables["customers"].collect()}
     assert customers["c1"]["city"] == "sao, paulo" and customers["c1"]["country"] == "Brazil"
@@ -137,7 +159,7 @@ def test_master_files(spark, tmp_path):
     assert seller["seller_name"] == "Partner_Merchant_abcdef" and 3.5 <= seller["rating"] <= 5.0
     assert [tuple(r) for r in tables["warehouses"].orderBy("warehouse_id").collect()] == WAREHOUSES
     stock = tables["inventory"].collect()
-    assert len(stock) == 15 and {r["inventory_id"] for r in stock} == {f"INV-{i}-{w}" for i in range(3) for w in range(1, 6)}
+    assert len(stock) == 15 and {r["inventory_id"] for r in stock} == {f"INV-p{i}-{w}" for i in (1, 2, 3) for w in range(1, 6)}
     assert all(10 <= r["quantity"] < 500 and 0 <= r["reserved_quantity"] < 5 for r in stock)
     assert spark.read.json(f"{tmp_path}/master/customers.json").count() == 2
 
@@ -160,6 +182,64 @@ def test_first_insert_wins(spark, tmp_path):
     assert sorted((r["alert_id"], r["tag"]) for r in spark.read.parquet(target).collect()) == [("A", "first"), ("B", "new")]
 
 
+def test_null_keys_are_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(None, 1), ("a", 2)], "event_id string, event_timestamp int")
+    with pytest.raises(Exception, match="NULL in key column event_id"):
+        sinks.insert_if_absent(rows, f"{tmp_path}/t", "event_id")
+
+
+def test_insert_reads_only_the_days_it_touches(spark, tmp_path):
+    days = spark.createDataFrame([(f"e{d}{n}", d, f"2026-08-{d:02d}") for d in range(1, 9) for n in range(3)], "event_id string, event_timestamp int, day string")
+    days = days.withColumns({"year": F.lit("2026"), "month": F.lit("08"), "day": F.col("event_timestamp").cast("string")})
+    by = ["year", "month", "day"]
+    sinks.insert_if_absent(days, f"{tmp_path}/t", "event_id", partition_by=by)
+    again = days.filter("day IN ('2', '3')").unionByName(days.limit(1).withColumns({"event_id": F.lit("new"), "day": F.lit("3")}))
+    sinks.insert_if_absent(again, f"{tmp_path}/t", "event_id", partition_by=by)
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 25
+    known = spark.read.parquet(f"{tmp_path}/t").filter(sinks.in_partitions(by, [("2026", "08", "3")]))
+    scan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan and known.count() == 4
+
+
+def test_all_products_have_stock_and_all_rows_are_seeded(spark, tmp_path):
+    stock = master.build_stock(spark.range(6000).select(F.col("id").cast("string").alias("product_id")))
+    assert stock.count() == stock.select("inventory_id").distinct().count() == 30_000
+    paths = {}
+    for name, key in master.MASTER_KEYS.items():
+        paths[name] = f"{tmp_path}/m/{name}"
+        spark.range(12_000).select(F.col("id").cast("string").alias(key)).write.parquet(paths[name])
+    master.seed_tables(spark, paths, f"{tmp_path}/serving")
+    assert all(spark.read.parquet(f"{tmp_path}/serving/{name}").count() == 12_000 for name in paths)
+
+
+def test_hours_one_by_one_make_the_same_tables(spark, tmp_path):
+    write_lake(spark, tmp_path)
+    lake = medallion.Lake(str(tmp_path))
+    medallion.run_batch(spark, lake)
+    for hour in (15, 14, 14):
+        medallion.run_hour(spark, lake, datetime(2026, 8, 1, hour))
+    ids = [r["event_id"] for r in spark.read.parquet(f"{tmp_path}/hourly/events").collect()]
+    assert sorted(ids) == sorted(r["event_id"] for r in spark.read.parquet(lake.silver("events")).collect())
+    for table, other in (("enriched-orders", lake.silver("enriched-orders")), ("views", lake.silver("customer-events")), ("revenue", lake.gold("revenue_per_hour"))):
+        one, two = spark.read.parquet(f"{tmp_path}/hourly/{table}"), spark.read.parquet(other)
+        columns = sorted(set(one.columns) & set(two.columns) - {"year", "month", "day", "hour"})
+        assert sorted(map(str, one.select(columns).collect())) == sorted(map(str, two.select(columns).collect()))
+    assert spark.read.parquet(lake.gold("fraud_alerts_log")).count() == 1
+    seen = for_hour(readers.read_events(spark, lake.bronze(), ["order-events"]), datetime(2026, 8, 1, 15))
+    assert "PartitionFilters: []" not in seen._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_that_do_not_fit(spark):
+    lines = ['{"event_id":"a","quantity":2.0}', '{"event_id":"b","quantity":2.5}', '{"event_id":"c","total_amount":Infinity}', '{"event_id":"d","total_amount":1e999}', '{"event_id":"e","items":[{"product_id":"p","quantity":3.0,"price":1.5}]}', '{"event_id":"f","items":[{"quantity":0.5}]}']
+    parsed = spark.createDataFrame([(x,) for x in lines], "value string").select(parse_payload(F.col("value")).alias("e")).select("e.*")
+    rows = {json.loads(line)["event_id"] if "Infinity" not in line else "c": r for line, r in zip(lines, parsed.collect(), strict=True)}
+    assert rows["a"]["quantity"] == 2 and rows["a"]["_corrupt"] is None
+    assert rows["e"]["items"][0]["quantity"] == 3
+    assert all(rows[k]["_corrupt"] is not None for k in "bcf")
+    rejected = tag_rejects(spark.createDataFrame([(float("inf"),), (float("nan"),), (1.0,)], "amount double"), [in_range()])
+    assert [r["dlq_reason"] for r in rejected.collect()] == [OUT_OF_RANGE, OUT_OF_RANGE, None]
+
+
 def test_several_sinks_compute_once(spark, tmp_path):
     counter = spark.sparkContext.accumulator(0)
 

@@ -142,7 +142,7 @@ def test_streaks_joined_across_slices(spark, rows):
 
 
 @QUICK
-@given(payments)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60), st.booleans()), min_size=1, max_size=40))
 def test_rapid_failures(spark, rows):
     failed = [(c, s) for c, s, f in rows if f]
     expected = sorted((c, at(s)) for c, s in failed if sum(d == c and s - 15 <= u <= s for d, u in failed) >= 3)

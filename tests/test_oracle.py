@@ -3,7 +3,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import connect, difference
 
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+# The queries of the optional subpackage have tests of their own.
+QUERIES, STATEMENTS = entry.QUERIES, entry.statements()
 
 
 @pytest.fixture(scope="module")

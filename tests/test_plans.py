@@ -13,7 +13,7 @@ from shopstream.operators import validation as val
 
 STREAMS = {n for n in QUERIES if n.startswith("stream_") and n != "stream_volume"}
 # Windows without partitions see one row per period, or the few rows of a limit.
-SINGLE_TASK_WINDOWS = {"build_inventory", "fuse_category_volume", "fuse_loyalty_volume", "report_position", "running_revenue", "period_change"}
+SINGLE_TASK_WINDOWS = {"fuse_category_volume", "fuse_loyalty_volume", "report_position", "running_revenue", "period_change"}
 
 
 def plan(df):

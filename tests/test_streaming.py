@@ -1,6 +1,6 @@
 """Streams against their batch twins, late rows, restarts and the running pipeline."""
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.operators import aggregates as agg
 from shopstream.operators.windows import consecutive_failures
-from shopstream.plans.medallion import LAKE_RULES, Lake, typed
-from shopstream.sources.readers import read_lake_table, stream_events
+from shopstream.plans.medallion import LAKE_RULES, Lake, run_batch, typed
+from shopstream.plans.reports import dashboard, lake_events, lake_revenue
+from shopstream.sources.readers import stream_events
 from shopstream.streaming import operators as so
 from shopstream.streaming.pipeline import checkpoint_root, run_pipeline, start_sink
 from tests.events import bronze_file, event, write_lake, write_lines
@@ -135,6 +136,20 @@ def test_streaks_across_batches_and_out_of_order(feed):
     assert sorted((r["customer_id"], r["first_failed_at"]) for r in batch) == [g[:2] for g in got]
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Sao_Paulo"])
+def test_streaks_do_not_depend_on_the_zone(spark, feed, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    feed.add(rows((10, "a", "FAILED"), (30, "a", "FAILED"), (31, "b", "SUCCESS"))).add(rows((20, "a", "FAILED"), (25, "a", "SUCCESS"), (2000, "z", "SUCCESS")))
+    feed.add(rows((9000, "z", "SUCCESS")))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        feed.run(so.stream_failure_streaks(feed.stream(), 2))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    got = [(r["customer_id"], r["first_failed_at"], r["reached_at"]) for r in feed.result().collect()]
+    assert got == [("a", at(10), at(20))]
+
+
 def test_alerts_are_written_once(feed, tmp_path):
     feed.add(rows((0, "a", "FAILED", "p1"), (1, "a", "SUCCESS", "p2"))).add(rows((2, "a", "FAILED", "p1"), (3, "b", "FAILED", "p3")))
     for n in range(2):
@@ -163,15 +178,26 @@ def test_pipeline_runs_and_continues(spark, tmp_path):
         assert all(isinstance(q, StreamingQuery) and not q.isActive for q in result.values()), result
 
     run()
-    assert spark.read.json(lake.rejects).count() == 6
-    assert read_lake_table(spark, lake.silver("enriched-orders")).count() == 3
-    assert read_lake_table(spark, lake.silver("customer-events")).count() == 2
-    assert spark.read.parquet(lake.gold("fraud_alarms")).count() == 1
+    assert spark.read.json(lake.live("dead-letter-events")).count() == 6
+    assert spark.read.parquet(lake.live("enriched-orders")).count() == 3
+    assert spark.read.parquet(lake.live("customer-events")).count() == 2
+    assert spark.read.parquet(lake.live("fraud_alarms")).count() == 1
+    kpi = spark.read.parquet(lake.live("cart_abandonment")).collect()
+    assert [(r["total_carts_initiated"], r["cart_abandonment_percentage"]) for r in kpi] == [(4, 75.0)]
+    # a stream-only lake has a dashboard
+    panels = {name: panel.collect() for name, panel in dashboard(spark, lake).items()}
+    assert panels["alert_count"][0]["total"] == 1 and len(panels["activity_feed"]) == 12
+    assert panels["cart_abandonment"][0]["cart_abandonment_percentage"] == 75.0
     late = event("order_completed", customer_id="c1", order_id="o9", total_amount=9.0, event_timestamp="2026-08-01T20:00:00Z")
     write_lines(bronze_file(tmp_path, "order-events", "part-1"), [late])
+    # the master table may be replaced between two runs
+    people = spark.createDataFrame([("c1", "u1", "sao paulo", "SP", "Platinum")], "customer_id string, customer_unique_id string, city string, state_code string, loyalty_tier string")
+    people.write.mode("overwrite").parquet(lake.master("customers"))
     run()
-    assert read_lake_table(spark, lake.silver("enriched-orders")).count() == 4
-    hourly = spark.read.parquet(lake.gold("revenue_per_hour"))
+    orders = spark.read.parquet(lake.live("enriched-orders"))
+    assert orders.count() == 4
+    assert {r["order_id"]: r["loyalty_tier"] for r in orders.collect()}["o9"] == "Platinum"
+    hourly = spark.read.parquet(lake.live("revenue_per_hour"))
     assert {(r["window_start"].hour, r["revenue"]) for r in hourly.collect()} == {(14, 150.5), (15, 30.25)}
 
 
@@ -182,7 +208,40 @@ def test_failing_query_leaves_the_others(spark, tmp_path):
     (tmp_path / "master" / "products.parquet").rename(tmp_path / "master" / "elsewhere")
     result = run_pipeline(spark, lake, once=True, checkpoints=f"{tmp_path}/c")
     assert [n for n, q in result.items() if isinstance(q, Exception)] == ["views"]
-    assert read_lake_table(spark, lake.silver("enriched-orders")).count() == 3
+    assert spark.read.parquet(lake.live("enriched-orders")).count() == 3
+
+
+@pytest.mark.parametrize("first", ["batch", "stream"])
+def test_batch_and_stream_share_a_lake(spark, tmp_path, first):
+    write_lake(spark, tmp_path)
+    lake = Lake(str(tmp_path))
+    runs = {"batch": lambda: run_batch(spark, lake), "stream": lambda: run_pipeline(spark, lake, once=True, checkpoints=f"{tmp_path}/c")}
+    order = ["batch", "stream"] if first == "batch" else ["stream", "batch"]
+    for name in [*order, *order]:
+        runs[name]()
+    assert spark.read.parquet(lake.gold("revenue_per_hour")).count() == 2
+    assert spark.read.parquet(lake.silver("enriched-orders")).count() == 3
+    assert spark.read.parquet(lake.live("enriched-orders")).count() == 3
+    assert spark.read.parquet(lake.gold("fraud_alerts_log")).count() == 1
+    assert lake_events(spark, lake).count() == 12
+    assert lake_events(spark, lake, date(2026, 8, 2)).count() == 0
+    assert lake_revenue(spark, lake).count() == 2
+    assert not any(isinstance(q, Exception) for q in runs["stream"]().values())
+
+
+def test_a_cart_delivered_twice_is_lost_once(spark, tmp_path):
+    write_lake(spark, tmp_path)
+    lake = Lake(str(tmp_path))
+    lost = event("add_to_cart", customer_id="c7", product_id="p1", quantity=1, event_timestamp="2026-08-01T14:20:00Z")
+    write_lines(bronze_file(tmp_path, "cart-events", "twice"), [lost, lost])
+    run_pipeline(spark, lake, once=True, checkpoints=f"{tmp_path}/c")
+    late = {"event_timestamp": "2026-08-02T14:20:00Z"}
+    for n in (1, 2):  # the watermark moves on, and then the windows are written
+        write_lines(bronze_file(tmp_path, "cart-events", f"late{n}"), [event("add_to_cart", customer_id=f"z{n}", product_id="p1", quantity=1, **late)])
+        write_lines(bronze_file(tmp_path, "checkout-events", f"late{n}"), [event("checkout_started", customer_id=f"y{n}", **late)])
+        run_pipeline(spark, lake, once=True, checkpoints=f"{tmp_path}/c")
+    carts = spark.read.parquet(lake.live("abandoned_carts"))
+    assert carts.filter("customer_id = 'c7'").count() == 1
 
 
 def test_interval_mode_keeps_running(spark, tmp_path):
@@ -190,8 +249,9 @@ def test_interval_mode_keeps_running(spark, tmp_path):
     result = run_pipeline(spark, Lake(str(tmp_path)), "1 second", checkpoints=f"{tmp_path}/c")
     try:
         assert all(q.isActive for q in result.values())
+        result["checked"].processAllAvailable()
         result["orders"].processAllAvailable()
-        assert read_lake_table(spark, Lake(str(tmp_path)).silver("enriched-orders")).count() == 3
+        assert spark.read.parquet(Lake(str(tmp_path)).live("enriched-orders")).count() == 3
     finally:
         for query in result.values():
             query.stop()
