@@ -93,6 +93,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["c", "n", "halves", "items", "least"])
 
 
+def _similar(left: np.ndarray, right: np.ndarray) -> bool:
+    """Whether two whole sets, sorted, are similar enough."""
+    both = np.concatenate([left, right])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= PERCENT * (len(both) - shared)
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose whole sets are similar enough."""
     for batch in batches:
@@ -103,11 +111,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             one = ours[r].as_buffer()
             if held is None or not one.equals(held):  # rows of one set often come together
                 held, left = one, np.frombuffer(one, np.uint64)
-            right = np.frombuffer(theirs[r].as_buffer(), np.uint64)
-            both = np.concatenate([left, right])
-            both.sort()
-            shared = int((both[1:] == both[:-1]).sum())
-            keep[r] = 100 * shared >= PERCENT * (len(both) - shared)
+            keep[r] = _similar(left, np.frombuffer(theirs[r].as_buffer(), np.uint64))
         out = batch.filter(pa.array(keep)).select(["a", "b"])
         if out.num_rows:
             yield out
@@ -136,8 +140,9 @@ def _tables(halves: DataFrame) -> DataFrame:
 
 
 def _tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates among the rows of a table's tiles: of different components, alike by their
-    minhashes, and meeting in this half key first. Rows come sorted by group."""
+    """Links between components among the rows of two tiles. Candidates are of different
+    components, alike by their minhashes, and meet in this half key first; their whole sets
+    decide, until the two components are joined. Rows come sorted by group."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         group = np.stack([batch.column(k).to_numpy() for k in range(3)])
@@ -164,9 +169,18 @@ def _compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     least = np.frombuffer(b"".join(rows["least"].to_pylist()), np.uint32).reshape(len(c), -1)
     halves = half_keys(np.ascontiguousarray(least[:, :HASHES]))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["items"].chunk(0)]
     one, two = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
     need = PERCENT / 100 - MARGIN
-    left, right = [], []
+    # components that links of this group have joined so far
+    root = {x: x for x in np.unique(comp).tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    found = []
     for r in one:
         other = two[(comp[two] != comp[r]) & ((c[two] > c[r]) if low == high else True)]
         small, large = np.minimum(n[other], n[r]), np.maximum(n[other], n[r])
@@ -176,31 +190,34 @@ def _compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(other):
             same = halves[other] == halves[r]
             other = other[(same[:, :SIDE].argmax(axis=1) == place) & same[:, SIDE:].any(axis=1)]
-            left.append(np.full(len(other), c[r]))
-            right.append(c[other])
-    if left:
-        a, b = np.concatenate(left), np.concatenate(right)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        for k in other.tolist():
+            x, y = find(int(comp[r])), find(int(comp[k]))
+            if x != y and _similar(sets[r], sets[k]):
+                root[max(x, y)] = min(x, y)
+                found.append((int(c[r]), int(c[k])))
+    if found:
+        a, b = zip(*found, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _others(tables: DataFrame, part: DataFrame, sets: DataFrame) -> DataFrame:
-    """Candidate pairs of different components in tables that hold more than a star: every such
-    pair that shares a table, once. The rows that share a half key are dealt to tiles of about
-    512, each pair of tiles is one small group, and nothing but alike pairs leaves it."""
+    """Links between different components in tables that hold more than a star, enough to join
+    what any candidate pair joins. The rows that share a half key are dealt to tiles of about 512,
+    each pair of tiles is one small group, and at most a forest of links leaves it."""
     named = tables.join(part.withColumnRenamed("node", "c"), "c", "left")
     seen = named.select("t", "c", F.coalesce("component", "c").alias("comp"))
     mixed = seen.groupBy("t").agg(F.count("*").alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     mixed = mixed.filter("m > 2 AND low <> high").select("t")
     open_ = common.written(seen.join(mixed, "t").select("c", "comp").distinct())
-    rows = open_.join(sets.drop("items"), "c")
-    each = rows.select("c", "comp", "n", "least", F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "key"))
+    rows = open_.join(sets, "c")
+    each = rows.select("c", "comp", "n", "least", "items", F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "key"))
     crowd = open_.join(sets.select("c", "halves"), "c").select(F.explode(F.slice("halves", 1, SIDE)).alias("key"))
     tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
     crowd = crowd.groupBy("key").agg(F.count("*").alias("m"), tiles).filter("m > 1").select("key", "tiles")
     dealt = each.join(crowd, "key").withColumn("tile", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     pair = [F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")]
-    dealt = dealt.select("key", *pair, "place", "tile", "c", "comp", "n", "least")
+    dealt = dealt.select("key", *pair, "place", "tile", "c", "comp", "n", "least", "items")
     sorted_ = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     return sorted_.mapInArrow(_tile, "a long, b long")
 
@@ -222,9 +239,9 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     Rows with equal sets are one class from the start, so copies cost nothing more. Classes that
     share a table of the tensored banding are candidates; links are confirmed on whole sets. In
     each table every class is first compared with the smallest one. What that leaves in different
-    components but in one table is compared pair by pair, by its minhashes and in tiles, and the
-    pairs that are alike are confirmed too. So each candidate pair is decided, while a large group
-    of near copies gives a star of links, not all its pairs.
+    components but in one table is compared in tiles, by minhashes and then by whole sets, until
+    the components are joined. So no candidate pair that could join two components is passed
+    over, while a large group of near copies gives stars and forests, not all its pairs.
 
     Texts without words are linked with nothing. Null ids count as larger than all others.
     """
@@ -245,7 +262,7 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     sets = common.written(texts.join(met.hint("merge"), "c").mapInArrow(_sets, _SETS))
     links = common.written(confirm(stars, sets))
     part = graph.components(links)
-    more = common.written(confirm(_others(tables, part, sets), sets))
+    more = common.written(_others(tables, part, sets))
     if not more.isEmpty():
         part = graph.components(links.unionAll(more))
     of_class = classes.join(part.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
