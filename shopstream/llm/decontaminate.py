@@ -19,6 +19,9 @@ WINDOW, GRAM = 13, 7
 #: Benchmark words whose fingerprints one broadcast holds (about 100 bytes a word).
 BLOCK_WORDS = 1_000_000
 
+#: Stands for an item without an id.
+NO_ID = np.iinfo(np.int64).min
+
 HITS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
@@ -71,19 +74,28 @@ class Block:
             if not n:
                 continue
             own = hashes[a:b]
-            windows.setdefault(n, []).append((item, common.grams(own, n)))
+            windows.setdefault(n, []).append((NO_ID if item is None else item, common.grams(own, n)))
             if n == WINDOW:
                 pieces = common.grams(own, GRAM)
                 fingerprints.append(pieces[winnow(pieces, WINDOW - GRAM + 1)])
         self.fingerprints = Lookup(np.concatenate([np.zeros(0, np.uint64), *fingerprints]))
-        self.windows, self.items = {}, {}
+        self.windows, self.owners = {}, {}
         for n, made in windows.items():
-            self.windows[n] = Lookup(np.concatenate([w for _, w in made]))
-            owners: dict[int, set] = {}
-            for item, own in made:
-                for place in np.searchsorted(self.windows[n].values, np.unique(own)):
-                    owners.setdefault(int(place), set()).add(item)
-            self.items[n] = owners
+            every = np.concatenate([w for _, w in made])
+            self.windows[n] = Lookup(every)
+            place = np.searchsorted(self.windows[n].values, every)
+            item = np.concatenate([np.full(len(w), i, np.int64) for i, w in made])
+            order = np.lexsort((item, place))
+            place, item = place[order], item[order]
+            fresh = np.ones(len(place), bool)
+            fresh[1:] = (place[1:] != place[:-1]) | (item[1:] != item[:-1])
+            ends = np.searchsorted(place[fresh], np.arange(len(self.windows[n].values) + 1))
+            self.owners[n] = (ends, item[fresh])
+
+    def items(self, n: int, places: np.ndarray) -> set[int]:
+        """The ids of the items that have one of these windows."""
+        ends, item = self.owners[n]
+        return set().union(*(item[ends[p] : ends[p + 1]].tolist() for p in np.unique(places))) - {NO_ID}
 
     def hits(self, hashes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(length, first words, places of the windows) of all occurrences in these rows."""
@@ -163,11 +175,11 @@ def _marker(block, names: tuple[str, str, str], first: bool):
                 for r, a, b in zip(found.tolist(), cuts, [*cuts[1:], len(row)], strict=False):
                     at = starts[a:b] - offsets[r]
                     spans.setdefault(r, []).extend((x, x + n) for x in at.tolist())
-                    items.setdefault(r, set()).update(*(known.items[n][p] for p in np.unique(places[a:b]).tolist()))
+                    items.setdefault(r, set()).update(known.items(n, places[a:b]))
             kept = [x for x in batch.schema.names if x not in names]
             kind = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             joined = [[{"start": a, "end": b} for a, b in union(spans.get(r, []))] for r in range(rows)]
-            listed = [sorted(x for x in items.get(r, ()) if x is not None) for r in range(rows)]
+            listed = [sorted(items.get(r, ())) for r in range(rows)]
             columns = [*map(batch.column, kept), pa.array(np.diff(offsets), pa.int64()), pa.array(joined, pa.list_(kind)), pa.array(listed, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *names])
 
