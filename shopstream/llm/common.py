@@ -64,11 +64,14 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = ST
             last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def text_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
-    """A text column, empty where it is null."""
-    column = batch.column(batch.schema.get_field_index(name))
+    """A text column, or a text in a column of rows (row.text), empty where it is null."""
+    outer, _, inner = name.partition(".")
+    column = batch.column(batch.schema.get_field_index(outer))
+    column = column.field(inner) if inner else column
     return column.fill_null("") if column.null_count else column
 
 

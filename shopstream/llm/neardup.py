@@ -65,8 +65,8 @@ _SKETCH = "n long, d1 long, d2 long, halves array<long>"
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows with size, digest and half keys of the shingle set of each text."""
-    for batch in common.steps(batches):
-        hashes, offsets = common.words(*common.utf8(common.text_of(batch)), common.SPACED)
+    for batch in common.steps(batches, "row.text"):
+        hashes, offsets = common.words(*common.utf8(common.text_of(batch, "row.text")), common.SPACED)
         rows = batch.num_rows
         n, digests, least = np.zeros(rows, np.int64), np.zeros((2, rows), np.uint64), np.zeros((rows, HASHES), np.uint32)
         for r in range(rows):
@@ -226,7 +226,7 @@ def sketched(docs: DataFrame, *columns: str) -> DataFrame:
     """One row for each document, numbered (uid), with the given columns (row) and the sketch of
     its set, as a written table: the numbers stay."""
     row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
-    rows = docs.select(row, common.whole_text().alias("text"))
+    rows = docs.select(row)
     kind = rows.schema["row"].dataType
     schema = T.StructType([T.StructField("row", kind), *T.StructType.fromDDL(_SKETCH).fields])
     return common.written(rows.mapInArrow(_sketch, schema).withColumn("uid", F.monotonically_increasing_id()))

@@ -49,7 +49,7 @@ class WordTokenizer:
     """
 
     #: Words and ids kept, of the words first met: frequent words come early.
-    KEEP, KEEP_IDS = 800_000, 5_000_000
+    KEEP, KEEP_IDS = 500_000, 3_000_000
     MARKS = ",.;:!?*%$&#|"
 
     def __init__(self, path: str):
