@@ -14,7 +14,7 @@ def held(doc_id):
 
 
 def test_held_out_accuracy(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"  # enough labels to learn from
     rows = {r["doc_id"]: r for r in QUERIES["op4_quality"](spark, sf).collect()}
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert len(rows) == docs.count()
