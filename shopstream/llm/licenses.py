@@ -60,16 +60,28 @@ RULES = [
 #: A sentence ends at a line break, or at a mark before white space.
 ENDS = r"\n|[.!?:;]+[ \t\r]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Of these ends, those that a known sentence does not go across: . ! ? before white space, and a
+#: line without letters and digits.
+FULL_ENDS = r"[.!?][ \t\r\n]|\n[^a-z0-9]*\n"
+#: A known sentence from one end to another, H and S for full and other ends. The longest first.
+KNOWN = (
+    "[HS] ?(?:" + "|".join(s.replace(" ", "[ S]++") for s in sorted(SENTENCES, key=len, reverse=True)) + ")(?= ?[HS])"
+)
 
 
-def _known(sentences: Column) -> Column:
+def _known(lowered: Column) -> Column:
+    """The known sentences in order; wrapped lines, ':' and ';' may stand inside one."""
     table = F.create_map(*chain.from_iterable((F.lit(s), F.lit(f"<{i}>")) for s, i in SENTENCES.items()))
-    return F.filter(F.transform(sentences, lambda s: table[s]), lambda i: i.isNotNull())
+    marked = F.regexp_replace(F.regexp_replace(lowered, FULL_ENDS, "H"), r"\n|[:;][ \t\r]", "S")
+    marked = F.concat(F.lit("H"), F.regexp_replace(marked, "[^a-z0-9HS]+", " "), F.lit("H"))
+    found = F.regexp_extract_all(marked, F.lit(KNOWN), F.lit(0))
+    return F.transform(found, lambda s: table[F.trim(F.regexp_replace(s, "[^a-z0-9]+", " "))])
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, n_sentences, sentence_ids (those of the known ones in
-    order, joined by commas), n_rules (how often rules match) and licenses (the names of matching
+    """One row for each document: doc_id, n_sentences (the pieces between ends that hold a letter
+    or digit), sentence_ids (those of the known ones in order, joined by commas; a known sentence
+    may go across the ends at line breaks, ':' and ';'), n_rules (how often rules match) and licenses (the names of matching
     rules, each once, in order of the rules, joined by commas).
 
     Whole texts, with no shuffle and no code outside the built-in functions. Null and empty texts
@@ -77,8 +89,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     lowered = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), UPPER, LOWER)
     plain = F.transform(F.split(lowered, ENDS, -1), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    found = docs.select("doc_id", F.filter(plain, lambda s: s != "").alias("sentences"))
-    found = found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), _known(F.col("sentences")).alias("known"))
+    n_sentences = F.size(F.filter(plain, lambda s: s != "")).cast("long")
+    found = docs.select("doc_id", n_sentences.alias("n_sentences"), _known(lowered).alias("known"))
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"<{i}>" for i in ids)).alias("ids")) for name, ids in RULES])
     none = F.lit(None).cast("array<string>")
 

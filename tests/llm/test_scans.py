@@ -43,6 +43,92 @@ def test_license_rules(spark, tmp_path):
     assert difference(licenses.scan(docs), con, licenses.SQL) is None
 
 
+# The standard notices as they are published, wrapped.
+APACHE_WRAPPED = """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL_WRAPPED = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MIT_WRAPPED = """Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+ISC_WRAPPED = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+BSD_WRAPPED = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_notices(spark):
+    gpl = "gpl3-grant,gpl-warranty,gpl-see"
+    cases = {
+        1: (APACHE_WRAPPED, "apache-header,apache-compliance,apache-copy,apache-as-is,apache-see", "Apache-2.0"),
+        2: (GPL_WRAPPED, gpl, "GPL-3.0-or-later"),
+        3: (" ".join(GPL_WRAPPED.split()), gpl, "GPL-3.0-or-later"),
+        4: ("".join(f" * {line}\r\n" for line in GPL_WRAPPED.splitlines()), gpl, "GPL-3.0-or-later"),
+        5: (MIT_WRAPPED, "mit-grant,mit-notice,mit-as-is,mit-liability", "MIT"),
+        6: (ISC_WRAPPED, "isc-grant", "ISC"),
+        7: (BSD_WRAPPED, "bsd-grant,bsd-source,bsd-binary,bsd-names", "BSD-3-Clause"),
+        8: (BSD_WRAPPED[: BSD_WRAPPED.index("3.")], "bsd-grant,bsd-source,bsd-binary", "BSD-2-Clause"),
+        # a full stop or an empty line inside is no wrapped sentence
+        9: ("Released under. the MIT License.", "", ""),
+        10: ("Released under\n\nthe MIT License.", "", ""),
+        11: ("Not released\nunder the MIT License.", "", ""),
+    }
+    found = {r["doc_id"]: r for r in licenses.scan(tables.documents(spark, [(k, v[0]) for k, v in cases.items()])).collect()}
+    for k, (_, ids, names) in cases.items():
+        assert (found[k]["sentence_ids"], found[k]["n_rules"], found[k]["licenses"]) == (ids, int(names != ""), names)
+
+
 def test_licenses_stay_inside_the_engine(spark, sf):
     plan = QUERIES["op1_licenses"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Exchange"))
