@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +22,9 @@ LABELS = 1 + len(KINDS)
 #: Documents the field learns from, and the probability from which it adds a span.
 SAMPLE_ROWS, SURE = 4000, 0.95
 
+#: A message that changes by less is settled.
+STILL = 1e-6
+
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
@@ -202,8 +206,21 @@ def _bits(features: list[int]) -> np.ndarray:
     return np.concatenate([x, np.ones((len(x), 1), np.int64)], axis=1).astype(np.float64)
 
 
-def beliefs(field: Field, found: Mentions, rounds: int = 12) -> np.ndarray:
-    """The label probabilities of every mention, by loopy sum-product message passing."""
+def _outgoing(source: np.ndarray, n: int) -> np.ndarray:
+    """The messages that leave each mention, one row each, filled up with -1."""
+    order = np.argsort(source, kind="stable")
+    counts = np.bincount(source, minlength=n)
+    out = np.full((n, counts.max(initial=0)), -1, np.int64)
+    out[source[order], np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)] = order
+    return out
+
+
+def beliefs(field: Field, found: Mentions) -> np.ndarray:
+    """The label probabilities of every mention, by loopy sum-product message passing.
+
+    Messages pass until none changes by more than ``STILL``. A round computes only those whose
+    input changed, so evidence that runs along a chain costs its length. Loops may never settle:
+    the rounds are bounded by some for each mention of the key that repeats most."""
     n = len(found.spans)
     own = _bits(found.features) @ field.unary
     for k, label in enumerate(found.labels):
@@ -216,14 +233,24 @@ def beliefs(field: Field, found: Mentions, rounds: int = 12) -> np.ndarray:
     m = len(left)
     reverse = np.concatenate([np.arange(m, 2 * m), np.arange(m)])
     messages = np.zeros((2 * m, LABELS))
-    for _ in range(rounds if m else 0):
-        total = own.copy()
-        np.add.at(total, target, messages)
-        sent = (total[source] - messages[reverse])[:, :, None] + field.pair[both]
+    leaving = _outgoing(source, n)
+    longest = max(Counter(key for keys in found.keys for key in keys).values(), default=0)
+    total, live = own.copy(), np.arange(2 * m)
+    for _ in range(100 + 10 * longest):
+        if not len(live):
+            break
+        sent = (total[source[live]] - messages[reverse[live]])[:, :, None] + field.pair[both[live]]
         top = sent.max(axis=1, keepdims=True)
         new = np.log(np.exp(sent - top).sum(axis=1)) + top[:, 0]
         new -= new.max(axis=1, keepdims=True)
-        messages = 0.5 * messages + 0.5 * new if m > n else new
+        change = new - messages[live]
+        if m > n:
+            change *= 0.5
+        messages[live] += change
+        np.add.at(total, target[live], change)
+        moved = live[np.abs(change).max(axis=1) > STILL]
+        live = np.unique(np.concatenate([moved, leaving[target[moved]].ravel()]))
+        live = live[live >= 0]
     total = own
     np.add.at(total, target, messages)
     p = np.exp(total - total.max(axis=1, keepdims=True))

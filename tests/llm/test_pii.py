@@ -103,6 +103,15 @@ def test_messages_pass_along_skip_edges():
     assert (left.tolist(), right.tolist(), kind.tolist()) == ([0, 1, 0], [1, 2, 2], [0, 0, 1])
 
 
+def test_evidence_reaches_the_end_of_a_long_chain(spark):
+    """All of 200 repeats of a number are added, wherever they stand."""
+    learned, _ = field(spark)
+    text = "Call +1 (132) 555-1352 now. " + "Or the number (132) 555-1352 again. " * 200
+    first, spans = pii.private(text, learned)
+    assert len(first) == 1 and len(spans) == 201
+    assert [text[a:b] for _, a, b in spans[1:]] == ["132) 555-1352"] * 200
+
+
 def test_exact_on_a_tree():
     """On a chain the messages give the exact marginals."""
     draw = np.random.default_rng(1)
