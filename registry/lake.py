@@ -318,7 +318,7 @@ def run_hour(spark, sf):
             F.col("event_id").cast("string").alias("event_id"), "event_type", "event_timestamp", F.col("customer_id").cast("string").alias("customer_id"), F.col("product_id").cast("string").alias("product_id")
         )
         rows = rows.withColumns(fe.time_partitions(F.col("event_timestamp")))
-        write_lines(rows.filter("year = '2024' AND month = '01' AND day IN ('09', '10')"), lake.bronze(topic), ("year", "month", "day", "hour"))
+        write_lines(rows, lake.bronze(topic), ("year", "month", "day", "hour"))
     for at in (*HOURS, HOURS[0]):
         medallion.run_hour(spark, lake, at, ["cart-events", "product-view-events"])
     events = spark.read.parquet(f"{lake.root}/hourly/events")

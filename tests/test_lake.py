@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from registry import lake as registry_lake
 from shopstream.functions.events import parse_payload
 from shopstream.operators.validation import MISSING_FIELD, OUT_OF_RANGE, for_hour, in_range, tag_rejects
 from shopstream.plans import master, medallion, reports
@@ -229,6 +230,16 @@ def test_hours_one_by_one_make_the_same_tables(spark, tmp_path):
     assert "PartitionFilters: []" not in seen._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hourly_query_runs_beside_all_other_hours(spark, sf, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry_lake, "folder", lambda spark: str(tmp_path))
+    found = {r["event_id"] for r in registry_lake.run_hour(spark, sf).collect()}
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    bronze = spark.read.text(medallion.Lake(str(tmp_path)).bronze("cart-events"))
+    held = bronze.select(F.get_json_object("value", "$.event_id").alias("id")).distinct().count()
+    assert held == registry_lake.t.of_type(spark, sf, "add_to_cart").select("event_id").distinct().count() > 0
+    assert 0 < len(found) < events.count()
+
+
 def test_numbers_that_do_not_fit(spark):
     lines = ['{"event_id":"a","quantity":2.0}', '{"event_id":"b","quantity":2.5}', '{"event_id":"c","total_amount":Infinity}', '{"event_id":"d","total_amount":1e999}', '{"event_id":"e","items":[{"product_id":"p","quantity":3.0,"price":1.5}]}', '{"event_id":"f","items":[{"quantity":0.5}]}']
     parsed = spark.createDataFrame([(x,) for x in lines], "value string").select(parse_payload(F.col("value")).alias("e")).select("e.*")
