@@ -228,7 +228,7 @@ def write_lines(rows: DataFrame, path: str, by: tuple[str, ...] = ()) -> None:
     stamped = rows.withColumn("event_timestamp", F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00Z'"))
     line = F.to_json(F.struct(*[c for c in stamped.columns if c not in by])).alias("value")
     lines = stamped.select(line, *by).withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
-    lines.write.mode("append").partitionBy(*by).text(path)
+    (lines.repartition(*by) if by else lines).write.mode("append").partitionBy(*by).text(path)
 
 
 def write_masters(spark: SparkSession, sf: str, lake: medallion.Lake, even_only: bool = False) -> None:
@@ -239,6 +239,11 @@ def write_masters(spark: SparkSession, sf: str, lake: medallion.Lake, even_only:
     sinks.write_report(products, lake.master("products"))
 
 
+def monthly(spark: SparkSession) -> medallion.Lake:
+    """A lake for orders of seven years, a few a day: enriched tables by month."""
+    return medallion.Lake(folder(spark), "month")
+
+
 def write_lake(spark: SparkSession, sf: str, lake: medallion.Lake) -> None:
     """Orders before the cut, and payments, as raw lines; customers with even numbers only."""
     early = raw_orders(spark, sf).filter(F.col("event_timestamp") < CUT)
@@ -267,7 +272,7 @@ def worked_off(spark: SparkSession, lake: medallion.Lake) -> None:
 @query
 def run_pipeline(spark, sf):
     """Every raw line comes twice, and the customers are replaced between two runs of the pipeline."""
-    lake = medallion.Lake(folder(spark))
+    lake = monthly(spark)
     write_lake(spark, sf, lake)
     worked_off(spark, lake)
     write_masters(spark, sf, lake)
@@ -280,7 +285,7 @@ def run_pipeline(spark, sf):
 @query
 def lake_batch_and_stream(spark, sf):
     """Batch and pipeline over one lake by turns: revenue per hour and alerts, each once."""
-    lake = medallion.Lake(folder(spark))
+    lake = monthly(spark)
     write_lake(spark, sf, lake)
     medallion.run_batch(spark, lake)
     worked_off(spark, lake)
@@ -297,12 +302,14 @@ def lake_batch_and_stream(spark, sf):
 @query
 def dashboard(spark, sf):
     """Panels of a lake that only the pipeline has written to."""
-    lake = medallion.Lake(folder(spark))
+    lake = monthly(spark)
     write_lake(spark, sf, lake)
     worked_off(spark, lake)
     panels = reports.dashboard(spark, lake)
-    carts = panels["cart_abandonment"].select("total_carts_initiated", "total_checkouts_completed", "cart_abandonment_percentage")
-    return carts.join(panels["alert_count"].select(F.col("total").alias("alerts")))
+    carts, alerts = panels["cart_abandonment"], panels["alert_count"]
+    names = ("total_carts_initiated", "total_checkouts_completed", "cart_abandonment_percentage")
+    values = F.explode(F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(n).cast("double") for n in names])))
+    return carts.select(values.alias("name", "value")).unionAll(alerts.select(F.lit("alerts"), F.col("total").cast("double")))
 
 
 HOURS = [datetime(2024, 1, 10, h) for h in (5, 6, 7)]

@@ -363,8 +363,9 @@ SQL = {
     "dashboard": """
         WITH n AS (SELECT count(*) FILTER (event_type = 'add_to_cart') AS c, count(*) FILTER (event_type = 'checkout_started') AS k,
                           count(*) FILTER (payment_status = 'FAILED') AS f FROM fx_events)
-        SELECT c AS total_carts_initiated, k AS total_checkouts_completed, f AS alerts,
-               floor((greatest(c - k, 0) * 2000 + c) / (2.0 * c))::DOUBLE / 10 AS cart_abandonment_percentage FROM n""",
+        SELECT 'total_carts_initiated' AS name, c::DOUBLE AS value FROM n UNION ALL SELECT 'total_checkouts_completed', k FROM n
+        UNION ALL SELECT 'cart_abandonment_percentage', floor((greatest(c - k, 0) * 2000 + c) / (2.0 * c))::DOUBLE / 10 FROM n
+        UNION ALL SELECT 'alerts', f FROM n""",
     "run_hour": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, CASE event_type WHEN 'add_to_cart' THEN 'cart-events' ELSE 'product-view-events' END AS topic,
                CAST(customer_id AS VARCHAR) AS customer_id, event_timestamp FROM fx_events

@@ -65,29 +65,36 @@ def items_total(items: Column) -> Column:
     )
 
 
-def parse_payload(text: Column) -> Column:
-    """One JSON line to the superset event struct; unfit lines keep their text in the corrupt field.
+def parse_payload(lines: DataFrame, text: str = "value") -> DataFrame:
+    """A column of JSON lines replaced by the fields of the superset event schema; lines that do
+    not fit keep their text in the corrupt field.
 
     Whole-number fields are read as any number: 2.0 is 2, and 2.5 or a number that is not finite
-    does not fit.
+    does not fit. A line is parsed once, whichever fields and filters come after: the struct
+    leaves a generator, into which the optimizer copies no filter or projection.
     """
-    read = F.from_json(text, _LOOSE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowNonNumericNumbers": "false"})
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowNonNumericNumbers": "false"}
+    kept = [c for c in lines.columns if c != text]
+    read = lines.select(*kept, F.col(text).alias("_text"), F.explode(F.array(F.from_json(text, _LOOSE, options))).alias("_read"))
 
     def whole(value: Column) -> Column:
         return value.isNull() | ((value == F.floor(value)) & (F.abs(value) < 2**31))
 
-    numbers = [f.name for f in EVENT_SCHEMA.fields if f.dataType == T.IntegerType()]
-    fits = F.forall(F.coalesce(read["items"], F.array().cast(_LOOSE["items"].dataType)), lambda i: whole(i["quantity"]))
-    for name in numbers:
-        fits = fits & whole(read[name])
+    items = F.coalesce(F.col("_read.items"), F.array().cast(_LOOSE["items"].dataType))
+    fits = F.forall(items, lambda i: whole(i["quantity"]))
+    for field in EVENT_SCHEMA.fields:
+        if field.dataType == T.IntegerType():
+            fits = fits & whole(F.col("_read")[field.name])
+    judged = read.withColumn("_fits", fits)
     columns = []
     for field in EVENT_SCHEMA.fields:
+        value = F.col("_read")[field.name]
         if field.name == CORRUPT:
-            value = F.coalesce(read[CORRUPT], F.when(~fits, text))
+            value = F.coalesce(value, F.when(~F.col("_fits"), F.col("_text")))
         else:
-            value = F.when(fits, read[field.name].cast(field.dataType))
+            value = F.when(F.col("_fits"), value.cast(field.dataType))
         columns.append(value.alias(field.name))
-    return F.when(text.isNotNull(), F.struct(*columns))
+    return judged.select(*columns, *kept)
 
 
 def to_payload(df: DataFrame, name: str = "value") -> DataFrame:

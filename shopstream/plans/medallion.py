@@ -19,7 +19,6 @@ from shopstream.operators.validation import (
     STANDARD_RULES,
     drop_duplicate_events,
     failed_payment_alerts,
-    for_hour,
     iso_timestamp,
     parses_as_schema,
     tag_rejects,
@@ -34,9 +33,16 @@ LAKE_RULES = (parses_as_schema(), *STANDARD_RULES, iso_timestamp())
 
 @dataclass(frozen=True)
 class Lake:
-    """Directories of one lake."""
+    """Directories of one lake. The grain is that of the directories of the enriched tables: with
+    few events an hour, coarser ones spare thousands of small files."""
 
     root: str
+    grain: str = "hour"
+
+    @property
+    def event_grain(self) -> str:
+        """The grain of the event tables: a day, or coarser where the enriched tables are."""
+        return "day" if self.grain == "hour" else self.grain
 
     def bronze(self, topic: str = "") -> str:
         return f"{self.root}/bronze/{topic}".rstrip("/")
@@ -88,13 +94,13 @@ def to_silver(spark: SparkSession, lake: Lake) -> None:
     valid, rejected = check_events(spark, lake)
     write_partitioned(rejected, lake.rejects, "failed_at", "hour", "json", "overwrite")
     unique = drop_duplicate_events(typed(valid), keep_null_keys=False)
-    write_partitioned(unique, lake.silver("events"), grain="day", mode="overwrite", by=["topic"])
+    write_partitioned(unique, lake.silver("events"), grain=lake.event_grain, mode="overwrite", by=["topic"])
     events = spark.read.parquet(lake.silver("events"))
     customers, products = spark.read.parquet(lake.master("customers")), spark.read.parquet(lake.master("products"))
     orders = enrich_orders(of_topic(events, "order-events"), customers)
-    write_partitioned(orders, lake.silver("enriched-orders"), mode="overwrite")
+    write_partitioned(orders, lake.silver("enriched-orders"), grain=lake.grain, mode="overwrite")
     views = enrich_views(of_topic(events, "product-view-events"), products)
-    write_partitioned(views, lake.silver("customer-events"), mode="overwrite")
+    write_partitioned(views, lake.silver("customer-events"), grain=lake.grain, mode="overwrite")
 
 
 def to_gold(spark: SparkSession, lake: Lake) -> None:
@@ -124,22 +130,19 @@ def run_hour(spark: SparkSession, lake: Lake, at: datetime, topics: Sequence[str
     """One hour of the raw events into the hourly tables: `events`, `enriched-orders`, `views` and
     `revenue` below `hourly/`, and new alerts.
 
-    Only the hour's directories are read, and only those are replaced, so running an hour again
-    changes nothing and the run does not grow with history. The hours, run one by one in any
+    Only the hour's directories are listed and read, and only those are replaced, so running an
+    hour again changes nothing and the run does not grow with history. The hours, run one by one in any
     order, make the same tables as all at once, as far as copies of an event lie in one hour.
     """
-    raw = for_hour(read_events(spark, lake.bronze(), topics), at).drop("year", "month", "day", "hour")
+    raw = read_events(spark, lake.bronze(), topics, at).drop("year", "month", "day", "hour")
     tagged = tag_rejects(raw, LAKE_RULES)
-    # dated by the directory it came from
-    stamp = {name: F.lit(at.strftime(form)) for name, form in (("year", "%Y"), ("month", "%m"), ("day", "%d"), ("hour", "%H"))}
+    hour = at.strftime("year=%Y/month=%m/day=%d/hour=%H")
 
     def replace(df: DataFrame, table: str, by: Sequence[str] = ()) -> DataFrame:
-        """Writes the hour's directories of a table and reads them back."""
-        path = f"{lake.root}/hourly/{table}"
-        writer = df.withColumns(stamp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(*stamp, *by).parquet(path)
-        text = [T.StructField(name, T.StringType()) for name in stamp]
-        return for_hour(spark.read.schema(T.StructType([*df.schema.fields, *text])).parquet(path), at).drop(*stamp)
+        """Writes the hour's directory of a table and reads it back."""
+        path = f"{lake.root}/hourly/{table}/{hour}"
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     checked = replace(tagged.withColumn("accepted", F.col(REASON).isNull()), "checked-events", ["accepted"])
     valid = checked.filter(F.col("accepted")).drop("accepted", REASON)

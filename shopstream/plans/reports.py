@@ -49,8 +49,10 @@ def lake_events(spark: SparkSession, lake: Lake, since: date | None = None) -> D
     batch = present(lambda: spark.read.parquet(lake.silver("events")))
     if batch is not None:
         if since is not None:
-            day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
-            batch = batch.filter(day >= F.lit(since))
+            # from the first day of the directory's month or year on, where it holds more than a day
+            parts = [(c, v) for c, v in (("year", since.year), ("month", since.month), ("day", since.day)) if c in batch.columns]
+            from_here = F.array(*[F.col(c).cast("int") for c, _ in parts])
+            batch = batch.filter(from_here >= F.array(*[F.lit(v) for _, v in parts]))
         frames.append(batch.drop("year", "month", "day"))
     live = present(lambda: checked_events(spark, lake))
     if live is not None:

@@ -97,7 +97,7 @@ def pipeline_starters(
 
         def write(batch: DataFrame, batch_id: int) -> None:
             dim = batch.sparkSession.read.parquet(lake.master(master))
-            write_partitioned(so.stream_enrich(batch, dim), f"{lake.live(table)}/batch={batch_id:012d}", mode="overwrite")
+            write_partitioned(so.stream_enrich(batch, dim), f"{lake.live(table)}/batch={batch_id:012d}", grain=lake.grain, mode="overwrite")
 
         writer = events.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", f"{root}/{name}")
         return writer.trigger(**trigger).start()

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry.queries import QUERIES
+from shopstream.functions.events import parse_payload
 from shopstream.operators import aggregates as agg
 from shopstream.operators import joins, skew, windows
 from shopstream.operators import validation as val
+from shopstream.plans import medallion
 
 STREAMS = {n for n in QUERIES if n.startswith("stream_") and n != "stream_volume"}
 # Windows without partitions see one row per period, or the few rows of a limit.
@@ -150,3 +152,13 @@ def test_few_groups_and_large_limits_are_trimmed_in_parts(spark, sf):
 
 def test_share_needs_no_single_task(spark, sf):
     assert "SinglePartition" not in physical(agg.share_by(spark.read.parquet(f"{sf}/events.parquet"), "event_type")).split("Subquery")[0]
+
+
+def test_a_line_is_parsed_once(spark, sf, tmp_path):
+    """Whatever fields and filters come after; a stream's plan is that of its source in batch."""
+    read = QUERIES["read_events"](spark, sf)
+    frames = [QUERIES["payload_round_trip"](spark, sf), read, read.filter("amount > 1 AND fits")]
+    tagged = val.tag_rejects(parse_payload(spark.createDataFrame([("{}",)], "value string").withColumn("topic", F.lit("t"))), medallion.LAKE_RULES)
+    frames += [tagged, tagged.filter(F.col(val.REASON).isNull()), tagged.filter("quantity > 1 AND amount > 2").select("event_id")]
+    for frame in frames:
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1

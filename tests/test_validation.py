@@ -58,11 +58,11 @@ def test_event_time_with_stray_zone_letter(spark):
 
 def test_lines_that_do_not_fit_keep_their_text(spark):
     lines = ['{"event_id":"a","amount":"abc"}', "{bad", "[1]", '{"event_id":"b","amount":1}', '{"event_id":"c","campaign":"x"}']
-    parsed = spark.createDataFrame([(x,) for x in lines], "value string").select(parse_payload(F.col("value")).alias("e"))
-    kept = [(r["e"]["event_id"], r["e"]["_corrupt"]) for r in parsed.collect()]
+    parsed = parse_payload(spark.createDataFrame([(x,) for x in lines], "value string"))
+    kept = [(r["event_id"], r["_corrupt"]) for r in parsed.collect()]
     assert [c for _, c in kept] == [lines[0], lines[1], lines[2], None, None]
     assert [i for i, c in kept if c is None] == ["b", "c"]
-    rejected = v.tag_rejects(parsed.select("e.*"), [v.parses_as_schema()])
+    rejected = v.tag_rejects(parsed, [v.parses_as_schema()])
     assert rejected.filter(F.col(v.REASON).isNotNull()).count() == 3
 
 
