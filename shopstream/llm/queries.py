@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopstream.llm import chat, decontaminate, embeddings, html, licenses, neardup, packing, pii, quality, tokens
+from shopstream.llm import audit, chat, decontaminate, embeddings, html, licenses, mixing, neardup, packing, pii, quality, tokens, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,3 +94,21 @@ def op10_packing(spark, sf):
     pieces = packing.pack(table(spark, sf, "documents"), vocabulary())
     columns = ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"]
     return pieces.select(*columns)
+
+
+@query
+def op11_whitening(spark, sf):
+    return whitening.by_component(whitening.whiten(table(spark, sf, "embeddings")))
+
+
+@query
+def op12_filter_audit(spark, sf):
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+ORACLE_SQL["op12_filter_audit"] = audit.SQL
+
+
+@query
+def op13_mixing(spark, sf):
+    return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
