@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from shopstream.functions import events as fe
 from shopstream.operators import validation as val
 from shopstream.plans import master, medallion, reports
 from shopstream.sources import readers, sinks
+from shopstream.sources.commits import compact, read_committed
 
 TOPICS = ["product-view-events", "cart-events", "checkout-events", "payment-events"]
 
@@ -151,7 +153,27 @@ def insert_if_absent(spark, sf):
     first = alerts.filter(F.col("customer_id").cast("long") % 2 == 0).withColumn("batch", F.lit("first"))
     for rows in (first, alerts.withColumn("batch", F.lit("second")), first):
         sinks.insert_if_absent(rows, path, "event_id")
-    return spark.read.parquet(path)
+    return read_committed(spark, path)
+
+
+@query
+def insert_two_writers(spark, sf):
+    """Two writers at once, each with payments that the other has as well, four batches each; a
+    compaction in between."""
+    path = folder(spark)
+    payments = t.payments(spark, sf).select("event_id", "event_timestamp", "customer_id")
+
+    def write(writer: int) -> None:
+        for batch in range(4):
+            mine = payments.filter((F.col("event_id") % 3 != writer) & (F.col("event_id") % 4 == (batch + writer) % 4))
+            sinks.insert_if_absent(mine.withColumns(fe.time_partitions(F.col("event_timestamp"), "month")), path, "event_id", partition_by=["year", "month"])
+
+    for again in range(2):
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(write, range(2)))
+        while not again and not compact(spark, path):
+            pass
+    return read_committed(spark, path).select("event_id", "event_timestamp", "customer_id")
 
 
 @query
@@ -294,7 +316,7 @@ def lake_batch_and_stream(spark, sf):
     medallion.run_batch(spark, lake)
     hours = reports.lake_revenue(spark, lake)
     start = F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("name")
-    alerts = spark.read.parquet(lake.gold("fraud_alerts_log"))
+    alerts = read_committed(spark, lake.gold("fraud_alerts_log"))
     rows = hours.select(F.lit("revenue").alias("kind"), start, F.col("revenue").alias("value"))
     return rows.unionAll(alerts.select(F.lit("alert"), "event_id", F.lit(1.0)))
 

@@ -515,6 +515,20 @@ STREAMS = {
                    FROM p WHERE payment_status = 'FAILED' WINDOW w AS (PARTITION BY customer_id, island))
         SELECT * FROM r WHERE failures = 3 AND reached_at < {CLOSED.format('fx_payments')}""",
     "stream_alerts": f"WITH {ALERTS} SELECT * FROM alerts",
+    "stream_active_users": f"""
+        SELECT date_trunc('day', event_timestamp) AS day, count(DISTINCT customer_id) AS customers, true AS within FROM fx_events
+        WHERE time_bucket(INTERVAL '1 hour', event_timestamp) + INTERVAL '1 hour' <= {CLOSED.format('fx_events')} GROUP BY 1""",
+    "late_rows": """
+        WITH b AS (
+            SELECT event_id, event_timestamp, 1 + (event_timestamp >= '2024-01-08')::INT + (event_timestamp >= '2024-01-15')::INT
+                   + (event_timestamp >= '2024-01-22')::INT + (event_id % 10 = 0)::INT AS batch FROM fx_events),
+        m AS (SELECT batch, max(event_timestamp) AS newest FROM b GROUP BY batch),
+        w AS (SELECT b.batch, max(m.newest) - INTERVAL '12 hours' AS mark FROM (SELECT DISTINCT batch FROM b) b JOIN m ON m.batch < b.batch GROUP BY b.batch)
+        SELECT event_id, event_timestamp, (epoch_us(mark) - epoch_us(event_timestamp)) / 1000000.0::DOUBLE AS late_seconds
+        FROM b JOIN w USING (batch) WHERE event_timestamp < mark""",
+    "recovery": """
+        SELECT table_name, CAST(event_id AS VARCHAR) AS event_id FROM fx_payments, (SELECT unnest(['alerts', 'archive']) AS table_name) n
+        WHERE payment_status = 'FAILED'""",
 }
 
 TOPIC = """CASE event_type WHEN 'product_view' THEN 'product-view-events' WHEN 'add_to_cart' THEN 'cart-events'
@@ -543,6 +557,7 @@ LAKE = {
     "write_report": "SELECT * FROM fx_products",
     "export_json_sample": "SELECT * FROM fx_customers ORDER BY customer_id LIMIT 200",
     "write_rejects": SQL["split_rejected"],
+    "insert_two_writers": "SELECT event_id, event_timestamp, customer_id FROM fx_payments",
     "insert_if_absent": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, event_timestamp, CAST(customer_id AS VARCHAR) AS customer_id,
                CASE WHEN customer_id % 2 = 0 THEN 'first' ELSE 'second' END AS batch

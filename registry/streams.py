@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,10 @@ from pyspark.sql import types as T
 from registry import tables as t
 from registry.lake import folder
 from registry.queries import query
+from shopstream.operators import aggregates as agg
 from shopstream.operators import validation as val
+from shopstream.sources import commits
+from shopstream.sources.commits import read_committed
 from shopstream.streaming import operators as so
 from shopstream.streaming.pipeline import start_sink
 
@@ -39,15 +44,20 @@ def replay(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @contextmanager
-def state_for_cores(spark: SparkSession) -> Iterator[None]:
-    """At most two state partitions per core for queries started inside; a state store costs time even if empty."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for queries started inside."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def state_for_cores(spark: SparkSession):
+    """At most two state partitions per core for queries started inside; a state store costs time even if empty."""
+    name = "spark.sql.shuffle.partitions"
+    return setting(spark, name, str(min(int(spark.conf.get(name)), 2 * spark.sparkContext.defaultParallelism)))
 
 
 def finished(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
@@ -135,12 +145,81 @@ def stream_abandonment(spark, sf):
 
 @query
 def stream_failure_streaks(spark, sf):
-    return finished(spark, lambda: so.stream_failure_streaks(replay(spark, sf), 3))
+    with setting(spark, "spark.sql.streaming.stateStore.providerClass", so.STREAK_STORE):
+        return finished(spark, lambda: so.stream_failure_streaks(replay(spark, sf), 3))
+
+
+@query
+def stream_active_users(spark, sf):
+    """Hourly sketches from a stream, merged to days, beside the exact counts of the same hours;
+    an estimate must lie within three standard deviations."""
+    hours = finished(spark, lambda: so.stream_active_users(replay(spark, sf)))
+    merged = agg.merged_users(hours).select(F.col("period").alias("day"), F.col("customers").alias("_estimate"))
+    seen = t.events(spark, sf).withColumn("window_start", F.date_trunc("hour", "event_timestamp")).join(hours.select("window_start"), "window_start", "left_semi")
+    exact = seen.groupBy(F.date_trunc("day", "window_start").alias("day")).agg(F.count_distinct("customer_id").alias("customers"))
+    allowed = F.greatest(F.lit(1.0), 3 * 1.04 / 2 ** (agg.SKETCH_LG_K / 2) * F.col("customers"))
+    judged = exact.join(merged, "day").select("day", "customers", (F.abs(F.col("_estimate") - F.col("customers")) <= allowed).alias("within"))
+    return without_zone(judged)
+
+
+@query
+def late_rows(spark, sf):
+    """The events in four batches, every tenth of them a batch late: what a stream of hourly
+    windows drops is in the side table, with how late it came."""
+    root = folder(spark)
+    events = t.events(spark, sf).select("event_id", F.col("event_timestamp").cast("timestamp").alias("event_timestamp"))
+    bounds = [F.lit(datetime(2024, 1, d)).cast("timestamp") for d in (1, 8, 15, 22)]
+    batch = sum((F.col("event_timestamp") >= b).cast("int") for b in bounds) + (F.col("event_id") % 10 == 0).cast("int")
+    for n in range(1, 6):
+        events.filter(batch == n).coalesce(1).write.parquet(f"{root}/in/{n}")
+    schema = "event_id long, event_timestamp timestamp"
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+    so.stream_late_rows(reader.parquet(f"{root}/in"), f"{root}/late", f"{root}/marks", f"{root}/checkpoint", "12 hours").awaitTermination()
+    late = spark.read.option("basePath", f"{root}/late").parquet(f"{root}/late/batch=*")
+    return without_zone(late.select("event_id", "event_timestamp", "late_seconds"))
+
+
+@contextmanager
+def dying(point: str) -> Iterator[None]:
+    """The first insert that reaches the point fails there."""
+    before, reached = commits.reached, []
+
+    def die(at: str) -> None:
+        if at == point and not reached:
+            reached.append(at)
+            raise RuntimeError(f"lost at {at}")
+
+    commits.reached = die
+    try:
+        yield
+    finally:
+        commits.reached = before
+
+
+@query
+def recovery(spark, sf):
+    """Alerts go to two tables; the stream dies after the first of them, and is started again."""
+    root = folder(spark)
+
+    def start():
+        return so.stream_alerts(replay(spark, sf), f"{root}/alerts", f"{root}/checkpoint", f"{root}/archive")
+
+    with dying("first target"):
+        query = start()
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            pass
+    if read_committed(spark, f"{root}/alerts") is None or read_committed(spark, f"{root}/archive") is not None:
+        raise AssertionError("the stream did not die between its targets")
+    start().awaitTermination()
+    tables = [read_committed(spark, f"{root}/{name}").select(F.lit(name).alias("table_name"), "event_id") for name in ("alerts", "archive")]
+    return tables[0].unionAll(tables[1])
 
 
 @query
 def stream_alerts(spark, sf):
     root = folder(spark)
     so.stream_alerts(replay(spark, sf), f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    written = without_zone(spark.read.parquet(f"{root}/out"))
+    written = without_zone(read_committed(spark, f"{root}/out"))
     return written.withColumn("risk_score", F.col("risk_score").cast("double")).drop("event_id", "year", "month", "day")

@@ -19,6 +19,9 @@ from shopstream.operators.skew import as_list, lookup
 from shopstream.operators.topk import ranking
 from shopstream.operators.windows import gap_sessions
 
+# Size of the sketches of active users: two to this power.
+SKETCH_LG_K = 12
+
 
 def _order_measures() -> list[Column]:
     return [F.sum(cents("total_amount")).alias("_cents"), F.count("*").alias("orders")]
@@ -72,6 +75,12 @@ def cart_abandonment(carts: DataFrame, checkouts: DataFrame, as_of: datetime | C
     )
 
 
+def cart_abandonment_rates(events: DataFrame, cart: Column, checkout: Column, by: str) -> DataFrame:
+    """The same for each value of a column, from events of both kinds in one table."""
+    counted = events.groupBy(by).agg(F.count_if(cart).alias("_c"), F.count_if(checkout).alias("_k"))
+    return counted.select(by, F.col("_c").alias("total_carts_initiated"), F.col("_k").alias("total_checkouts_completed"), _excess_rate())
+
+
 def cart_abandonment_by(carts: DataFrame, checkouts: DataFrame, by: str) -> DataFrame:
     """The same for each value of a column."""
     return _carts_and_checkouts(carts, checkouts, by).select(
@@ -246,6 +255,24 @@ def active_users(events: DataFrame, window: str = "1 hour", approximate: bool =
     return grouped.select(F.col("_w.start").alias("window_start"), *[c for c in grouped.columns if c != "_w"])
 
 
+def user_sketches(events: DataFrame, window: str = "1 hour", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """HyperLogLog sketches of the customers and sessions of each window, in batch and on streams.
+    Sketches of several windows, tables or runs merge without counting anyone twice."""
+    names = {"customers": "customer_id"} | ({"sessions": "session_id"} if "session_id" in events.columns else {})
+    measures = [F.hll_sketch_agg(F.col(c).cast("string"), lg_k).alias(n) for n, c in names.items()]
+    grouped = events.groupBy(F.window("event_timestamp", window).alias("_w")).agg(*measures)
+    return grouped.select(F.col("_w.start").alias("window_start"), *names)
+
+
+def merged_users(sketches: DataFrame, grain: str = "day") -> DataFrame:
+    """About how many customers and sessions were active per day, week or month, from sketches of
+    shorter windows. The relative error of a count is 1.04 / sqrt(2 ** lg_k) at one standard
+    deviation: 1.6 % with 2 ** 12."""
+    names = [c for c in ("customers", "sessions") if c in sketches.columns]
+    merged = [F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in names]
+    return sketches.groupBy(F.date_trunc(grain, "window_start").alias("period")).agg(*merged)
+
+
 def new_vs_returning(orders: DataFrame, grain: str = "month") -> DataFrame:
     """Customers per period whose first order falls in it, and the others."""
     seen = orders.filter(F.col("customer_id").isNotNull()).select("customer_id", _period(orders, grain))

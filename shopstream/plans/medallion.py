@@ -57,6 +57,11 @@ class Lake:
         """What the running pipeline writes; the batch run never touches it."""
         return f"{self.root}/live/{table}"
 
+    @property
+    def unique_events(self) -> str:
+        """Valid events, each once, of batch run and pipeline together."""
+        return f"{self.root}/unique-events"
+
     def master(self, table: str) -> str:
         return f"{self.root}/master/{table}.parquet"
 
@@ -96,13 +101,22 @@ def to_silver(spark: SparkSession, lake: Lake) -> None:
     unique = drop_duplicate_events(typed(valid), keep_null_keys=False)
     write_partitioned(unique, lake.silver("events"), grain=lake.event_grain, mode="overwrite", by=["topic"])
     events = spark.read.parquet(lake.silver("events"))
+    add_unique_events(events.drop("year", "month", "day"), lake)
     customers, products = spark.read.parquet(lake.master("customers")), spark.read.parquet(lake.master("products"))
+    events = events.drop("year", "month", "day")
     orders = enrich_orders(of_topic(events, "order-events"), customers)
     write_partitioned(orders, lake.silver("enriched-orders"), grain=lake.grain, mode="overwrite")
     views = enrich_views(of_topic(events, "product-view-events"), products)
     write_partitioned(views, lake.silver("customer-events"), grain=lake.grain, mode="overwrite")
 
 
+def add_unique_events(events: DataFrame, lake: Lake) -> None:
+    """Adds the events that the table of unique events lacks. Only the days that they fall in are
+    asked. Copies of an event carry its time, so they lie in one day."""
+    parts = time_partitions(F.col("event_timestamp"), lake.event_grain)
+    insert_if_absent(events.withColumns(parts), lake.unique_events, "event_id", partition_by=["topic", *parts])
+
+
 def to_gold(spark: SparkSession, lake: Lake) -> None:
     """Measures and alerts from the valid events."""
     events = spark.read.parquet(lake.silver("events"))

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from shopstream.operators import aggregates as agg
 from shopstream.operators import sets, topk
-from shopstream.operators.validation import REASON, drop_duplicate_events
-from shopstream.plans.medallion import Lake, either, of_topic, present, typed
-from shopstream.sources.readers import read_first_available
+from shopstream.plans.medallion import Lake, either, of_topic, present
+from shopstream.sources.commits import read_committed
+from shopstream.sources.schemas import ALERT_COLUMNS
 from shopstream.sources.sinks import write_report
-from shopstream.streaming.pipeline import ACCEPTED, checked_events
 
 COUNTED_TOPICS = ("order-events", "payment-events", "cart-events", "product-view-events")
 REVENUE_WEIGHT = 15
@@ -43,26 +42,21 @@ def run_reports(spark: SparkSession, lake: Lake) -> None:
 
 
 def lake_events(spark: SparkSession, lake: Lake, since: date | None = None) -> DataFrame:
-    """Valid events, each once, of the batch run and of the running pipeline, as far as they are
-    there. With a date, only days from it on: in batch tables other directories are not read."""
-    frames = []
-    batch = present(lambda: spark.read.parquet(lake.silver("events")))
-    if batch is not None:
-        if since is not None:
-            # from the first day of the directory's month or year on, where it holds more than a day
-            parts = [(c, v) for c, v in (("year", since.year), ("month", since.month), ("day", since.day)) if c in batch.columns]
-            from_here = F.array(*[F.col(c).cast("int") for c, _ in parts])
-            batch = batch.filter(from_here >= F.array(*[F.lit(v) for _, v in parts]))
-        frames.append(batch.drop("year", "month", "day"))
-    live = present(lambda: checked_events(spark, lake))
-    if live is not None:
-        frames.append(typed(live.filter(F.col("state") == ACCEPTED).drop("state", REASON, "failed_at")))
-    if not frames:
+    """Valid events, each once, of the batch run and of the running pipeline: both add to one table
+    what it lacks, so nothing is compared here. With a date, only days from it on; other
+    directories are not read."""
+    events = read_committed(spark, lake.unique_events)
+    if events is None:
         raise FileNotFoundError(f"no events in {lake.root}")
-    events = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
     if since is not None:
-        events = events.filter(F.col("event_timestamp") >= F.lit(since).cast("timestamp"))
-    return drop_duplicate_events(events, keep_null_keys=False) if live is not None else events
+        # from the first day of the directory's month or year on, where it holds more than a day
+        parts = [(c, v) for c, v in (("year", since.year), ("month", since.month), ("day", since.day)) if c in events.columns]
+        folder = F.lit(False)
+        for k, (c, v) in reversed(list(enumerate(parts))):
+            number = F.col(c).cast("int")
+            folder = (number > v) | ((number == v) & (folder if k + 1 < len(parts) else F.lit(True)))
+        events = events.filter(folder & (F.col("event_timestamp") >= F.lit(since).cast("timestamp")))
+    return events.drop("year", "month", "day")
 
 
 def lake_revenue(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -70,6 +64,15 @@ def lake_revenue(spark: SparkSession, lake: Lake) -> DataFrame:
     return either(spark, lake.gold("revenue_per_hour"), lake.live("revenue_per_hour"), "window_start")
 
 
+def lake_alerts(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The alert log that batch run and pipeline share; without one, no alerts."""
+    alerts = read_committed(spark, lake.gold("fraud_alerts_log"))
+    if alerts is None:
+        kinds = {"risk_score": "decimal(5,2)", "event_timestamp": "timestamp"}
+        return spark.createDataFrame([], ", ".join(f"{c} {kinds.get(c, 'string')}" for c in [*ALERT_COLUMNS, "event_id"]))
+    return alerts.drop("year", "month", "day")
+
+
 def dashboard(
     spark: SparkSession,
     lake: Lake,
@@ -86,9 +89,7 @@ def dashboard(
     """
     events = lake_events(spark, lake, since)
     hourly = lake_revenue(spark, lake)
-    alerts = read_first_available(
-        spark, [lambda s: s.read.parquet(lake.gold("fraud_alerts_log")), lambda s: s.read.parquet(lake.live("fraud_alarms"))]
-    ).drop("year", "month", "day")
+    alerts = lake_alerts(spark, lake)
     total = present(lambda: spark.read.parquet(lake.gold("revenue_total")))
     if total is None:
         total = agg.revenue_kpi(of_topic(events, "order-events"))

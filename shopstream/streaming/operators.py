@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import threading
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
+from pyspark.storagelevel import StorageLevel
 
 from shopstream.functions.events import time_partitions
 from shopstream.operators import aggregates as agg
 from shopstream.operators.joins import enrich_orders, enrich_views
 from shopstream.operators.validation import STANDARD_RULES, Rule, failed_payment_alerts, failed_payments, split_valid
-from shopstream.sources.sinks import insert_if_absent, write_multi
+from shopstream.sources.sinks import insert_if_absent
 
 TS = "event_timestamp"
 # Directories of the alert tables, in batch and stream alike.
@@ -47,9 +49,23 @@ def stream_revenue(events: DataFrame, size: str = "1 hour", delay: str | None =
     return agg.revenue_by_window(watermarked(events, delay), size, by)
 
 
+def stream_abandonment_kpi(events: DataFrame, days: int = 2) -> DataFrame:
+    """Cart events, checkout events and the percentage in excess for each day that a batch changes,
+    from events of both topics; each event counts once. For update mode.
+
+    The state is a count per day and the ids of the days that are still open: a day closes once
+    one that lies `days` later has come, and what comes later still is dropped.
+    """
+    # the watermark lies on days, so that all events of an open day are taken
+    day = events.withColumn("day", F.date_trunc("day", TS)).withWatermark("day", f"{days} days")
+    once = day.dropDuplicates(["event_id", "day"])
+    return agg.cart_abandonment_rates(once, F.col("topic") == "cart-events", F.col("topic") == "checkout-events", "day")
+
+
 def stream_active_users(events: DataFrame, size: str = "1 hour", delay: str | None = "10 minutes") -> DataFrame:
-    """About how many customers and sessions were active per window."""
-    return agg.active_users(watermarked(events, delay), size, approximate=True)
+    """Sketches of the customers and sessions active per window, which `aggregates.merged_users`
+    turns into counts of days, weeks or months."""
+    return agg.user_sketches(watermarked(events, delay), size)
 
 
 def stream_sliding_failures(
@@ -103,60 +119,65 @@ def stream_abandonment(
 
 
 STREAK_OUTPUT = "customer_id long, first_failed_at long, reached_at long, failures long"
-STREAK_STATE = "pending_at array<long>, pending_id array<string>, pending_failed array<boolean>, first long, length long"
+#: What the state store of the streaks must be; set before the query starts.
+STREAK_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _reached(at: np.ndarray, failed: np.ndarray, k: int, first: int, length: int) -> tuple[list[tuple[int, int]], int, int]:
-    """(first and kth failure) of the runs that reach k in these rows, which go on from a run of
-    `length` failures since `first`; and where the last run stands."""
-    index = np.arange(len(at))
-    success = np.maximum.accumulate(np.where(failed, -1, index)) if len(at) else index
-    carried = (success < 0) & (length > 0)
-    place = index - success + np.where(success < 0, length, 0)
-    begun = np.where(carried, first, at[np.minimum(success + 1, len(at) - 1)]) if len(at) else at
-    hits = failed & (place == k)
-    found = list(zip(begun[hits].tolist(), at[hits].tolist(), strict=True))
-    if not len(at):
-        return found, first, length
-    return (found, int(begun[-1]), int(place[-1])) if failed[-1] else (found, 0, 0)
+class Streaks(StatefulProcessor):
+    """Runs of failed payments of a customer, in order of event time.
+
+    Rows wait in a map by their millisecond until the watermark has passed it; a timer for each
+    wakes the customer then. So a batch reads and writes the entries that came or fell due, and a
+    customer without either is not touched.
+    """
+
+    def __init__(self, k: int):
+        self.k = k
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getMapState("waiting", "ms long", "rows array<struct<at long, id string, failed boolean>>")
+        self.run = handle.getValueState("run", "first long, length long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        came: dict[int, list[tuple]] = {}
+        for pdf in rows:
+            for at, name, failed in zip(pdf["at"].tolist(), pdf["id"].tolist(), pdf["failed"].tolist(), strict=True):
+                came.setdefault(at // 1000, []).append((at, name, bool(failed)))
+        for ms, found in came.items():
+            if self.waiting.containsKey((ms,)):
+                found = [*(tuple(r) for r in self.waiting.getValue((ms,))[0]), *found]
+            self.waiting.updateValue((ms,), (found,))
+            self.handle.registerTimer(ms + 1)
+        yield from ()
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ms = expiredTimerInfo.getExpiryTimeInMs() - 1
+        first, length = self.run.get() if self.run.exists() else (0, 0)
+        before, reached = (first, length), []
+        for at, _, failed in sorted((r[0], r[1] or "", r[2]) for r in self.waiting.getValue((ms,))[0]):
+            first, length = (first if length else at, length + 1) if failed else (0, 0)
+            if length == self.k:
+                reached.append((first, at))
+        self.waiting.removeKey((ms,))
+        if length and (first, length) != before:
+            self.run.update((first, length))
+        elif not length and before[1]:
+            self.run.clear()
+        if reached:
+            yield pd.DataFrame([(key[0], *r, self.k) for r in reached], columns=["customer_id", "first_failed_at", "reached_at", "failures"])
+
+    def close(self) -> None:
+        pass
 
 
 def stream_failure_streaks(payments: DataFrame, k: int = 3, delay: str | None = "10 minutes") -> DataFrame:
     """One row when a customer's run of failed payments reaches length k.
 
-    Rows reach the function in any order, so they wait in the state until the watermark
-    has passed them and are then taken in order of time. Times are microseconds throughout, so
-    the session's zone has no say.
+    Rows come in any order, so they wait in the state until the watermark has passed them and are
+    then taken in order of time. Times are microseconds throughout, so the session's zone has no
+    say. The session must use the RocksDB state store (`STREAK_STORE`) when the query starts.
     """
-
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first = length = 0
-        ats, ids, failed = [np.zeros(0, np.int64)], [np.zeros(0, object)], [np.zeros(0, bool)]
-        if state.exists:
-            pending_at, pending_id, pending_failed, first, length = state.get
-            ats.append(np.array(pending_at, np.int64))
-            ids.append(np.array(pending_id, object))
-            failed.append(np.array(pending_failed, bool))
-        for pdf in batches:
-            ats.append(pdf["at"].to_numpy(np.int64))
-            ids.append(pdf["id"].to_numpy(object))
-            failed.append(pdf["failed"].to_numpy(bool))
-        rows = pd.DataFrame({"at": np.concatenate(ats), "id": np.concatenate(ids), "failed": np.concatenate(failed)})
-        rows = rows.sort_values(["at", "id"], kind="stable", ignore_index=True)
-        ready = int(np.searchsorted(rows["at"].to_numpy(), state.getCurrentWatermarkMs() * 1000))
-        due, waiting = rows[:ready], rows[ready:]
-        reached, first, length = _reached(due["at"].to_numpy(), due["failed"].to_numpy(bool), k, first, length)
-
-        if len(waiting) or length:
-            state.update((waiting["at"].tolist(), waiting["id"].tolist(), waiting["failed"].tolist(), first, length))
-            if len(waiting):
-                earliest = int(waiting["at"].iloc[0]) // 1000 + 1
-                state.setTimeoutTimestamp(max(earliest, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        if reached:
-            yield pd.DataFrame([(key[0], *r, k) for r in reached], columns=["customer_id", "first_failed_at", "reached_at", "failures"])
-
     marked = watermarked(payments, delay).filter(F.col("payment_status").isNotNull() & F.col("customer_id").isNotNull())
     rows = marked.select(
         F.col("customer_id"),
@@ -166,21 +187,19 @@ def stream_failure_streaks(payments: DataFrame, k: int = 3, delay: str | None =
         (F.col("payment_status") == "FAILED").alias("failed"),
     )
     output = STREAK_OUTPUT.replace("customer_id long", f"customer_id {payments.schema['customer_id'].dataType.simpleString()}")
-    found = rows.groupBy("customer_id").applyInPandasWithState(
-        advance, output, STREAK_STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    found = rows.groupBy("customer_id").transformWithStateInPandas(Streaks(k), output, "Append", "EventTime")
     return found.withColumns({c: F.timestamp_micros(c) for c in ("first_failed_at", "reached_at")})
 
 
 def stream_alerts(payments: DataFrame, target: str, checkpoint: str, archive: str | None = None, **trigger) -> StreamingQuery:
     """Writes an alert for every failed payment, once, to the alert table and the archive, both
-    by day of the payment; a batch reads only the days it falls in."""
+    by day of the payment; a batch reads only the days it falls in. What reaches the table reaches
+    the archive, also where a run ends between the two. Read both with `read_committed`."""
 
     def write(batch: DataFrame, _id: int) -> None:
         alerts = failed_payment_alerts(batch, keep_key=True)
         daily = alerts.withColumns(time_partitions(F.col(TS), "day"))
-        paths = [target] if archive is None else [target, archive]
-        write_multi(daily, [lambda df, p=p: insert_if_absent(df, p, "event_id", partition_by=ALERT_PARTITIONS) for p in paths])
+        insert_if_absent(daily, target, "event_id", partition_by=ALERT_PARTITIONS, also=[] if archive is None else [archive])
 
     return (
         payments.writeStream.queryName("alerts")
@@ -191,9 +210,76 @@ def stream_alerts(payments: DataFrame, target: str, checkpoint: str, archive: st
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows a query dropped because they came after the watermark.
+class LateRows(StreamingQueryListener):
+    """Counts the rows that queries dropped because they came after the watermark, over the whole
+    life of each run; the progress that a query keeps itself goes back a hundred batches.
+
+    Add it with `spark.streams.addListener` before the queries start. For windowed sums Spark counts
+    partially summed rows, so the count is a lower bound there.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: Counter[str] = Counter()
+        self._ended: defaultdict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._dropped[str(event.progress.runId)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, wait: float = 60) -> int:
+        """The rows dropped by a run so far; of one that has ended, all: its last progress is
+        waited for."""
+        run = str(query.runId)
+        if not query.isActive and not self._ended[run].wait(wait):
+            raise TimeoutError("the end of the query was not reported; was the listener added before it started?")
+        return self._dropped[run]
+
+
+LATE_MARKS = "batch long, newest timestamp"
+
+
+def stream_late_rows(events: DataFrame, path: str, marks: str, checkpoint: str, delay: str = "10 minutes", **trigger) -> StreamingQuery:
+    """Writes the rows that come later than a watermark with this delay, each with its lateness
+    behind that watermark in seconds, to a directory for each batch.
 
-    For windowed sums Spark counts partially summed rows, so this is a lower bound there.
+    The watermark of a batch is the newest time of all batches before it, less the delay, as Spark
+    has it. The newest time up to each batch is written to `marks`, so a batch that runs again
+    sees the same.
     """
-    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    columns = events.columns
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            known = session.read.schema(LATE_MARKS).option("recursiveFileLookup", "true")
+            before = known.parquet(f"{marks}/{batch_id - 1:012d}").first()["newest"] if batch_id else None
+            newest = kept.agg(F.max(TS).alias("newest")).first()["newest"]
+            if before is not None:
+                behind = F.lit(before) - F.expr(f"INTERVAL {delay}")
+                seconds = (F.unix_micros(behind) - F.unix_micros(TS)) / 1_000_000
+                late = kept.filter(F.col(TS) < behind).select(*columns, seconds.alias("late_seconds"))
+                late.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+            both = [t for t in (before, newest) if t is not None]
+            mark = session.createDataFrame([(batch_id, max(both) if both else None)], LATE_MARKS)
+            mark.coalesce(1).write.mode("overwrite").parquet(f"{marks}/{batch_id:012d}")
+        finally:
+            kept.unpersist()
+
+    writer = events.writeStream.queryName("late_rows").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def late_summary(late: DataFrame, grain: str = "hour") -> DataFrame:
+    """Late rows, and their mean and largest lateness, per period of their event time."""
+    seconds = F.col("late_seconds")
+    grouped = late.groupBy(F.date_trunc(grain, TS).alias("period")).agg(F.count("*").alias("rows"), F.sum(F.round(seconds * 1000).cast("long")).alias("_ms"), F.max(seconds).alias("most_seconds"))
+    return grouped.select("period", "rows", F.round(F.col("_ms") / F.col("rows") / 1000, 3).alias("mean_seconds"), "most_seconds")

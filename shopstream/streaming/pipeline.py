@@ -11,12 +11,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopstream.functions.events import time_partitions
-from shopstream.operators import aggregates as agg
-from shopstream.operators.validation import REASON, drop_duplicate_events, tag_rejects
-from shopstream.plans.medallion import LAKE_RULES, Lake, of_topic, present, typed
+from shopstream.operators.validation import REASON, tag_rejects
+from shopstream.plans.medallion import LAKE_RULES, Lake, add_unique_events, present, typed
 from shopstream.sources.readers import stream_events
 from shopstream.sources.schemas import EVENT_SCHEMA
-from shopstream.sources.sinks import JSON_TIMES, write_partitioned
+from shopstream.sources.sinks import JSON_TIMES, write_multi, write_partitioned
 from shopstream.streaming import operators as so
 
 
@@ -70,7 +69,8 @@ def pipeline_starters(
     table with its state and topic. The others read their rows of that table, by filters that
     reach the files, and its log of files spares them a listing. (Directories by topic would spare
     more, but a stream that starts before the first file does not learn of them.) Outputs lie
-    below `live/`, apart from those of the batch run; only the alert log is shared.
+    below `live/`, apart from those of the batch run; the alert log and the table of unique events
+    are shared.
     """
     source = lake.live("checked-events")
 
@@ -97,7 +97,8 @@ def pipeline_starters(
 
         def write(batch: DataFrame, batch_id: int) -> None:
             dim = batch.sparkSession.read.parquet(lake.master(master))
-            write_partitioned(so.stream_enrich(batch, dim), f"{lake.live(table)}/batch={batch_id:012d}", grain=lake.grain, mode="overwrite")
+            path = f"{lake.live(table)}/batch={batch_id:012d}"
+            write_multi(so.stream_enrich(batch, dim), [lambda df: write_partitioned(df, path, grain=lake.grain, mode="overwrite")])
 
         writer = events.writeStream.queryName(name).foreachBatch(write).option("checkpointLocation", f"{root}/{name}")
         return writer.trigger(**trigger).start()
@@ -107,24 +108,24 @@ def pipeline_starters(
         return sink(lost, "abandonment", lake.live("abandoned_carts"))
 
     def abandonment_kpi() -> StreamingQuery:
-        """The percentage per day, brought up to date for the days that a batch falls in."""
+        """The percentage per day, brought up to date for the days that a batch changes; what was
+        counted before is in the query's state."""
 
         def write(batch: DataFrame, _id: int) -> None:
-            session = batch.sparkSession
-            day = F.to_date("event_timestamp").alias("day")
-            # one row for each day of the batch
-            touched = [r["day"] for r in batch.select(day).distinct().collect() if r["day"] is not None]
-            known = typed(checked_events(session, lake).filter((F.col("state") == ACCEPTED) & F.col("topic").isin("cart-events", "checkout-events")))
-            known = known.select("event_id", "topic", "event_timestamp", day).filter(F.col("day").isin(touched))
-            unique = drop_duplicate_events(known, keep_null_keys=False)
-            rows = agg.cart_abandonment_by(of_topic(unique, "cart-events"), of_topic(unique, "checkout-events"), "day")
+            rows = batch.withColumn("day", F.to_date("day")).repartition("day")
             target = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             target.partitionBy("day").parquet(lake.live("cart_abandonment"))
 
         events = typed(read(ACCEPTED).filter(F.col("topic").isin("cart-events", "checkout-events")))
-        writer = events.writeStream.queryName("abandonment_kpi").foreachBatch(write)
+        writer = so.stream_abandonment_kpi(events).writeStream.queryName("abandonment_kpi").foreachBatch(write).outputMode("update")
         return writer.option("checkpointLocation", f"{root}/abandonment_kpi").trigger(**trigger).start()
 
+    def unique_events() -> StreamingQuery:
+        """Events that the table of unique events lacks."""
+        events = typed(read(ACCEPTED).drop("state", REASON, "failed_at"))
+        writer = events.writeStream.queryName("unique_events").foreachBatch(lambda batch, _id: add_unique_events(batch, lake))
+        return writer.option("checkpointLocation", f"{root}/unique_events").trigger(**trigger).start()
+
     return {
         "checked": checked,
         "rejects": lambda: sink(read(REJECTED).drop("state"), "rejects", lake.live("dead-letter-events"), "json", "failed_at"),
@@ -133,6 +134,7 @@ def pipeline_starters(
         "revenue": lambda: sink(so.stream_revenue(clean("order-events"), delay=None), "revenue", lake.live("revenue_per_hour")),
         "abandonment": abandonment,
         "abandonment_kpi": abandonment_kpi,
+        "unique_events": unique_events,
         "alerts": lambda: so.stream_alerts(
             clean("payment-events"), lake.live("fraud_alarms"), f"{root}/alerts", lake.gold("fraud_alerts_log"), **trigger
         ),

@@ -12,8 +12,10 @@ from registry import lake as registry_lake
 from shopstream.functions.events import parse_payload
 from shopstream.operators.validation import MISSING_FIELD, OUT_OF_RANGE, for_hour, in_range, tag_rejects
 from shopstream.plans import master, medallion, reports
-from shopstream.sources import readers, sinks
+from shopstream.sources import commits, readers, sinks
+from shopstream.sources.commits import CommitLog, compact, read_committed
 from shopstream.sources.schemas import RAW_CUSTOMERS, WAREHOUSES
+from shopstream.streaming.pipeline import start_sink
 from tests.events import bronze_file, event, write_lake, write_lines
 
 
@@ -60,7 +62,7 @@ def test_enriched_and_gold_tables(spark, lake):
     assert [(r["window_start"].hour, r["revenue"], r["orders"]) for r in hourly] == [(14, 150.5, 2), (15, 30.25, 1)]
     assert spark.read.parquet(lake.gold("revenue_total")).first()["total_revenue_brl"] == 180.75
     assert spark.read.parquet(lake.gold("cart_abandonment")).first()["cart_abandonment_percentage"] == 75.0
-    alerts = spark.read.parquet(lake.gold("fraud_alerts_log")).collect()
+    alerts = read_committed(spark, lake.gold("fraud_alerts_log")).collect()
     assert len(alerts) == 1 and 90.10 <= float(alerts[0]["risk_score"]) <= 99.90
 
 
@@ -69,7 +71,7 @@ def test_second_run_adds_nothing(spark, tmp_path):
     lake = medallion.Lake(str(tmp_path))
     for _ in range(2):
         medallion.run_batch(spark, lake)
-    assert spark.read.parquet(lake.gold("fraud_alerts_log")).count() == 1
+    assert read_committed(spark, lake.gold("fraud_alerts_log")).count() == 1
     assert spark.read.parquet(lake.gold("revenue_total")).first()["total_orders"] == 3
 
 
@@ -105,7 +107,7 @@ def test_lake_table_joins_by_name_and_skips_unreadable(spark, tmp_path):
         readers.read_lake_table(spark, f"{tmp_path}/t").count()
     table = readers.read_lake_table(spark, f"{tmp_path}/t", skip_unreadable=True)
     assert sorted(table.select("x", "y", "z").collect()) == [(1, "a", None), (2, None, 2.5)]
-    assert [Path(p).name for p in readers.files_without_rows(spark, f"{tmp_path}/t")] == ["broken.parquet"]
+    assert [Path(r["path"]).name for r in readers.files_without_rows(spark, f"{tmp_path}/t").collect()] == ["broken.parquet"]
 
 
 def test_a_damaged_file_stops_the_measures(spark, tmp_path):
@@ -119,6 +121,27 @@ def test_a_damaged_file_stops_the_measures(spark, tmp_path):
         medallion.to_gold(spark, lake)
 
 
+def test_a_slow_write_is_read_whole(spark, tmp_path):
+    spark.range(50).repartition(2).write.parquet(f"{tmp_path}/t/old")
+    spark.range(90).withColumn("g", F.col("id") % 2).repartition(3).write.partitionBy("g").parquet(f"{tmp_path}/t/new")
+    files = sorted(Path(tmp_path, "t", "new").rglob("*.parquet"))
+    assert len(files) == 6
+    now = files[0].stat().st_mtime
+    for n, file in enumerate(files):  # closed one and a half minutes apart, and before the old write's
+        os.utime(file, (now + 1000 - 90 * n,) * 2)
+    assert readers.read_lake_table(spark, f"{tmp_path}/t", latest_only=True).count() == 90
+
+
+def test_the_last_batch_of_a_stream(spark, tmp_path):
+    for n in range(12):  # past a compaction of the stream's log
+        spark.range(n + 1).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+    rows = spark.readStream.schema("id long").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    start_sink(rows.repartition(2), f"{tmp_path}/out", f"{tmp_path}/c", "last", availableNow=True).awaitTermination()
+    last = readers.read_lake_table(spark, f"{tmp_path}/out", latest_only=True)
+    with_batch = spark.read.parquet(f"{tmp_path}/out")
+    assert with_batch.count() == 78 and len(last.inputFiles()) <= 2 and last.count() == max(r["id"] for r in last.collect()) + 1
+
+
 def test_latest_write_only(spark, tmp_path):
     for i in (10, 20):
         spark.range(i).repartition(4).write.parquet(f"{tmp_path}/t/p{i}")
@@ -166,8 +189,8 @@ def test_master_files(spark, tmp_path):
 
     for _ in range(2):
         master.seed_tables(spark, paths, f"{tmp_path}/serving")
-    assert spark.read.parquet(f"{tmp_path}/serving/inventory").count() == 15
-    assert spark.read.parquet(f"{tmp_path}/serving/customers").count() == 2
+    assert read_committed(spark, f"{tmp_path}/serving/inventory").count() == 15
+    assert read_committed(spark, f"{tmp_path}/serving/customers").count() == 2
 
 
 def test_json_sample_is_the_first_by_key(spark, tmp_path):
@@ -180,7 +203,7 @@ def test_first_insert_wins(spark, tmp_path):
     schema = "alert_id string, event_timestamp int, event_id string, tag string"
     sinks.insert_if_absent(spark.createDataFrame([("A", 2, "e2", "late"), ("A", 1, "e1", "first")], schema), target, "alert_id")
     sinks.insert_if_absent(spark.createDataFrame([("A", 0, "e0", "again"), ("B", 1, "e3", "new")], schema), target, "alert_id")
-    assert sorted((r["alert_id"], r["tag"]) for r in spark.read.parquet(target).collect()) == [("A", "first"), ("B", "new")]
+    assert sorted((r["alert_id"], r["tag"]) for r in read_committed(spark, target).collect()) == [("A", "first"), ("B", "new")]
 
 
 def test_null_keys_are_refused(spark, tmp_path):
@@ -196,10 +219,13 @@ def test_insert_reads_only_the_days_it_touches(spark, tmp_path):
     sinks.insert_if_absent(days, f"{tmp_path}/t", "event_id", partition_by=by)
     again = days.filter("day IN ('2', '3')").unionByName(days.limit(1).withColumns({"event_id": F.lit("new"), "day": F.lit("3")}))
     sinks.insert_if_absent(again, f"{tmp_path}/t", "event_id", partition_by=by)
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 25
-    known = spark.read.parquet(f"{tmp_path}/t").filter(sinks.in_partitions(by, [("2026", "08", "3")]))
+    assert read_committed(spark, f"{tmp_path}/t").count() == 25
+    log = CommitLog(spark, f"{tmp_path}/t")
+    known = log.read(log.writes(log.last()), by, [("2026", "08", "3")])
     scan = known._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan and known.count() == 4
+    # the second commit holds one row of day 3, and none of day 5
+    assert len(log.read(log.writes(log.last()), by, [("2026", "08", "5")]).inputFiles()) == len(log.read(log.writes(1), by, [("2026", "08", "5")]).inputFiles())
 
 
 def test_all_products_have_stock_and_all_rows_are_seeded(spark, tmp_path):
@@ -210,7 +236,7 @@ def test_all_products_have_stock_and_all_rows_are_seeded(spark, tmp_path):
         paths[name] = f"{tmp_path}/m/{name}"
         spark.range(12_000).select(F.col("id").cast("string").alias(key)).write.parquet(paths[name])
     master.seed_tables(spark, paths, f"{tmp_path}/serving")
-    assert all(spark.read.parquet(f"{tmp_path}/serving/{name}").count() == 12_000 for name in paths)
+    assert all(read_committed(spark, f"{tmp_path}/serving/{name}").count() == 12_000 for name in paths)
 
 
 def test_hours_one_by_one_make_the_same_tables(spark, tmp_path):
@@ -225,7 +251,7 @@ def test_hours_one_by_one_make_the_same_tables(spark, tmp_path):
         one, two = spark.read.parquet(f"{tmp_path}/hourly/{table}"), spark.read.parquet(other)
         columns = sorted(set(one.columns) & set(two.columns) - {"year", "month", "day", "hour"})
         assert sorted(map(str, one.select(columns).collect())) == sorted(map(str, two.select(columns).collect()))
-    assert spark.read.parquet(lake.gold("fraud_alerts_log")).count() == 1
+    assert read_committed(spark, lake.gold("fraud_alerts_log")).count() == 1
     for at, files in ((datetime(2026, 8, 1, 15), 1), (datetime(2026, 8, 1, 16), 0)):
         seen = readers.read_events(spark, lake.bronze(), ["order-events", "search-events"], at)
         assert len(seen.inputFiles()) == files and seen.count() == files
@@ -290,3 +316,96 @@ def test_topic_from_flat_and_partitioned_paths(spark, tmp_path):
     write_lines(tmp_path / "bronze" / "search-events" / "a.jsonl", [event("search")])
     got = {(r["event_type"], r["topic"]) for r in readers.read_events(spark, f"{tmp_path}/bronze").collect()}
     assert got == {("add_to_cart", "cart-events"), ("search", "search-events")}
+
+
+class Raced(CommitLog):
+    """Another writer commits just before this one's first attempt."""
+
+    other = None
+
+    def put(self, number, write, replaces=False):
+        if Raced.other:
+            run, Raced.other = Raced.other, None
+            run()
+        return super().put(number, write, replaces)
+
+
+KEYED = "event_id string, event_timestamp int, tag string, day string"
+
+
+def keyed(spark, tag, *ids):
+    return spark.createDataFrame([(i, 1, tag, f"d{i[-1]}") for i in ids], KEYED)
+
+
+@pytest.mark.parametrize("by", [(), ("day",)])
+@pytest.mark.parametrize("theirs", [("a1", "b2"), ("x3", "y4"), ("a1",)])
+def test_a_writer_that_loses_the_number_looks_again(spark, tmp_path, monkeypatch, by, theirs):
+    target = f"{tmp_path}/t"
+    sinks.insert_if_absent(keyed(spark, "first", "z1"), target, "event_id", partition_by=by)
+    Raced.other = lambda: sinks.insert_if_absent(keyed(spark, "theirs", *theirs), target, "event_id", partition_by=by)
+    monkeypatch.setattr(sinks, "CommitLog", Raced)
+    sinks.insert_if_absent(keyed(spark, "mine", "z1", "a1", "c2"), target, "event_id", partition_by=by)
+    found = {r["event_id"]: r["tag"] for r in read_committed(spark, target).collect()}
+    assert found == {"z1": "first", "a1": "mine", "c2": "mine"} | dict.fromkeys(theirs, "theirs")
+    assert read_committed(spark, target).count() == len(found) and CommitLog(spark, target).last() == 3
+
+
+def test_snapshots_and_compaction(spark, tmp_path):
+    target, one = f"{tmp_path}/t", spark.range(1).selectExpr("'k' AS event_id", "'m' AS month")
+    log = CommitLog(spark, target)
+    folder = log.stage(one, ["month"])
+    schema = json.dumps(one.schema.jsonValue())
+    for n in range(1, 46):
+        assert log.put(n, commits.Write(folder, schema, ["month"], [["m"]], []))
+    assert not log.put(45, commits.Write(folder, schema, ["month"], None, []))
+    assert log.last() == 45 and len(log.writes(45)) == 45 and len(log.writes(45, 40)) == 5 and len(log.writes(39)) == 39
+    assert compact(spark, target)
+    # one folder, however often it is named
+    assert len(log.writes(46)) == 1 and read_committed(spark, target).count() == 1
+    sinks.insert_if_absent(spark.createDataFrame([("k", "m"), ("l", "n")], "event_id string, month string"), target, "event_id", partition_by=["month"])
+    assert read_committed(spark, target).count() == 2
+
+
+@pytest.mark.parametrize("point", ["staged", "first target", "next target"])
+def test_a_batch_that_dies_between_two_targets(spark, tmp_path, monkeypatch, point):
+    one, two = f"{tmp_path}/one", f"{tmp_path}/two"
+    sinks.insert_if_absent(keyed(spark, "two's own", "a1"), two, "event_id", partition_by=["day"])
+    died = []
+
+    def die(at):
+        if at == point and not died:
+            died.append(at)
+            raise RuntimeError(at)
+
+    monkeypatch.setattr(commits, "reached", die)
+    with pytest.raises(RuntimeError):
+        sinks.insert_if_absent(keyed(spark, "batch", "a1", "b2"), one, "event_id", partition_by=["day"], also=[two])
+    # what comes next need not be the same batch
+    rows = keyed(spark, "batch", "a1", "b2") if point == "staged" else keyed(spark, "later", "c3")
+    sinks.insert_if_absent(rows, one, "event_id", partition_by=["day"], also=[two])
+    tags = [{r["event_id"]: r["tag"] for r in read_committed(spark, p).collect()} for p in (one, two)]
+    later = {} if point == "staged" else {"c3": "later"}
+    assert tags == [{"a1": "batch", "b2": "batch"} | later, {"a1": "two's own", "b2": "batch"} | later]
+
+
+def test_micro_batches_write_few_files(spark, tmp_path):
+    """Without adaptive execution: a directory is a file, a large one a few."""
+    hours = F.expr("timestamp'2026-08-01' + make_interval(0, 0, 0, 0, id % 6)")
+    spark.range(0, 6000, 1, 8).select("id", hours.alias("event_timestamp")).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id long, event_timestamp timestamp").parquet(f"{tmp_path}/in")
+    adaptive = []
+
+    def write(batch, _id):
+        adaptive.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        sinks.write_partitioned(batch, f"{tmp_path}/out")
+
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert len(list(Path(tmp_path, "out").rglob("*.parquet"))) == 6 and spark.read.parquet(f"{tmp_path}/out").count() == 6000
+    assert adaptive == ["false"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = sinks.spread_by_folder(spark.range(4000).withColumn("g", F.lit("one")), ["g"], rows=1000)
+        sizes = [r[0] for r in spread.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 4000 and max(sizes) <= 3000

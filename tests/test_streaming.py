@@ -1,5 +1,7 @@
 """Streams against their batch twins, late rows, restarts and the running pipeline."""
 
+import json
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -10,6 +12,7 @@ from shopstream.operators import aggregates as agg
 from shopstream.operators.windows import consecutive_failures
 from shopstream.plans.medallion import LAKE_RULES, Lake, run_batch, typed
 from shopstream.plans.reports import dashboard, lake_events, lake_revenue
+from shopstream.sources.commits import read_committed
 from shopstream.sources.readers import stream_events
 from shopstream.streaming import operators as so
 from shopstream.streaming.pipeline import checkpoint_root, run_pipeline, start_sink
@@ -74,8 +77,13 @@ def test_late_row_is_dropped_and_counted(feed):
     # A window is written one batch after the watermark passes it; a row is late from then on.
     for data in ((0, "a"), (20_000, "a"), (20_001, "a"), (10, "b"), (40_000, "a")):
         feed.add(rows((*data, "SUCCESS")))
-    query = feed.run(so.stream_revenue(feed.stream()))
-    assert so.late_rows(query) == 1
+    drops = so.LateRows()
+    feed.spark.streams.addListener(drops)
+    try:
+        query = feed.run(so.stream_revenue(feed.stream()))
+        assert drops.of(query) == 1
+    finally:
+        feed.spark.streams.removeListener(drops)
     assert feed.result().filter(F.col("window_start") == F.lit(at(0))).first()["orders"] == 1
 
 
@@ -107,11 +115,81 @@ def test_sessions(feed):
     assert {(r["customer_id"], r["session_start"], r["session_end"], r["events"]) for r in batch.collect()} == got
 
 
-def test_active_users_are_about_right(feed):
-    feed.add(rows(*[(s, f"c{s % 200}", None) for s in range(3000)], (20_000, "z", None)))
+def test_drops_are_counted_past_a_hundred_batches(feed, tmp_path):
+    """The progress that a query keeps forgets the first batches; the listener does not."""
+    late = [(0, "a"), (20_000, "a"), (20_001, "a"), (10, "b"), (11, "c")]
+    everything = late + [(20_002 + n, "a") for n in range(102)]
+    (tmp_path / "lines").mkdir()
+    for n, (seconds, who) in enumerate(everything):
+        file = tmp_path / "lines" / f"{n:04d}.json"
+        file.write_text(json.dumps({"event_id": f"e{seconds}-{who}", "event_timestamp": at(seconds).isoformat()}))
+        os.utime(file, (1_700_000_000 + n,) * 2)
+    spark = feed.spark
+    drops = so.LateRows()
+    spark.streams.addListener(drops)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = spark.readStream.schema("event_id string, event_timestamp timestamp").option("maxFilesPerTrigger", 1).json(f"{tmp_path}/lines")
+        query = feed.run(so.stream_dedupe(stream))
+        dropped = drops.of(query)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.streams.removeListener(drops)
+    recent = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+    assert (dropped, recent) == (2, 0) and query.lastProgress.batchId > 100
+
+
+def test_late_rows_are_kept_aside(feed, tmp_path):
+    for data in ((0, "a"), (20_000, "a"), (10, "b"), (19_500, "c"), (40_000, "a")):
+        feed.add(rows((*data, "SUCCESS")))
+    for _ in range(2):  # a restart adds nothing
+        query = so.stream_late_rows(feed.stream(), f"{tmp_path}/late", f"{tmp_path}/marks", f"{tmp_path}/c")
+        query.awaitTermination()
+    late = feed.spark.read.parquet(f"{tmp_path}/late/batch=*")
+    assert [(r["customer_id"], r["late_seconds"]) for r in late.collect()] == [("b", 19_390.0)]
+    summary = so.late_summary(late).first()
+    assert (summary["period"], summary["rows"], summary["mean_seconds"], summary["most_seconds"]) == (at(0), 1, 19_390.0, 19_390.0)
+
+
+def test_sketches_of_windows_merge(feed):
+    feed.add(rows(*[(s * 3, f"c{s % 700}", None) for s in range(4000)], (90_000, "z", None)))
     feed.run(so.stream_active_users(feed.stream()))
-    exact = agg.active_users(feed.batch()).filter(F.col("window_start") == F.lit(at(0))).first()["customers"]
-    assert abs(feed.result().first()["customers"] - exact) <= 0.1 * exact
+    hours = feed.result()
+    assert hours.count() == 4
+    exact = feed.batch().filter(F.col("event_timestamp") < F.lit(at(86_400))).select("customer_id").distinct().count()
+    merged = agg.merged_users(hours.unionByName(hours)).first()["customers"]
+    assert exact == 700 and abs(merged - exact) <= 0.05 * exact
+    batch = agg.merged_users(agg.user_sketches(feed.batch())).filter(F.col("period") == F.lit(at(0))).first()["customers"]
+    assert batch == merged
+
+
+def test_kpi_counts_each_event_once_and_keeps_its_days(feed, tmp_path):
+    """Days come out again when they change; a repeated event and a closed day change nothing."""
+
+    def batch(*spec):
+        feed.add([(i, at(s), "c", None, None, None, topic) for i, s, topic in spec])
+
+    day = 86_400
+    batch(("a", 0, "cart-events"), ("b", 5, "cart-events"), ("k", 9, "checkout-events"), ("a", 0, "cart-events"))
+    batch(("a", 0, "cart-events"), ("c", 50, "cart-events"), ("d", day, "cart-events"))
+    batch(("x", 5 * day, "cart-events"),)
+    batch(("y", 5 * day + 1, "cart-events"),)  # a day is closed for what comes one batch after that
+    batch(("z", 5 * day + 2, "cart-events"), ("late", 7, "cart-events"))
+    events = feed.stream().withColumnRenamed("payment_method", "topic")
+    seen = []
+
+    def write(rows, _id):
+        seen.append(sorted((r["day"], r["total_carts_initiated"], r["total_checkouts_completed"], r["cart_abandonment_percentage"]) for r in rows.collect()))
+
+    writer = so.stream_abandonment_kpi(events).writeStream.foreachBatch(write).outputMode("update")
+    query = writer.option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = [s for s in seen if s]
+    assert found[0] == [(at(0), 2, 1, 50.0)]
+    assert found[1] == [(at(0), 3, 1, 66.7), (at(day), 1, 0, 100.0)]
+    assert found[2] == [(at(5 * day), 1, 0, 100.0)]
+    assert found[3:] == [[(at(5 * day), 2, 0, 100.0)], [(at(5 * day), 3, 0, 100.0)]]
 
 
 def test_abandonment(feed, spark, tmp_path):
@@ -124,7 +202,28 @@ def test_abandonment(feed, spark, tmp_path):
     assert got == {("b", at(100))}
 
 
-def test_streaks_across_batches_and_out_of_order(feed):
+@pytest.fixture
+def streak_store(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, so.STREAK_STORE)
+    yield
+    spark.conf.unset(name)
+
+
+def test_streaks_write_only_what_came_or_fell_due(feed, streak_store):
+    """A thousand customers wait; batches of one row touch one of them."""
+    feed.add(rows(*[(s / 2, f"c{s}", "FAILED") for s in range(1000)]))
+    for n in range(3):
+        feed.add(rows((500 + n, "c5", "FAILED")))
+    feed.add(rows((9000, "z", "SUCCESS")))
+    query = feed.run(so.stream_failure_streaks(feed.stream(), 3))
+    updated = [p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.stateOperators]
+    assert updated[0] >= 1000 and all(u <= 10 for u in updated[1:4]), updated
+    got = sorted((r["customer_id"], r["first_failed_at"], r["reached_at"]) for r in feed.result().collect())
+    assert got == [("c5", at(2.5), at(501))]
+
+
+def test_streaks_across_batches_and_out_of_order(feed, streak_store):
     feed.add(rows((10, "a", "FAILED"), (30, "a", "FAILED"), (5, "b", "FAILED")))
     feed.add(rows((20, "a", "FAILED"), (15, "b", "SUCCESS"), (40, "a", "FAILED")))
     feed.add(rows((25, "b", "FAILED"), (2000, "z", "SUCCESS")))
@@ -137,7 +236,7 @@ def test_streaks_across_batches_and_out_of_order(feed):
 
 
 @pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Sao_Paulo"])
-def test_streaks_do_not_depend_on_the_zone(spark, feed, zone):
+def test_streaks_do_not_depend_on_the_zone(spark, feed, zone, streak_store):
     before = spark.conf.get("spark.sql.session.timeZone")
     feed.add(rows((10, "a", "FAILED"), (30, "a", "FAILED"), (31, "b", "SUCCESS"))).add(rows((20, "a", "FAILED"), (25, "a", "SUCCESS"), (2000, "z", "SUCCESS")))
     feed.add(rows((9000, "z", "SUCCESS")))
@@ -156,7 +255,7 @@ def test_alerts_are_written_once(feed, tmp_path):
         # A new checkpoint makes the second run see every row again.
         so.stream_alerts(feed.stream(), f"{tmp_path}/alerts", f"{tmp_path}/c{n}", f"{tmp_path}/archive").awaitTermination()
     for name in ("alerts", "archive"):
-        assert sorted(r["event_id"] for r in feed.result(name).collect()) == ["p1", "p3"]
+        assert sorted(r["event_id"] for r in read_committed(feed.spark, f"{tmp_path}/{name}").collect()) == ["p1", "p3"]
 
 
 def test_malformed_lines_on_a_stream(spark, tmp_path):
@@ -176,15 +275,18 @@ def test_pipeline_runs_and_continues(spark, tmp_path):
     def run():
         result = run_pipeline(spark, lake, once=True, checkpoints=checkpoints)
         assert all(isinstance(q, StreamingQuery) and not q.isActive for q in result.values()), result
+        return result
 
     run()
     assert spark.read.json(lake.live("dead-letter-events")).count() == 6
     assert spark.read.parquet(lake.live("enriched-orders")).count() == 3
     assert spark.read.parquet(lake.live("customer-events")).count() == 2
-    assert spark.read.parquet(lake.live("fraud_alarms")).count() == 1
+    assert read_committed(spark, lake.live("fraud_alarms")).count() == 1
     kpi = spark.read.parquet(lake.live("cart_abandonment")).collect()
     assert [(r["total_carts_initiated"], r["cart_abandonment_percentage"]) for r in kpi] == [(4, 75.0)]
-    # a stream-only lake has a dashboard
+    # a stream-only lake has a dashboard, and no panel sorts or compares events
+    for name, panel in dashboard(spark, lake).items():
+        assert "Window" not in panel._jdf.queryExecution().executedPlan().toString(), name
     panels = {name: panel.collect() for name, panel in dashboard(spark, lake).items()}
     assert panels["alert_count"][0]["total"] == 1 and len(panels["activity_feed"]) == 12
     assert panels["cart_abandonment"][0]["cart_abandonment_percentage"] == 75.0
@@ -193,7 +295,9 @@ def test_pipeline_runs_and_continues(spark, tmp_path):
     # the master table may be replaced between two runs
     people = spark.createDataFrame([("c1", "u1", "sao paulo", "SP", "Platinum")], "customer_id string, customer_unique_id string, city string, state_code string, loyalty_tier string")
     people.write.mode("overwrite").parquet(lake.master("customers"))
-    run()
+    again = run()
+    # the percentage is kept in state: the second run reads what is new, and none of it is a cart
+    assert sum(p.numInputRows for p in again["abandonment_kpi"].recentProgress) == 0
     orders = spark.read.parquet(lake.live("enriched-orders"))
     assert orders.count() == 4
     assert {r["order_id"]: r["loyalty_tier"] for r in orders.collect()}["o9"] == "Platinum"
@@ -222,7 +326,7 @@ def test_batch_and_stream_share_a_lake(spark, tmp_path, first):
     assert spark.read.parquet(lake.gold("revenue_per_hour")).count() == 2
     assert spark.read.parquet(lake.silver("enriched-orders")).count() == 3
     assert spark.read.parquet(lake.live("enriched-orders")).count() == 3
-    assert spark.read.parquet(lake.gold("fraud_alerts_log")).count() == 1
+    assert read_committed(spark, lake.gold("fraud_alerts_log")).count() == 1
     assert lake_events(spark, lake).count() == 12
     assert lake_events(spark, lake, date(2026, 8, 2)).count() == 0
     assert lake_revenue(spark, lake).count() == 2
