@@ -46,6 +46,8 @@ class WordTokenizer:
     or line feed, so a text's ids are those of its words, one after the other. Nor does a rule
     reach from a letter or digit to a mark of ``MARKS`` after it, so a word without its last
     marks and the marks are encoded apart; what is then ASCII letters needs the merges alone.
+    What counts is the last character as the tokenizer normalises it: some letters become a letter
+    and a combining sign, and signs and marks are one piece.
     """
 
     #: Words and ids kept, of the words first met: frequent words come early.
@@ -58,11 +60,20 @@ class WordTokenizer:
         self.encoder = Tokenizer.from_file(path)
         self.model = self.encoder.model
         self.place, self.marks = Places(), {"": []}
+        self.ends_word: dict[str, bool] = {}
         self.flat, self.ends = np.zeros(0, np.uint32), np.zeros(2, np.int64)
 
+    def parts_from_marks(self, last: str) -> bool:
+        """Whether a word that ends in this character and marks after it are encoded apart."""
+        known = self.ends_word.get(last)
+        if known is None:
+            form = self.encoder.normalizer.normalize_str(last) if self.encoder.normalizer else last
+            known = self.ends_word[last] = last.isalnum() and form[-1:].isalnum()
+        return known
+
     def ids_of(self, word: str) -> list[int]:
         head = word.rstrip(self.MARKS)
-        if head and not head[-1].isalnum():
+        if head and not self.parts_from_marks(head[-1]):
             return self.encoder.encode(word, add_special_tokens=False).ids
         tail = word[len(head) :]
         last = self.marks.get(tail)
@@ -131,9 +142,10 @@ class Packer:
     """Fills sequences of ``size`` tokens from whole documents, in one task.
 
     Full windows of a document are sequences of their own; what remains of each document waits
-    in a pool. While rows come in, only bins that fill exactly are closed; the pool is bounded.
-    At the end a bin that no part of the pool fills is closed by cutting the next remainder, and
-    what is left over goes out in sequences whose lengths are powers of two, without padding.
+    in a pool, which is bounded. Bins that fill exactly are closed first. Where the pool is full, or
+    no more rows come, a bin that no part of the pool fills is closed by cutting the next
+    remainder; what is left over in the end goes out in sequences whose lengths are powers of two,
+    without padding.
     """
 
     def __init__(self, size: int, pool: int, first_id: int):

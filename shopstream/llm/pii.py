@@ -27,7 +27,8 @@ STILL = 1e-6
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+# A match from the middle of digits would be one from their start: only that is tried.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 # Everything the last three can match lies in one run of these characters.
@@ -154,13 +155,14 @@ def mentions(text: str, numbers: list[tuple[int, int]], base: list[Span]) -> Men
         at = text.find("@")
         while at >= 0:
             left = at
-            while left > 0 and at - left < 64 and text[left - 1] in _LOCAL:
+            while left > 0 and text[left - 1] in _LOCAL:
                 left -= 1
-            found = _AROUND.match(text, left)
-            right = min(found.end(), at + 128) if found else at + 1
-            if left < at and right > at + 1:
-                rest.append((left, len(text[:right].rstrip(".-!?*#%&$")) if right - left < 200 else right))
-            at = text.find("@", max(at + 1, right))
+            # the word around the sign ends at white space or a mark, so no character is read twice
+            right = _AROUND.match(text, left).end()
+            own = text[left:right].rstrip(".-!?*#%&$")
+            if left < at and left + len(own) > at + 1:
+                rest.append((left, left + len(own)))
+            at = text.find("@", right)
     rest.sort()
     open_, k = [], 0
     for a, b in rest:
@@ -279,15 +281,23 @@ def private(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
 
 
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field | None:
-    """The field from at most ``rows`` documents, those with the smallest hashes of their ids.
+    """The field from at most ``rows`` documents: those with the smallest hashes of their ids, half of
+    them among all documents and half among those in which a pattern matches.
 
     Mentions that the patterns match are labelled with their kind and the others with none, but
     for those that are joined to a match. The weights are those of a softmax regression on the
-    features; how much joined mentions agree is counted. None where the sample has no match.
+    features; how much joined mentions agree is counted. None where no document with an id has a
+    match, as in an empty table.
     """
-    ids = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct()
-    ids = F.broadcast(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    own = docs.select("doc_id", common.whole_text().alias("text")).join(ids, "doc_id", "left_semi")
+    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", common.whole_text().alias("text"))
+    matched = texts.mapInArrow(_matched, T.StructType([T.StructField("doc_id", texts.schema["doc_id"].dataType), T.StructField("matched", T.BooleanType())]))
+    matched = matched.groupBy("doc_id").agg(F.max("matched").alias("matched"))
+
+    def smallest(of: DataFrame) -> DataFrame:
+        return of.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").limit(rows // 2)
+
+    ids = F.broadcast(smallest(matched.filter("matched")).unionByName(smallest(matched)).distinct())
+    own = texts.join(ids, "doc_id", "left_semi")
     counted = own.select("text").mapInArrow(_count, "what int, a long, b int, n long")
     # at most as many rows as the sample has mentions and edges, and far fewer kinds of them
     found = counted.groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect()
@@ -324,6 +334,16 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Field | None:
     return Field(unary, pair)
 
 
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether a pattern matches, for each document."""
+    for batch in common.steps(batches):
+        found = []
+        for text in common.text_of(batch).to_pylist():
+            numbers = [m.span() for m in _NUMBERS.finditer(text)]
+            found.append(bool(numbers or "@" in text) and bool(patterns(text, numbers)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.bool_())], names=["doc_id", "matched"])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in common.steps(batches):
         counts: dict[tuple, int] = {}

@@ -91,6 +91,21 @@ def test_words_give_the_ids_of_the_text(texts):
         assert list(ids[offsets[k] : offsets[k + 1]]) == words.encoder.encode(text, add_special_tokens=False).ids
 
 
+def test_every_character_before_every_mark():
+    """Ids equal the tokenizer's for each letter and digit there is, before each mark."""
+    words = packing.tokenizer(vocabulary())
+    cut = [c for c in map(chr, range(0x110000)) if c.isalnum() and words.parts_from_marks(c)]
+    assert len(cut) > 100_000 and not words.parts_from_marks("\u0130") and not words.parts_from_marks("\u0958")
+    plain = [e.ids for e in words.encoder.encode_batch(["a" + c for c in cut], add_special_tokens=False)]
+    for mark in words.MARKS:
+        tail = words.encoder.encode(mark, add_special_tokens=False).ids
+        whole = words.encoder.encode_batch([f"a{c}{mark}" for c in cut], add_special_tokens=False)
+        wrong = [c for c, ids, e in zip(cut, plain, whole, strict=True) if e.ids != ids + tail]
+        assert not wrong, (mark, wrong[:5])
+    for c in ("\u0130", "\u0958", "\u095f", "\u09dc", "\u0a33"):
+        assert words.ids_of(f"x{c}.") == words.encoder.encode(f"x{c}.", add_special_tokens=False).ids
+
+
 def test_forgetting_words_changes_nothing(spark, sf, monkeypatch):
     monkeypatch.setattr(packing.WordTokenizer, "KEEP", 50)
     words = packing.WordTokenizer(vocabulary())

@@ -141,3 +141,31 @@ def test_odd_documents_and_masks(spark):
     assert texts[1]["text"] is None and texts[4]["text"] == tables.PROSE
     assert pii.mask(tables.empty(spark, tables.DOCS)).count() == 0
     assert pii.learn(tables.documents(spark, [(1, "none"), (None, None)])) is None
+
+
+def test_long_runs_take_time_in_proportion():
+    import time
+
+    for text in ("1" * 300_000, "1." * 150_000, "+1(" * 100_000, "a@" * 150_000, "a" * 300_000 + "@", "1 " * 150_000, "@" * 300_000):
+        start = time.perf_counter()
+        numbers = [m.span() for m in pii._NUMBERS.finditer(text)]
+        pii.mentions(text, numbers, pii.patterns(text, numbers))
+        assert time.perf_counter() - start < 6, text[:5]
+
+
+def test_long_mentions_are_whole():
+    name = "n" * 500
+    text = f"write to {name}@host or {name}@host.example now"
+    base = pii.patterns(text, [])
+    assert [text[a:b] for _, a, b in base] == [f"{name}@host.example"]
+    spans = pii.mentions(text, [], base).spans
+    assert [text[a:b] for a, b in spans] == [f"{name}@host", f"{name}@host.example"]
+
+
+def test_field_learns_from_rare_matches(spark):
+    """One document in three hundred has a match, and the sample is far smaller."""
+    rows = [(k, "nothing to see in 1234567 here") for k in range(300)] + [(1000, "mail a.b@host.example or call +1 202 555 0100, again 202 555 0100")]
+    assert pii.learn(tables.documents(spark, rows), 10) is not None
+    assert pii.learn(tables.documents(spark, rows[:300]), 10) is None
+    assert pii.learn(tables.empty(spark, tables.DOCS)) is None
+    assert pii.find_private(tables.empty(spark, tables.DOCS), None).count() == 0
