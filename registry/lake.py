@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from registry import tables as t
 from registry.queries import flat_alerts, query
 from shopstream.functions import events as fe
+from shopstream.operators import aggregates as agg
 from shopstream.operators import validation as val
 from shopstream.plans import master, medallion, reports
 from shopstream.sources import readers, sinks
@@ -334,6 +335,31 @@ def dashboard(spark, sf):
     return carts.select(values.alias("name", "value")).unionAll(alerts.select(F.lit("alerts"), F.col("total").cast("double")))
 
 
+@query
+def enriched_payments(spark, sf):
+    """The silver table of payments, from raw lines that all come twice."""
+    lake = monthly(spark)
+    write_lake(spark, sf, lake)
+    medallion.to_silver(spark, lake)
+    return spark.read.parquet(lake.silver("enriched-payments")).select("event_id", "customer_id", "payment_method", "loyalty_tier")
+
+
+@query
+def rolled_up_revenue(spark, sf):
+    """Revenue per month from the hourly rows of the orders, as kept in a table."""
+    path = folder(spark)
+    sinks.write_report(agg.revenue_by_window(t.orders(spark, sf)), path)
+    months = agg.rolled_up_revenue(spark.read.parquet(path), "month")
+    return months.withColumn("period", F.date_format("period", "yyyy-MM"))
+
+
+@query
+def views_trend(spark, sf):
+    """Product views per day."""
+    days = agg.views_trend(t.of_type(spark, sf, "product_view"), "1 day")
+    return days.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
+
+
 HOURS = [datetime(2024, 1, 10, h) for h in (5, 6, 7)]
 
 

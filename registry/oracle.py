@@ -366,6 +366,15 @@ SQL = {
         SELECT 'total_carts_initiated' AS name, c::DOUBLE AS value FROM n UNION ALL SELECT 'total_checkouts_completed', k FROM n
         UNION ALL SELECT 'cart_abandonment_percentage', floor((greatest(c - k, 0) * 2000 + c) / (2.0 * c))::DOUBLE / 10 FROM n
         UNION ALL SELECT 'alerts', f FROM n""",
+    "enriched_payments": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(p.customer_id AS VARCHAR) AS customer_id, payment_method, coalesce(loyalty_tier, 'Standard') AS loyalty_tier
+        FROM fx_payments p LEFT JOIN fx_customers c ON p.customer_id = c.customer_id AND c.customer_id % 2 = 0""",
+    "rolled_up_revenue": f"""
+        SELECT strftime(event_timestamp, '%Y-%m') AS period, CAST(sum({cents('total_amount')}) AS DOUBLE) / 100 AS revenue, count(*) AS orders
+        FROM fx_orders GROUP BY 1""",
+    "views_trend": """
+        SELECT strftime(event_timestamp, '%Y-%m-%d') AS window_start, count(*) AS views FROM fx_events
+        WHERE event_type = 'product_view' GROUP BY 1""",
     "run_hour": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, CASE event_type WHEN 'add_to_cart' THEN 'cart-events' ELSE 'product-view-events' END AS topic,
                CAST(customer_id AS VARCHAR) AS customer_id, event_timestamp FROM fx_events

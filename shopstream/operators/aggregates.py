@@ -217,6 +217,19 @@ def revenue_by_window(orders: DataFrame, size: str = "1 hour", by: Sequence[str]
     )
 
 
+def rolled_up_revenue(hourly: DataFrame, grain: str = "day") -> DataFrame:
+    """Revenue and orders per day, week or month from revenue kept by shorter windows, newest first:
+    reads the kept rows, not the orders."""
+    grouped = hourly.groupBy(F.date_trunc(grain, "window_start").alias("period")).agg(F.sum(cents("revenue")).alias("_cents"), F.sum("orders").alias("orders"))
+    return grouped.select("period", from_cents(F.col("_cents")).alias("revenue"), "orders").orderBy(F.desc("period"))
+
+
+def views_trend(views: DataFrame, window: str = "1 hour") -> DataFrame:
+    """Product views per window, oldest first."""
+    grouped = views.groupBy(F.window("event_timestamp", window).alias("_w")).agg(F.count("*").alias("views"))
+    return grouped.select(F.col("_w.start").alias("window_start"), "views").orderBy("window_start")
+
+
 def customer_lifetime_value(orders: DataFrame) -> DataFrame:
     """Total revenue per customer."""
     grouped = orders.groupBy("customer_id").agg(*_order_measures())

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from shopstream.functions.events import normalize_event_time, time_partitions
 from shopstream.operators import aggregates as agg
-from shopstream.operators.joins import enrich_orders, enrich_views
+from shopstream.operators.joins import enrich_orders, enrich_payments, enrich_views
 from shopstream.operators.validation import (
     REASON,
     STANDARD_RULES,
@@ -108,6 +108,10 @@ def to_silver(spark: SparkSession, lake: Lake) -> None:
     write_partitioned(orders, lake.silver("enriched-orders"), grain=lake.grain, mode="overwrite")
     views = enrich_views(of_topic(events, "product-view-events"), products)
     write_partitioned(views, lake.silver("customer-events"), grain=lake.grain, mode="overwrite")
+    payments = enrich_payments(of_topic(events, "payment-events"), customers)
+    write_partitioned(payments, lake.silver("enriched-payments"), grain=lake.grain, mode="overwrite")
+    reviews = enrich_views(of_topic(events, "review-events"), products)
+    write_partitioned(reviews, lake.silver("enriched-reviews"), grain=lake.grain, mode="overwrite")
 
 
 def add_unique_events(events: DataFrame, lake: Lake) -> None:
@@ -137,12 +141,12 @@ def run_batch(spark: SparkSession, lake: Lake) -> None:
 
 
 #: Topics that the hourly run carries into silver.
-HOURLY_TOPICS = ("order-events", "product-view-events", "cart-events", "checkout-events", "payment-events")
+HOURLY_TOPICS = ("order-events", "product-view-events", "cart-events", "checkout-events", "payment-events", "review-events")
 
 
 def run_hour(spark: SparkSession, lake: Lake, at: datetime, topics: Sequence[str] = HOURLY_TOPICS) -> None:
-    """One hour of the raw events into the hourly tables: `events`, `enriched-orders`, `views` and
-    `revenue` below `hourly/`, and new alerts.
+    """One hour of the raw events into the hourly tables: `events`, `enriched-orders`, `views`,
+    `payments`, `reviews`, `revenue` and `cart_abandonment` below `hourly/`, and new alerts.
 
     Only the hour's directories are listed and read, and only those are replaced, so running an
     hour again changes nothing and the run does not grow with history. The hours, run one by one in any
@@ -164,7 +168,10 @@ def run_hour(spark: SparkSession, lake: Lake, at: datetime, topics: Sequence[str
     customers, products = spark.read.parquet(lake.master("customers")), spark.read.parquet(lake.master("products"))
     orders = replace(enrich_orders(of_topic(events, "order-events"), customers), "enriched-orders")
     replace(enrich_views(of_topic(events, "product-view-events"), products), "views")
+    replace(enrich_payments(of_topic(events, "payment-events"), customers), "payments")
+    replace(enrich_views(of_topic(events, "review-events"), products), "reviews")
     replace(agg.revenue_by_window(orders, "1 hour"), "revenue")
+    replace(agg.cart_abandonment(of_topic(events, "cart-events"), of_topic(events, "checkout-events"), at), "cart_abandonment")
     alerts = failed_payment_alerts(of_topic(events, "payment-events"), keep_key=True)
     daily = alerts.withColumns(time_partitions(F.col("event_timestamp"), "day"))
     insert_if_absent(daily, lake.gold("fraud_alerts_log"), "event_id", partition_by=["year", "month", "day"])

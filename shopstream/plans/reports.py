@@ -104,6 +104,9 @@ def dashboard(
     return {
         "latest_kpi": topk.latest_row(hourly),
         "revenue_trend": topk.kpi_trend(hourly),
+        "revenue_by_day": agg.rolled_up_revenue(hourly),
+        "revenue_by_month": agg.rolled_up_revenue(hourly, "month"),
+        "product_views": agg.views_trend(of_topic(events, "product-view-events")),
         "average_order_value": agg.average_order_value(total, base_revenue, base_orders),
         "active_users": agg.active_users(events),
         "cart_abandonment": agg.cart_abandonment(of_topic(events, "cart-events"), of_topic(events, "checkout-events")),

@@ -83,6 +83,10 @@ def test_reports_and_dashboard(spark, lake):
     panels = reports.dashboard(spark, lake, base_revenue=100.0, base_orders=1)
     rows = {name: panel.collect() for name, panel in panels.items()}
     assert rows["latest_kpi"][0]["window_start"].hour == 15
+    assert [(r["revenue"], r["orders"]) for r in rows["revenue_by_day"]] == [(180.75, 3)] == [(r["revenue"], r["orders"]) for r in rows["revenue_by_month"]]
+    assert [(r["window_start"].hour, r["views"]) for r in rows["product_views"]] == [(14, 2)]
+    paid = spark.read.parquet(lake.silver("enriched-payments"))
+    assert sorted((r["customer_id"], r["loyalty_tier"]) for r in paid.collect()) == [("c1", "Gold"), ("c2", "Silver")]
     assert rows["alert_count"][0]["total"] == 1 and len(rows["latest_alerts"]) == 1
     assert rows["average_order_value"][0][0] == 70.19
     assert {r["category"] for r in rows["top_categories"]} == {"toys", "books"}
@@ -247,11 +251,13 @@ def test_hours_one_by_one_make_the_same_tables(spark, tmp_path):
         medallion.run_hour(spark, lake, datetime(2026, 8, 1, hour))
     ids = [r["event_id"] for r in spark.read.parquet(f"{tmp_path}/hourly/events").collect()]
     assert sorted(ids) == sorted(r["event_id"] for r in spark.read.parquet(lake.silver("events")).collect())
-    for table, other in (("enriched-orders", lake.silver("enriched-orders")), ("views", lake.silver("customer-events")), ("revenue", lake.gold("revenue_per_hour"))):
+    for table, other in (("enriched-orders", lake.silver("enriched-orders")), ("views", lake.silver("customer-events")), ("payments", lake.silver("enriched-payments")), ("revenue", lake.gold("revenue_per_hour"))):
         one, two = spark.read.parquet(f"{tmp_path}/hourly/{table}"), spark.read.parquet(other)
         columns = sorted(set(one.columns) & set(two.columns) - {"year", "month", "day", "hour"})
         assert sorted(map(str, one.select(columns).collect())) == sorted(map(str, two.select(columns).collect()))
     assert read_committed(spark, lake.gold("fraud_alerts_log")).count() == 1
+    lost = spark.read.parquet(f"{tmp_path}/hourly/cart_abandonment").collect()
+    assert sorted((r["hour"], r["total_carts_initiated"], r["cart_abandonment_percentage"]) for r in lost) == [(14, 4, 75.0), (15, 0, 0.0)]
     for at, files in ((datetime(2026, 8, 1, 15), 1), (datetime(2026, 8, 1, 16), 0)):
         seen = readers.read_events(spark, lake.bronze(), ["order-events", "search-events"], at)
         assert len(seen.inputFiles()) == files and seen.count() == files
