@@ -96,3 +96,48 @@ def test_labels_and_ids_are_no_inputs(spark, net):
     other = docs.withColumn("doc_id", F.lit(77).cast("long")).withColumn("lang", F.lit("zz")).withColumn("source", F.lit("q"))
     one, two = (sorted(r["score"] for r in quality.scored(d, net).collect()) for d in (docs, other))
     assert one == two
+
+
+def plain_score(net, text):
+    """One text, chunk by chunk and filter by filter, in plain loops."""
+    chunk, stride = quality.CHUNK, quality.STRIDE
+    best = [-np.inf] * net.filters.shape[1]
+    start = 0
+    while True:
+        shares = []
+        for lag in quality.LAGS:
+            halves = []
+            for a in (start, start + stride):
+                same = [i for i in range(a, a + stride) if lag <= i < len(text) and text[i] and text[i] == text[i - lag]]
+                halves.append(len(same) / stride)
+            shares.append(sum(halves) / 2)
+        x = []
+        for i in range(start, start + chunk):
+            x.extend(net.bytes_[text[i] if i < len(text) else 0])
+        x += [*shares, max(shares)]
+        for f in range(len(best)):
+            best[f] = max(best[f], float(np.dot(np.array(x, np.float64), net.filters[:, f])))
+        start += stride
+        if start + chunk - stride >= len(text):
+            break
+    z = net.out_bias + sum(float(net.out[f]) * np.tanh(best[f] + float(net.bias[f])) for f in range(len(best)))
+    return 1 / (1 + np.exp(-z))
+
+
+def test_scores_equal_plain_loops_whatever_stands_beside():
+    rng = np.random.default_rng(3)
+    width = quality.CHUNK * quality.WIDTH + len(quality.LAGS) + 1
+    net = quality.Network(
+        rng.normal(size=(256, quality.WIDTH)).astype(np.float32), rng.normal(0, 0.3, (width, quality.FILTERS)).astype(np.float32),
+        rng.normal(size=quality.FILTERS).astype(np.float32), rng.normal(size=quality.FILTERS).astype(np.float32), 0.1,
+    )
+    net.bytes_[0] = 0
+    texts = [b"", b"a", b"ab" * 40, b"x" * 33, b"x" * 48, b"x" * 47, "é日本 words and words and words".encode() * 5, bytes(rng.integers(97, 100, 200).astype(np.uint8)), b"", b"abc" * 9]
+
+    def scored(rows):
+        return quality.score(net, np.frombuffer(b"".join(rows), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in rows])]).astype(np.int64))
+
+    together = scored(texts)
+    for text, found in zip(texts, together, strict=True):
+        assert found == pytest.approx(plain_score(net, text), abs=1e-4), text[:9]
+        assert found == pytest.approx(scored([text])[0], abs=3e-6)
