@@ -129,6 +129,100 @@ def test_wrapped_notices(spark):
         assert (found[k]["sentence_ids"], found[k]["n_rules"], found[k]["licenses"]) == (ids, int(names != ""), names)
 
 
+BSD_AS_IS = """
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+A PARTICULAR PURPOSE ARE DISCLAIMED.
+"""
+BSD_TWO = BSD_WRAPPED[: BSD_WRAPPED.index("3.")]
+ADVERTS = "3. All advertising materials must display the following acknowledgement.\n"
+JSON_CLAUSE = "\n\nThe Software shall be used for Good, not Evil.\n"
+MIT_TWO, MIT_REST = MIT_WRAPPED[: MIT_WRAPPED.index("THE SOFTWARE IS")], MIT_WRAPPED[MIT_WRAPPED.index("THE SOFTWARE IS") :]
+MPL = """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this
+# file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+
+
+def _held(name):
+    return BSD_WRAPPED.replace("the copyright holder nor", name + " nor")
+
+
+def license_cases():
+    bsd2, mit = "bsd-grant,bsd-source,bsd-binary", "mit-grant,mit-notice"
+    gpl = "gpl-warranty,gpl-see"
+    return {
+        # holders by name
+        1: (_held("the University"), bsd2 + ",bsd-names", "BSD-3-Clause"),
+        2: (_held("Google Inc.") + BSD_AS_IS, bsd2 + ",bsd-names,bsd-as-is", "BSD-3-Clause"),
+        3: (BSD_TWO + BSD_AS_IS, bsd2 + ",bsd-as-is", "BSD-2-Clause"),
+        # a clause that is not known stands in a known one's place
+        4: (BSD_TWO + ADVERTS + BSD_AS_IS, bsd2 + ",bsd-as-is", ""),
+        5: (BSD_WRAPPED + "4. You must dance.\n", bsd2 + ",bsd-names", ""),
+        6: (MIT_TWO + JSON_CLAUSE + MIT_REST, mit + ",mit-as-is,mit-liability", ""),
+        7: (MIT_WRAPPED + JSON_CLAUSE, mit + ",mit-as-is,mit-liability", "MIT"),
+        8: (MIT_WRAPPED.replace("notice shall", "notice (including the next\nparagraph) shall"), mit + ",mit-as-is,mit-liability", "MIT"),
+        # the family of GNU licences, and others
+        9: (GPL_WRAPPED.replace("version 3", "version 2"), f"gpl2-grant,{gpl}", "GPL-2.0-or-later"),
+        10: (GPL_WRAPPED.replace("GNU General", "GNU Affero General"), f"agpl3-grant,{gpl}", "AGPL-3.0-or-later"),
+        11: (GPL_WRAPPED.replace("program", "library").replace("General", "Lesser General").replace("version 3", "version 2.1"), f"lgpl21-grant,{gpl}", "LGPL-2.1-or-later"),
+        12: (MPL, "mpl2-header,mpl2-copy", "MPL-2.0"),
+        13: (ZLIB, "zlib-as-is,zlib-liability,zlib-grant", "Zlib"),
+        # SPDX lines, copyright lines and titles without an empty line
+        14: ("// SPDX-License-Identifier: MIT\n// Copyright 2020 Somebody\n#include <a.h>\n", "spdx-mit", "MIT"),
+        15: ("#!/bin/sh\n# Copyright (c) 2020 Somebody\n# SPDX-License-Identifier: GPL-2.0-or-later\nset -e", "spdx-gpl-2.0-or-later", "GPL-2.0-or-later"),
+        16: ("SPDX-License-Identifier: Something-1.0", "", ""),
+        17: ("Copyright (c) 2020 Somebody\n" + ISC_WRAPPED, "isc-grant", "ISC"),
+        18: ("My program\n" + GPL_WRAPPED, f"gpl3-grant,{gpl}", "GPL-3.0-or-later"),
+        19: ("Text without an end\nThis project is licensed under the BSD 3-Clause License\nand more", "bsd3-named", "BSD-3-Clause"),
+        20: ("é\n" * 2000 + "Licensed under CC BY-SA 4.0", "cc-by-sa-named", "CC-BY-SA-4.0"),
+        21: ("word\n" * 20000 + "Released under the MIT License", "mit-named", "MIT"),
+        22: ("\n \r\n ;: HLC <?> # @", "", ""),
+    }
+
+
+def test_license_texts(spark, tmp_path):
+    cases = license_cases()
+    docs = tables.documents(spark, tables.odd([(100 + k, v[0]) for k, v in cases.items()]))
+    found = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    for k, (_, ids, names) in cases.items():
+        got = found[100 + k]
+        assert (k, got["sentence_ids"], got["licenses"], got["n_rules"]) == (k, ids, names, int(names != ""))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert difference(licenses.scan(docs), over(f"{tmp_path}/documents.parquet"), licenses.SQL) is None
+
+
+def over(path):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    return con
+
+
+def test_license_pieces_in_any_order(spark, tmp_path):
+    import random
+
+    draw = random.Random(5)
+    pieces = [line for v in license_cases().values() for line in v[0][:4000].split("\n")[:40]]
+    texts = ["".join(draw.choice(pieces) + draw.choice(["\n", "\n\n", " ", ". ", "; "]) for _ in range(draw.randrange(40))) for _ in range(400)]
+    docs = tables.documents(spark, list(enumerate(texts)))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert difference(licenses.scan(docs), over(f"{tmp_path}/documents.parquet"), licenses.SQL) is None
+
+
+def test_licenses_of_nothing(spark):
+    assert licenses.scan(tables.documents(spark, [])).collect() == []
+
+
 def test_licenses_stay_inside_the_engine(spark, sf):
     plan = QUERIES["op1_licenses"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Exchange"))
