@@ -6,15 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopstream.llm import common, graph
 
-#: Cosine of a link; rows of a tile; leading dimensions by which whole tiles are compared; where
-#: a comparison inside a pair of tiles may stop.
-COSINE, TILE, LEAD = 0.93, 1024, 8
+#: Cosine of a link; rows of a tile; leading dimensions by which whole tiles are compared; tiles
+#: that one tile is compared with in a task; where a comparison of two tiles may stop.
+COSINE, TILE, LEAD, BAND = 0.93, 2048, 8, 8
 STOPS = (8, 16, 32)
 
 #: Bins of the first coordinate, by which rows that may be alike come into the same tiles.
@@ -29,15 +29,35 @@ def valid(vector: str = "vector") -> Column:
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
     """The vectors of a list column, of length one, filled with zeros up to ``width``."""
+    return _unit(_filled(column, width))
+
+
+def _filled(column: pa.Array, width: int) -> np.ndarray:
     lengths = np.diff(column.offsets.to_numpy())
     flat = column.flatten().to_numpy(zero_copy_only=False)
     out = np.zeros((len(column), width))
     row = np.repeat(np.arange(len(column)), lengths)
     out[row, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
-    out /= np.abs(out).max(axis=1, keepdims=True)  # squares of large components stay finite
+    return out
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    out = rows / np.abs(rows).max(axis=1, keepdims=True)  # squares of large components stay finite
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def _packed(rows: np.ndarray) -> bytes:
+    """The components in four bytes each where that loses nothing, else in eight."""
+    with np.errstate(over="ignore"):
+        short = rows.astype(np.float32)
+    return (short if (short == rows).all() else rows).tobytes()
+
+
+def _unpacked(data: pa.Buffer, n: int, width: int) -> np.ndarray:
+    kind = np.float32 if data.size == 4 * n * width else np.float64
+    return np.frombuffer(data, kind).reshape(n, width).astype(np.float64)
+
+
 def basis(classes: DataFrame, width: int) -> np.ndarray:
     """The principal axes of all unit vectors, widest first. Tasks send sums of products, which
     are added up in Spark; the driver gets one matrix."""
@@ -83,8 +103,6 @@ def _dealt(placed: DataFrame, tile: int) -> DataFrame:
 
 
 def _by_bin():
-    from pyspark.sql import Window
-
     return Window.partitionBy("group").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
 
 
@@ -94,8 +112,8 @@ def _tiles(dealt: DataFrame, axes, width: int) -> DataFrame:
 
     def gather(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        unit = _rows(rows["vector"].chunk(0), width)
-        turned = unit @ axes.value
+        vectors = _filled(rows["vector"].chunk(0), width)
+        turned = _unit(vectors) @ axes.value
         lead, rest = turned[:, :LEAD], np.sqrt(np.maximum(0, 1 - (turned[:, :LEAD] ** 2).sum(axis=1)))
         kind = pa.list_(pa.float64())
         return pa.table(
@@ -107,16 +125,16 @@ def _tiles(dealt: DataFrame, axes, width: int) -> DataFrame:
                 "rest": pa.array([rest.max()]),
                 "ids": pa.array([rows["c"].to_numpy().tobytes()], pa.binary()),
                 "copies": pa.array([rows["m"].to_numpy().tobytes()], pa.binary()),
-                "unit": pa.array([unit.tobytes()], pa.binary()),
+                "vectors": pa.array([_packed(vectors)], pa.binary()),
             }
         )
 
-    schema = "group string, tile long, low array<double>, high array<double>, rest double, ids binary, copies binary, unit binary"
+    schema = "group string, tile long, low array<double>, high array<double>, rest double, ids binary, copies binary, vectors binary"
     return dealt.select("group", "tile", "c", "m", "vector").groupBy("group", "tile").applyInArrow(gather, schema)
 
 
 def _pairs(tiles: DataFrame, cosine: float, lead: int) -> DataFrame:
-    """The pairs of tiles of a group in which the bounds allow a link."""
+    """The pairs of tiles of a group in which the bounds allow a link, those of a tile in bands."""
     stats = tiles.select("group", "tile", "low", "high", "rest")
     left = stats.select("group", *[F.col(c).alias(f"l_{c}") for c in ("tile", "low", "high", "rest")])
     right = stats.select("group", *[F.col(c).alias(f"r_{c}") for c in ("tile", "low", "high", "rest")])
@@ -125,7 +143,9 @@ def _pairs(tiles: DataFrame, cosine: float, lead: int) -> DataFrame:
         edges = [F.col(f"l_{a}")[k] * F.col(f"r_{b}")[k] for a in ("low", "high") for b in ("low", "high")]
         bound = bound + F.greatest(*edges)
     both = left.join(right, "group").filter((F.col("l_tile") <= F.col("r_tile")) & (bound >= cosine - 1e-9))
-    return both.select(F.xxhash64("l_tile", "r_tile").alias("pair"), F.col("l_tile").alias("one"), F.col("r_tile").alias("two"))
+    # the rows of a window are the tiles of one label
+    place = F.row_number().over(Window.partitionBy("l_tile").orderBy("r_tile"))
+    return both.select(F.col("l_tile").alias("one"), F.col("r_tile").alias("two"), F.floor((place - 1) / BAND).alias("band"))
 
 
 def links(x: np.ndarray, y: np.ndarray, axes: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,41 +183,44 @@ def _forest(a: np.ndarray, b: np.ndarray, linked: np.ndarray) -> tuple[np.ndarra
         label_a, label_b = new_a, new_b
 
 
+def _two_tiles(one: tuple, two: tuple, axes: np.ndarray, cosine: float) -> pa.Table:
+    """What two tiles (number, classes, their copies, unit vectors) give to ``_compared``."""
+    (tile, a, ma, x), (other_tile, b, mb, y) = one, two
+    rows, columns, linked = links(x, y, axes, cosine)
+    own = tile == other_tile
+    if own:
+        linked = linked & (a[rows][:, None] != b[columns][None, :])
+    out = [(a[rows], np.full(len(rows), -1), linked @ mb[columns])]
+    if not own:
+        out.append((b[columns], np.full(len(columns), -1), linked.T @ ma[rows]))
+    nodes, roots = _forest(a[rows], b[columns], linked) if linked.any() else (a[:0], a[:0])
+    keep = nodes != roots
+    out.append((nodes[keep], roots[keep], np.zeros(keep.sum(), np.int64)))
+    c, other, n = (np.concatenate(v).astype(np.int64) for v in zip(*out, strict=True))
+    some = (n > 0) | (other >= 0)
+    return pa.table({"c": c[some], "other": other[some], "n": n[some]})
+
+
 def _compared(tiles: DataFrame, pairs: DataFrame, axes, cosine: float, width: int) -> DataFrame:
     """For each pair of tiles the weighted number of links of each class (n), and edges (other)
     that join what is linked: never more rows than the tiles have, however many links."""
 
+    def tile_of(rows: pa.Table, which: str, k: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        ids, copies = (np.frombuffer(rows[f"{which}_{name}"][k].as_buffer(), np.int64) for name in ("ids", "copies"))
+        vectors = _unpacked(rows[f"{which}_vectors"][k].as_buffer(), len(ids), width)
+        return rows[f"{which}_tile"][k].as_py(), ids, copies, _unit(vectors)
+
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        (a, ma, x), (b, mb, y) = (
-            (
-                np.frombuffer(t[f"{which}_ids"][0].as_buffer(), np.int64),
-                np.frombuffer(t[f"{which}_copies"][0].as_buffer(), np.int64),
-                np.frombuffer(t[f"{which}_unit"][0].as_buffer(), np.float64).reshape(-1, width),
-            )
-            for which, t in (("one", left), ("two", right))
-        )
-        rows, columns, linked = links(x, y, axes.value, cosine)
-        if not linked.any():
-            return pa.table({name: pa.array([], pa.int64()) for name in ("c", "other", "n")})
-        own = left["one_tile"][0].as_py() == right["two_tile"][0].as_py()
-        if own:
-            linked = linked & (a[rows][:, None] != b[columns][None, :])
-        counts = linked @ mb[columns]
-        out = [(a[rows], np.full(len(rows), -1), counts)]
-        if not own:
-            out.append((b[columns], np.full(len(columns), -1), linked.T @ ma[rows]))
-        nodes, roots = _forest(a[rows], b[columns], linked)
-        keep = nodes != roots
-        out.append((nodes[keep], roots[keep], np.zeros(keep.sum(), np.int64)))
-        c, other, n = (np.concatenate(v).astype(np.int64) for v in zip(*out, strict=True))
-        some = (n > 0) | (other >= 0)
-        return pa.table({"c": c[some], "other": other[some], "n": n[some]})
-
-    def side(which: str) -> DataFrame:
-        own = pairs.select(F.col("pair").alias(f"{which}_pair"), F.col(which).alias("tile")).join(tiles, "tile")
-        return own.select(f"{which}_pair", *[F.col(c).alias(f"{which}_{c}") for c in ("tile", "ids", "copies", "unit")])
-
-    both = side("one").groupBy("one_pair").cogroup(side("two").groupBy("two_pair"))
+        none = pa.table({name: pa.array([], pa.int64()) for name in ("c", "other", "n")})
+        one = tile_of(left, "one", 0)
+        return pa.concat_tables([none, *(_two_tiles(one, tile_of(right, "two", k), axes.value, cosine) for k in range(right.num_rows))])
+
+    def side(of: DataFrame, which: str) -> DataFrame:
+        own = of.withColumn("tile", F.col(which)).join(tiles.select("tile", "ids", "copies", "vectors"), "tile")
+        own = own.select(*[F.col(c).alias(f"{which}_{c}") for c in ("one", "band", "tile", "ids", "copies", "vectors")])
+        return own.groupBy(f"{which}_one", f"{which}_band")
+
+    both = side(pairs.select("one", "band").distinct(), "one").cogroup(side(pairs, "two"))
     return both.applyInArrow(compare, "c long, other long, n long")
 
 
@@ -207,8 +230,8 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, tile: int = TILE) -> D
     that is its own).
 
     Equal vectors of a label are one class and cost nothing more. The classes of a label lie in
-    tiles along the widest axis; pairs of tiles whose bounds allow a link are compared, each in a
-    task of its own, so a label that holds most rows is many small groups. A pair of tiles gives
+    tiles along the widest axis; pairs of tiles whose bounds allow a link are compared, a tile with
+    at most eight others in a task, so a label that holds most rows is many small groups. A pair of tiles gives
     counts and a forest, not its links. Rows with a null label, and vectors that are null, empty,
     zero or hold null or non-finite components, are linked with nothing; so are vectors of
     different lengths. Null ids count as larger than others; other columns are not read.

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shopstream.llm import embeddings as em
@@ -107,3 +108,11 @@ def test_bounds_lose_no_link(cosine):
     rows, columns, linked = em.links(x, y, axes, cosine)
     found = {(rows[a], columns[b]) for a, b in zip(*np.nonzero(linked), strict=True)}
     assert found == set(zip(*np.nonzero(x @ y.T >= cosine), strict=True)) and found
+
+
+def test_tiles_keep_every_component():
+    short = np.array([[0.5, -3.0], [np.float32(0.1), 1e-30]])
+    for rows, size in ((short.astype(np.float32).astype(np.float64), 4), (np.array([[0.1, 1.0]]), 8), (np.array([[1e300, 1.0]]), 8)):
+        data = em._packed(rows)
+        assert len(data) == size * rows.size
+        assert (em._unpacked(pa.py_buffer(data), *rows.shape) == rows).all()
