@@ -27,8 +27,9 @@ PERCENT, WORDS = 85, 3
 MORE = 272
 MARGIN = 0.0745
 
-#: Rows of one side of a comparison inside a table.
+#: Rows of one side of a comparison inside a table, and on which side of it a row is.
 TILE = 512
+LEFT, RIGHT, BOTH = 0, 1, 2
 
 _A = (common.draws(HASHES + MORE, 101) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _B = (common.draws(HASHES + MORE, 202) >> np.uint64(32)).astype(np.uint32)
@@ -163,14 +164,16 @@ def _compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = pa.Table.from_batches(held).combine_chunks()
     if rows.num_rows < 2:
         return
-    place, low, high = rows["place"][0].as_py(), rows["low"][0].as_py(), rows["high"][0].as_py()
-    c, comp, tile, n = (rows[name].to_numpy() for name in ("c", "comp", "tile", "n"))
+    place = rows["place"][0].as_py()
+    c, comp, side, n = (rows[name].to_numpy() for name in ("c", "comp", "side", "n"))
     if comp.min() == comp.max():
         return
     least = np.frombuffer(b"".join(rows["least"].to_pylist()), np.uint32).reshape(len(c), -1)
     halves = half_keys(np.ascontiguousarray(least[:, :HASHES]))
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["items"].chunk(0)]
-    one, two = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
+    # a tile with itself comes once, and is both sides
+    alone = side.min() == BOTH
+    one, two = np.flatnonzero(side != RIGHT), np.flatnonzero(side != LEFT)
     need = PERCENT / 100 - MARGIN
     # components that links of this group have joined so far
     root = {x: x for x in np.unique(comp).tolist()}
@@ -182,7 +185,7 @@ def _compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     found = []
     for r in one:
-        other = two[(comp[two] != comp[r]) & ((c[two] > c[r]) if low == high else True)]
+        other = two[(comp[two] != comp[r]) & ((c[two] > c[r]) if alone else True)]
         small, large = np.minimum(n[other], n[r]), np.maximum(n[other], n[r])
         other = other[100 * small >= PERCENT * large]
         if len(other):
@@ -200,25 +203,79 @@ def _compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+def _cells(each: DataFrame) -> DataFrame:
+    """The rows (key, band, comp) of half keys that hold several components, dealt to cells (key,
+    band, owner): a component with a whole tile of rows owns its cell, small ones share one
+    (owner -1)."""
+    counts = each.groupBy("key", "band", "comp").agg(F.count("*").alias("m"), F.min("n").alias("short"), F.max("n").alias("long"))
+    mixed = counts.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    owner = F.when(F.col("m") >= TILE, F.col("comp")).otherwise(-1).alias("owner")
+    return counts.join(mixed.select("key"), "key").select("key", "band", "comp", owner, "m", "short", "long")
+
+
+def _meetings(each: DataFrame) -> DataFrame:
+    """Which rows of ``each`` (key, place, band, c, comp, n) are compared: c, comp, place, the
+    group (pair, i, j) and the side of it.
+
+    Cells of a half key are paired only where they hold different components and sizes that
+    allow a link; bands, of which a link joins equal or neighbouring ones, keep that a join on
+    equal values. A cell is cut into tiles of about TILE rows, and each pair of tiles of two paired
+    cells is a group. So a group of copies that is one component meets the outsiders alone: its
+    rows are sent once for each tile of theirs.
+    """
+    owners = common.written(_cells(each))
+    cells = owners.groupBy("key", "band", "owner").agg(
+        F.ceil(F.sum("m") / TILE).cast("int").alias("tiles"),
+        F.min("comp").alias("low"),
+        F.max("comp").alias("high"),
+        F.min("short").alias("short"),
+        F.max("long").alias("long"),
+    )
+    left = cells.select("key", *[F.col(x).alias(f"{x}1") for x in cells.columns[1:]])
+    right = cells.select("key", *[F.col(x).alias(f"{x}2") for x in cells.columns[1:]])
+    near = left.withColumn("band2", F.explode(F.array("band1", F.col("band1") + 1)))
+    pairs = near.join(right.hint("merge"), ["key", "band2"]).filter(
+        "(band1 < band2 OR owner1 <= owner2) AND least(low1, low2) <> greatest(high1, high2)"
+        f" AND 100 * long1 >= {PERCENT} * short2 AND 100 * long2 >= {PERCENT} * short1"
+    )
+    pairs = pairs.withColumn("same", F.expr("band1 = band2 AND owner1 = owner2"))
+    pairs = common.written(pairs.withColumn("pair", F.monotonically_increasing_id()))
+    member = each.join(owners.select("key", "band", "comp", "owner").hint("merge"), ["key", "band", "comp"])
+    firsts = pairs.selectExpr("key", "band1 AS band", "owner1 AS owner", "pair", "same", "true AS first", "tiles1 AS own", "tiles2 AS others")
+    seconds = pairs.selectExpr("key", "band2 AS band", "owner2 AS owner", "pair", "same", "false AS first", "tiles2 AS own", "tiles1 AS others")
+    sent = member.join(firsts.unionAll(seconds).hint("merge"), ["key", "band", "owner"])
+    sent = sent.withColumn("tile", F.pmod(F.xxhash64("c"), F.col("own")).cast("int"))
+    sent = sent.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    # a cell with itself: as the first the own tile and later ones, as the second earlier ones
+    sent = sent.filter("NOT same OR (first AND other >= tile) OR (NOT first AND other < tile)")
+    return sent.select(
+        "c",
+        "comp",
+        "place",
+        "pair",
+        F.when(F.col("first"), F.col("tile")).otherwise(F.col("other")).alias("i"),
+        F.when(F.col("first"), F.col("other")).otherwise(F.col("tile")).alias("j"),
+        F.when(F.expr("same AND tile = other"), BOTH).when(F.col("first"), LEFT).otherwise(RIGHT).alias("side"),
+    )
+
+
 def _others(tables: DataFrame, part: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between different components in tables that hold more than a star, enough to join
-    what any candidate pair joins. The rows that share a half key are dealt to tiles of about 512,
-    each pair of tiles is one small group, and at most a forest of links leaves it."""
+    what any candidate pair joins. Small rows decide which tiles of a half key are compared
+    (``_meetings``); then the sets go there, each pair of tiles is one small group, and at most
+    a forest of links leaves it."""
     named = tables.join(part.withColumnRenamed("node", "c"), "c", "left")
     seen = named.select("t", "c", F.coalesce("component", "c").alias("comp"))
     mixed = seen.groupBy("t").agg(F.count("*").alias("m"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     mixed = mixed.filter("m > 2 AND low <> high").select("t")
     open_ = common.written(seen.join(mixed, "t").select("c", "comp").distinct())
-    rows = open_.join(sets, "c")
-    each = rows.select("c", "comp", "n", "least", "items", F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "key"))
-    crowd = open_.join(sets.select("c", "halves"), "c").select(F.explode(F.slice("halves", 1, SIDE)).alias("key"))
-    tiles = F.ceil(F.count("*") / TILE).cast("int").alias("tiles")
-    crowd = crowd.groupBy("key").agg(F.count("*").alias("m"), tiles).filter("m > 1").select("key", "tiles")
-    dealt = each.join(crowd, "key").withColumn("tile", F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    pair = [F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")]
-    dealt = dealt.select("key", *pair, "place", "tile", "c", "comp", "n", "least", "items")
-    sorted_ = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    # a little wider than the sizes that a link may join, so that rounding loses none
+    band = F.floor(F.log("n") / float(np.log(100 / PERCENT) * 1.001)).cast("int").alias("band")
+    each = open_.join(sets.select("c", "n", "halves"), "c")
+    each = each.select("c", "comp", "n", band, F.posexplode(F.slice("halves", 1, SIDE)).alias("place", "key"))
+    dealt = _meetings(each).join(sets.select("c", "n", "least", "items").hint("merge"), "c")
+    dealt = dealt.select("pair", "i", "j", "place", "side", "c", "comp", "n", "least", "items")
+    sorted_ = dealt.repartition("pair", "i", "j").sortWithinPartitions("pair", "i", "j")
     return sorted_.mapInArrow(_tile, "a long, b long")
 
 
@@ -240,7 +297,7 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     share a table of the tensored banding are candidates; links are confirmed on whole sets. In
     each table every class is first compared with the smallest one. What that leaves in different
     components but in one table is compared in tiles, by minhashes and then by whole sets, until
-    the components are joined. So no candidate pair that could join two components is passed
+    the components are joined, if the tiles hold different ones. So no candidate pair that could join two components is passed
     over, while a large group of near copies gives stars and forests, not all its pairs.
 
     Texts without words are linked with nothing. Null ids count as larger than all others.

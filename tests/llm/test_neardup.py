@@ -78,6 +78,51 @@ def test_large_family_in_tiles(spark, family, monkeypatch):
     assert found.count(-1) == sum(1 for i, n, c, _ in want if i is None and (not n or c is None))
 
 
+def meetings(spark, rows):
+    """What ``_meetings`` sends of rows (key, c, comp, n), and the pairs of different components
+    that meet, each as often as it does."""
+    import numpy as np
+
+    wide = np.log(100 / neardup.PERCENT) * 1.001
+    full = [(key, 0, int(np.log(n) // wide), c, comp, n) for key, c, comp, n in rows]
+    sent = neardup._meetings(spark.createDataFrame(full, "key long, place int, band int, c long, comp long, n long")).collect()
+    comp = {c: x for _, c, x, _ in rows}
+    groups, met = {}, []
+    for r in sent:
+        groups.setdefault((r["pair"], r["i"], r["j"]), []).append((r["c"], r["side"]))
+    for group in groups.values():
+        assert len({side == neardup.BOTH for _, side in group}) == 1
+        for a, x in group:
+            for b, y in group:
+                if comp[a] != comp[b] and ((x, y) == (neardup.LEFT, neardup.RIGHT) or (x == neardup.BOTH and a < b)):
+                    met.append((min(a, b), max(a, b)))
+    return sent, sorted(met)
+
+
+def test_every_pair_that_a_link_may_join_meets_once(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE", 5)
+    draw = random.Random(3)
+    rows = [(k % 2, k, draw.choice([0, 0, 0, 1, 1, 2, 3 + k]), draw.choice([85, 100, 101, 117, 118, 700])) for k in range(120)]
+    _, met = meetings(spark, rows)
+    assert len(met) == len(set(met))
+    want = set()
+    for key, a, x, n in rows:
+        for other, b, y, m in rows:
+            if key == other and a < b and x != y and 100 * min(n, m) >= 85 * max(n, m):
+                want.add((a, b))
+    assert want <= set(met)
+
+
+def test_one_component_is_sent_to_outsiders_alone(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE", 5)
+    inside = [(7, c, 0, 100) for c in range(400)]
+    assert meetings(spark, inside) == ([], [])
+    sent, met = meetings(spark, [*inside, (7, 1000, 1000, 101), (7, 1001, 1000, 300)])
+    assert met == [(c, 1000) for c in range(400)]
+    # its rows once, the outsider once for each of 80 tiles
+    assert len(sent) == 400 + 80
+
+
 def test_empty_table(spark):
     assert neardup.dedup(tables.empty(spark, tables.DOCS)).count() == 0
 
