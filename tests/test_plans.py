@@ -6,6 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from registry import lake  # noqa: F401  (adds its queries)
 from registry.queries import QUERIES
 from shopstream.functions.events import parse_payload
 from shopstream.operators import aggregates as agg
