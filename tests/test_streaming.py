@@ -223,6 +223,19 @@ def test_streaks_write_only_what_came_or_fell_due(feed, streak_store):
     assert got == [("c5", at(2.5), at(501))]
 
 
+def test_streaks_touch_a_customer_once_a_batch(feed, streak_store):
+    """Many rows of a customer in one batch are one entry of the state, not one for each millisecond;
+    those that the watermark has not passed yet stay."""
+    # the newest row is at 3600, so all before 3000 fall due
+    edge = [("b", 2999.999), ("c", 3000.0), ("d", 3000.001)]
+    feed.add(rows(*[(s, "a", "FAILED") for s in range(500)], *[(s, c, "FAILED") for c, s in edge], (3600, "z", "SUCCESS")))
+    query = feed.run(so.stream_failure_streaks(feed.stream(), 1))
+    updated = [p.stateOperators[0].numRowsUpdated for p in query.recentProgress if p.stateOperators]
+    assert max(updated) <= 50, updated
+    got = sorted((r["customer_id"], r["reached_at"]) for r in feed.result().collect())
+    assert got == [("a", at(0)), ("b", at(2999.999))]
+
+
 def test_streaks_across_batches_and_out_of_order(feed, streak_store):
     feed.add(rows((10, "a", "FAILED"), (30, "a", "FAILED"), (5, "b", "FAILED")))
     feed.add(rows((20, "a", "FAILED"), (15, "b", "SUCCESS"), (40, "a", "FAILED")))
