@@ -140,6 +140,12 @@ def run_batch(spark: SparkSession, lake: Lake) -> None:
     to_gold(spark, lake)
 
 
+def named_in(master: DataFrame, key: str, events: DataFrame) -> DataFrame:
+    """The rows of a master table that some event names. For few events beside a large table: what
+    is sent to join them then grows with the events."""
+    return master.join(events.select(key).distinct(), key, "left_semi")
+
+
 #: Topics that the hourly run carries into silver.
 HOURLY_TOPICS = ("order-events", "product-view-events", "cart-events", "checkout-events", "payment-events", "review-events")
 
@@ -166,10 +172,15 @@ def run_hour(spark: SparkSession, lake: Lake, at: datetime, topics: Sequence[str
     valid = checked.filter(F.col("accepted")).drop("accepted", REASON)
     events = replace(drop_duplicate_events(typed(valid), keep_null_keys=False), "events", ["topic"])
     customers, products = spark.read.parquet(lake.master("customers")), spark.read.parquet(lake.master("products"))
-    orders = replace(enrich_orders(of_topic(events, "order-events"), customers), "enriched-orders")
-    replace(enrich_views(of_topic(events, "product-view-events"), products), "views")
-    replace(enrich_payments(of_topic(events, "payment-events"), customers), "payments")
-    replace(enrich_views(of_topic(events, "review-events"), products), "reviews")
+
+    def enriched(enrich: Callable[[DataFrame, DataFrame], DataFrame], topic: str, master: DataFrame, key: str, table: str) -> DataFrame:
+        rows = of_topic(events, topic)
+        return replace(enrich(rows, named_in(master, key, rows)), table)
+
+    orders = enriched(enrich_orders, "order-events", customers, "customer_id", "enriched-orders")
+    enriched(enrich_views, "product-view-events", products, "product_id", "views")
+    enriched(enrich_payments, "payment-events", customers, "customer_id", "payments")
+    enriched(enrich_views, "review-events", products, "product_id", "reviews")
     replace(agg.revenue_by_window(orders, "1 hour"), "revenue")
     replace(agg.cart_abandonment(of_topic(events, "cart-events"), of_topic(events, "checkout-events"), at), "cart_abandonment")
     alerts = failed_payment_alerts(of_topic(events, "payment-events"), keep_key=True)

@@ -263,6 +263,21 @@ def test_hours_one_by_one_make_the_same_tables(spark, tmp_path):
         assert len(seen.inputFiles()) == files and seen.count() == files
 
 
+def test_an_hour_joins_only_the_master_rows_it_names(spark, tmp_path, monkeypatch):
+    write_lake(spark, tmp_path)
+    lake, joined = medallion.Lake(str(tmp_path)), {}
+    for name in ("enrich_orders", "enrich_views", "enrich_payments"):
+
+        def seen(events, master, name=name, enrich=getattr(medallion, name)):
+            joined.setdefault(name, []).append(master.count())
+            return enrich(events, master)
+
+        monkeypatch.setattr(medallion, name, seen)
+    medallion.run_hour(spark, lake, datetime(2026, 8, 1, 3))
+    # the hour has no events
+    assert joined == {"enrich_orders": [0], "enrich_views": [0, 0], "enrich_payments": [0]}
+
+
 def test_hourly_query_runs_beside_all_other_hours(spark, sf, tmp_path, monkeypatch):
     monkeypatch.setattr(registry_lake, "folder", lambda spark: str(tmp_path))
     found = {r["event_id"] for r in registry_lake.run_hour(spark, sf).collect()}
