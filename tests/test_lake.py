@@ -431,3 +431,33 @@ def test_micro_batches_write_few_files(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 4000 and max(sizes) <= 3000
+
+
+def test_topics_by_the_directory_above(spark, tmp_path):
+    for folder in ("a-events", "a-events/year=2026/month=08", "deep/b-events", "x=1/c-events"):
+        Path(tmp_path, folder).mkdir(parents=True, exist_ok=True)
+        Path(tmp_path, folder, "part=0.json").write_text('{"event_id": "e"}\n')
+    events = readers.read_events(spark, str(tmp_path))
+    assert sorted(r["topic"] for r in events.select("topic").collect()) == ["a-events", "a-events", "b-events", "c-events"]
+    # the pattern is looked for only where a directory names a column
+    topic = events.selectExpr("topic")._jdf.queryExecution().optimizedPlan().toString()
+    assert topic.count("regexp_extract") == topic.count("ELSE") == 1
+
+
+def test_unique_events_of_a_written_table_go_out_as_they_lie(spark, tmp_path, monkeypatch):
+    """The batch run's events were compared and brought together already; the second run finds them all."""
+    write_lake(spark, tmp_path)
+    lake = medallion.Lake(str(tmp_path))
+    calls = []
+    for name in ("first_by_key", "gathered"):
+        plain = getattr(sinks, name)
+        monkeypatch.setattr(sinks, name, lambda *a, _f=plain, _n=name: calls.append(_n) or _f(*a))
+    medallion.to_silver(spark, lake)
+    assert calls.count("first_by_key") == 0 and calls.count("gathered") == 6  # rejects, events and the enriched tables
+    want = sorted(r["event_id"] for r in spark.read.parquet(lake.silver("events")).select("event_id").collect())
+    medallion.to_silver(spark, lake)
+    assert sorted(r["event_id"] for r in read_committed(spark, lake.unique_events).select("event_id").collect()) == want
+    assert CommitLog(spark, lake.unique_events).last() == 1
+    rows = spark.createDataFrame([(None, "d")], "event_id string, day string")
+    with pytest.raises(Exception, match="NULL in key column"):
+        sinks.insert_if_absent(rows, f"{tmp_path}/t", "event_id", partition_by=["day"], placed=True)
