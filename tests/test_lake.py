@@ -461,3 +461,14 @@ def test_unique_events_of_a_written_table_go_out_as_they_lie(spark, tmp_path, mo
     rows = spark.createDataFrame([(None, "d")], "event_id string, day string")
     with pytest.raises(Exception, match="NULL in key column"):
         sinks.insert_if_absent(rows, f"{tmp_path}/t", "event_id", partition_by=["day"], placed=True)
+
+
+def test_rows_of_a_micro_batch_are_moved_once(spark):
+    rows = spark.range(4000).withColumn("g", (F.col("id") % 3).cast("string"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sinks.spread_by_folder(rows, ["g"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
