@@ -15,7 +15,7 @@ from shopstream.plans.reports import dashboard, lake_events, lake_revenue
 from shopstream.sources.commits import read_committed
 from shopstream.sources.readers import stream_events
 from shopstream.streaming import operators as so
-from shopstream.streaming.pipeline import checkpoint_root, run_pipeline, start_sink
+from shopstream.streaming.pipeline import PARTITIONS, checkpoint_root, run_pipeline, settings, start_sink, state_settings
 from tests.events import bronze_file, event, write_lake, write_lines
 
 T0 = datetime(2026, 8, 1)
@@ -318,6 +318,31 @@ def test_pipeline_runs_and_continues(spark, tmp_path):
     assert {(r["window_start"].hour, r["revenue"]) for r in hourly.collect()} == {(14, 150.5), (15, 30.25)}
 
 
+def test_state_lies_on_disk_in_few_partitions(spark, tmp_path):
+    write_lake(spark, tmp_path)
+    with settings(spark, {PARTITIONS: "40"}):
+        result = run_pipeline(spark, Lake(str(tmp_path)), once=True, checkpoints=f"{tmp_path}/c")
+        assert spark.conf.get(PARTITIONS) == "40" and spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
+    operators = [op for query in result.values() for progress in query.recentProgress for op in progress.stateOperators]
+    assert operators and all("rocksdbPutCount" in op.customMetrics for op in operators)
+    assert {op.numShufflePartitions for op in operators} == {2 * spark.sparkContext.defaultParallelism}
+
+
+def test_a_checkpoint_keeps_the_state_it_began_with(spark, tmp_path):
+    write_lake(spark, tmp_path)
+    lake = Lake(str(tmp_path))
+    before = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"}
+    with settings(spark, before):
+        assert state_settings(spark) == {PARTITIONS: spark.conf.get(PARTITIONS)}
+        run_pipeline(spark, lake, once=True, checkpoints=f"{tmp_path}/c")
+    late = event("order_completed", customer_id="c1", order_id="o9", total_amount=9.0, event_timestamp="2026-08-01T20:00:00Z")
+    write_lines(bronze_file(tmp_path, "order-events", "part-1"), [late, late])
+    result = run_pipeline(spark, lake, once=True, checkpoints=f"{tmp_path}/c")
+    assert not any(isinstance(q, Exception) for q in result.values()), result
+    assert spark.read.parquet(lake.live("enriched-orders")).count() == 4
+    assert not any("rocksdbPutCount" in op.customMetrics for q in result.values() for p in q.recentProgress for op in p.stateOperators)
+
+
 def test_failing_query_leaves_the_others(spark, tmp_path):
     write_lake(spark, tmp_path)
     lake = Lake(f"{tmp_path}")
