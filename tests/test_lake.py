@@ -472,3 +472,20 @@ def test_rows_of_a_micro_batch_are_moved_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_alerts_reach_the_archive_as_they_lie(spark, tmp_path, monkeypatch):
+    dealt = []
+    gathered = sinks.gathered
+    monkeypatch.setattr(sinks, "gathered", lambda df, folders: dealt.append(1) or gathered(df, folders))
+    rows = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "2")], "event_id string, day string")
+    target, archive = f"{tmp_path}/target", f"{tmp_path}/archive"
+    sinks.insert_if_absent(rows, target, "event_id", partition_by=["day"], also=[archive])
+    # the rows of a batch are brought together once, for the first target
+    assert len(dealt) == 1
+    # with an earlier commit on the same day, what is left of the write is brought together anew
+    sinks.insert_if_absent(spark.createDataFrame([("d", "2")], rows.schema), archive, "event_id", partition_by=["day"])
+    more = spark.createDataFrame([("b", "2"), ("d", "2"), ("e", "2"), ("e", "2")], rows.schema)
+    sinks.insert_if_absent(more, target, "event_id", partition_by=["day"], also=[archive])
+    assert sorted(tuple(r) for r in read_committed(spark, target).collect()) == [("a", "1"), ("b", "2"), ("c", "2"), ("d", "2"), ("e", "2")]
+    assert sorted(tuple(r) for r in read_committed(spark, archive).collect()) == [("a", "1"), ("b", "2"), ("c", "2"), ("d", "2"), ("e", "2")]

@@ -105,3 +105,18 @@ def test_payload_round_trip_keeps_items(spark):
     df = spark.createDataFrame(row, schema)
     back = events.parse_payload(events.to_payload(df))
     assert back.select("event_id", "event_type", "items").collect() == df.collect()
+
+
+def test_directories_and_times_by_cheap_means(spark):
+    texts = ["2024-01-02T03:04:05.123456+00:00Z", "2024-01-02T03:04:05-03:00Z", "2024-01-02T03:04:05+0200Z", "2024-01-02T03:04:05+00:00Z\n"]
+    texts += ["0099-05-06T01:02:03Z", "+12024-01-01T00:00:00+00:00Z", "-0005-01-01", "2024-12-31T23:59:59.999999-11:00", "+00:00Z", "Z", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "s string")
+    slow = F.try_to_timestamp(F.regexp_replace("s", r"([+-]\d{2}:?\d{2})Z$", "$1"))
+    ts = events.normalize_event_time(F.col("s"))
+    assert rows.filter(ts.eqNullSafe(slow)).count() == len(texts)
+    stamped = rows.select(slow.alias("ts")).localCheckpoint()
+    same = [events.time_partitions(F.col("ts"))[c].eqNullSafe(F.date_format("ts", f)) for c, f in events.PARTITION_FORMATS.items()]
+    assert stamped.filter(same[0] & same[1] & same[2] & same[3]).count() == len(texts)
+    # a date is formatted for odd years only
+    plan = stamped.select(*[v.alias(c) for c, v in events.time_partitions(F.col("ts")).items()])._jdf.queryExecution().analyzed().toString()
+    assert plan.count("date_format(") == 1
